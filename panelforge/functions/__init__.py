@@ -1,6 +1,8 @@
 """Column-expression helpers (JVM-side, codegen-friendly)."""
 
 from .exprs import (  # noqa: F401
+    ColumnSet,
+    column_set,
     clip,
     col,
     cols_if_present,

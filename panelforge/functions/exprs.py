@@ -24,14 +24,62 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+class ColumnSet:
+    """Derived columns pending over a DataFrame, as Spark SQL text; ``to_df`` adds them in ONE ``selectExpr``.
+
+    Feature families chain through a ColumnSet instead of a select each, so a
+    wide panel is analyzed once and each column costs one expression parse on
+    the JVM instead of a py4j call per operator node.  A pending column that a
+    later feature references is inlined (codegen's subexpression elimination
+    shares it).
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self._base = list(df.columns)
+        self._names = list(self._base)
+        self.exprs: dict[str, str] = {}
+
+    @property
+    def columns(self) -> list[str]:
+        return self._names
+
+    def col(self, name: str) -> str:
+        from .sqltext import q
+        return f"({self.exprs[name]})" if name in self.exprs else q(name)
+
+    def add(self, name: str, expr: str) -> None:
+        if name not in self.exprs and name not in self._base:
+            self._names.append(name)
+        self.exprs[name] = expr
+
+    def to_df(self) -> DataFrame:
+        from .sqltext import q
+        if not self.exprs:
+            return self.df
+        base = set(self._base)
+        new = [f"{self.exprs[c]} AS {q(c)}" for c in self._names if c not in base]
+        if any(c in base for c in self.exprs):
+            kept = [f"{self.exprs[c]} AS {q(c)}" if c in self.exprs else q(c) for c in self._base]
+            return self.df.selectExpr(*kept, *new)
+        return self.df.selectExpr("*", *new)
+
+
+def column_set(df):
+    """(ColumnSet, finish): pass-through when chaining, one select when called on a DataFrame."""
+    if isinstance(df, ColumnSet):
+        return df, (lambda cs: cs)
+    return ColumnSet(df), (lambda cs: cs.to_df())
+
+
 def cols_if_present(df_or_cols, wanted: Iterable[str]) -> list[str]:
     """The wanted columns that exist, in the wanted order (plan-time guard)."""
-    have = set(df_or_cols.columns if isinstance(df_or_cols, DataFrame) else df_or_cols)
+    have = set(df_or_cols.columns if hasattr(df_or_cols, "columns") else df_or_cols)
     return [c for c in wanted if c in have]
 
 
 def has(df_or_cols, *names: str) -> bool:
-    have = set(df_or_cols.columns if isinstance(df_or_cols, DataFrame) else df_or_cols)
+    have = set(df_or_cols.columns if hasattr(df_or_cols, "columns") else df_or_cols)
     return all(n in have for n in names)
 
 

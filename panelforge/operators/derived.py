@@ -1,9 +1,11 @@
 """Derived row-level features (family F).
 
-Pure column expressions: each function adds its columns in one ``select``
-and only for the inputs that exist (plan-time ``has`` guard).  Guarded
-divisions give null on a zero denominator; the few divisions the reference
-leaves unguarded give +/-inf (later replaced by 0 in preparation).
+Pure row expressions, added only for the inputs that exist (plan-time
+``has`` guard).  Called on a DataFrame a function adds its columns in one
+``selectExpr``; called on a :class:`ColumnSet` it chains, and
+``derived_chain`` materializes the whole family in a single projection.
+Guarded divisions give null on a zero denominator; the divisions the
+reference leaves unguarded give +/-inf (replaced by 0 in preparation).
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec as S
-from ..functions import cut_right_closed, flag, has, raw_div, safe_div
+from ..functions import column_set, has
+from ..functions import sqltext as X
 
 # Bin edges and thresholds.
 AGE_EDGES = (0, 23, 27, 30, 33, 100)
@@ -26,93 +29,94 @@ LEAGUE_RATING = 110.0
 
 def age_features(df: DataFrame) -> DataFrame:
     """``AGE_SQUARED``, ``IN_PRIME`` 27..30, ``IS_YOUNG`` < 25, ``IS_VETERAN`` > 32, ``AGE_BIN`` 1..5."""
-    if not has(df, "AGE"):
-        return df
-    a = F.col("AGE")
-    return df.select(
-        "*",
-        F.pow(a, F.lit(2.0)).alias("AGE_SQUARED"),
-        flag((a >= 27) & (a <= 30)).alias("IN_PRIME"),
-        flag(a < 25).alias("IS_YOUNG"),
-        flag(a > 32).alias("IS_VETERAN"),
-        cut_right_closed(a, AGE_EDGES).alias("AGE_BIN"),
-    )
+    cs, done = column_set(df)
+    if has(cs, "AGE"):
+        a = cs.col("AGE")
+        cs.add("AGE_SQUARED", f"power({a}, 2.0D)")
+        cs.add("IN_PRIME", X.flag(f"{a} >= 27 AND {a} <= 30"))
+        cs.add("IS_YOUNG", X.flag(f"{a} < 25"))
+        cs.add("IS_VETERAN", X.flag(f"{a} > 32"))
+        cs.add("AGE_BIN", X.cut(a, AGE_EDGES))
+    return done(cs)
 
 
 def efficiency_features(df: DataFrame, max_games: int = S.MAX_GAMES) -> DataFrame:
-    out = []
-    c = F.col
-    if has(df, "PTS", "MIN"):
-        out.append(safe_div("PTS", "MIN").alias("PTS_PER_MIN"))
-    if has(df, "AST", "TOV"):
-        out.append(safe_div("AST", "TOV").alias("AST_TO_RATIO"))
-    if has(df, "PTS", "FGA", "FTA"):
-        out.append(safe_div(c("PTS"), c("FGA") + F.lit(0.44) * c("FTA")).alias("PTS_PER_ATTEMPT"))
-    if has(df, "ADV_TS_PCT"):
-        out.append(c("ADV_TS_PCT").alias("SHOOTING_EFFICIENCY"))
-    elif has(df, "PTS", "FGA", "FTA"):
-        out.append(safe_div(c("PTS"), F.lit(2.0) * (c("FGA") + F.lit(0.44) * c("FTA"))).alias("SHOOTING_EFFICIENCY"))
-    if has(df, "MIN", "GP"):
-        out.append(c("MIN").alias("MPG"))
-        out.append((c("GP") / F.lit(float(max_games))).alias("GP_RATE"))
-    return df.select("*", *out)
+    cs, done = column_set(df)
+    c = cs.col
+    if has(cs, "PTS", "MIN"):
+        cs.add("PTS_PER_MIN", X.safe_div(c("PTS"), c("MIN")))
+    if has(cs, "AST", "TOV"):
+        cs.add("AST_TO_RATIO", X.safe_div(c("AST"), c("TOV")))
+    if has(cs, "PTS", "FGA", "FTA"):
+        cs.add("PTS_PER_ATTEMPT", X.safe_div(c("PTS"), f"({c('FGA')} + 0.44D * {c('FTA')})"))
+    if has(cs, "ADV_TS_PCT"):
+        cs.add("SHOOTING_EFFICIENCY", c("ADV_TS_PCT"))
+    elif has(cs, "PTS", "FGA", "FTA"):
+        cs.add("SHOOTING_EFFICIENCY", X.safe_div(c("PTS"), f"(2.0D * ({c('FGA')} + 0.44D * {c('FTA')}))"))
+    if has(cs, "MIN", "GP"):
+        cs.add("MPG", c("MIN"))
+        cs.add("GP_RATE", f"{c('GP')} / {X.d(max_games)}")
+    return done(cs)
 
 
 def role_features(df: DataFrame) -> DataFrame:
-    out = []
-    c = F.col
-    if has(df, "ADV_USG_PCT"):
-        out.append(c("ADV_USG_PCT").alias("USAGE_RATE"))
-    if has(df, "FGA", "MIN"):
-        out.append(safe_div("FGA", "MIN").alias("FGA_PER_MIN"))
-    if has(df, "FG3A"):
-        out.append(c("FG3A").alias("THREE_PT_VOLUME"))
-        if has(df, "FGA"):
-            out.append(safe_div("FG3A", "FGA").alias("THREE_PT_RATE"))
-    if has(df, "FGA", "PTS"):
-        out.append(flag(c("FGA") > 12).alias("SCORER_ROLE"))
-    if has(df, "AST"):
-        out.append(flag(c("AST") > 4).alias("PLAYMAKER_ROLE"))
-    if has(df, "REB"):
-        out.append(flag(c("REB") > 7).alias("REBOUNDER_ROLE"))
-    if has(df, "STL", "BLK"):
-        d = c("STL") + c("BLK")
-        out.append(d.alias("DEFENSIVE_STATS"))
-        out.append(flag(d > 2).alias("DEFENDER_ROLE"))
-    return df.select("*", *out)
+    cs, done = column_set(df)
+    c = cs.col
+    if has(cs, "ADV_USG_PCT"):
+        cs.add("USAGE_RATE", c("ADV_USG_PCT"))
+    if has(cs, "FGA", "MIN"):
+        cs.add("FGA_PER_MIN", X.safe_div(c("FGA"), c("MIN")))
+    if has(cs, "FG3A"):
+        cs.add("THREE_PT_VOLUME", c("FG3A"))
+        if has(cs, "FGA"):
+            cs.add("THREE_PT_RATE", X.safe_div(c("FG3A"), c("FGA")))
+    if has(cs, "FGA", "PTS"):
+        cs.add("SCORER_ROLE", X.flag(f"{c('FGA')} > 12"))
+    if has(cs, "AST"):
+        cs.add("PLAYMAKER_ROLE", X.flag(f"{c('AST')} > 4"))
+    if has(cs, "REB"):
+        cs.add("REBOUNDER_ROLE", X.flag(f"{c('REB')} > 7"))
+    if has(cs, "STL", "BLK"):
+        cs.add("DEFENSIVE_STATS", f"{c('STL')} + {c('BLK')}")
+        cs.add("DEFENDER_ROLE", X.flag(f"{c('DEFENSIVE_STATS')} > 2"))
+    return done(cs)
 
 
 def team_context_features(df: DataFrame) -> DataFrame:
-    out = []
-    c = F.col
-    if has(df, "TEAM_PACE"):
-        adj = c("TEAM_PACE") / F.lit(LEAGUE_PACE)
-        out.append(adj.alias("PACE_ADJUSTMENT"))
+    cs, done = column_set(df)
+    c = cs.col
+    if has(cs, "TEAM_PACE"):
+        cs.add("PACE_ADJUSTMENT", f"{c('TEAM_PACE')} / {X.d(LEAGUE_PACE)}")
         for s in ("PTS", "AST", "REB"):
-            if has(df, s):
-                out.append(raw_div(c(s), adj).alias(f"{s}_PACE_ADJ"))
-    if has(df, "TEAM_W_PCT"):
-        out.append(flag(c("TEAM_W_PCT") > 0.5).alias("ON_WINNING_TEAM"))
-        out.append(flag(c("TEAM_W_PCT") > 0.45).alias("ON_PLAYOFF_TEAM"))
-    if has(df, "TEAM_OFF_RATING"):
-        out.append((c("TEAM_OFF_RATING") - F.lit(LEAGUE_RATING)).alias("TEAM_OFF_STRENGTH"))
-    if has(df, "TEAM_DEF_RATING"):
-        out.append((F.lit(LEAGUE_RATING) - c("TEAM_DEF_RATING")).alias("TEAM_DEF_STRENGTH"))
-    if has(df, "TEAM_NET_RATING"):
-        out.append(F.abs(c("TEAM_NET_RATING")).alias("TEAM_NET_RATING_ABS"))
-    return df.select("*", *out)
+            if has(cs, s):
+                cs.add(f"{s}_PACE_ADJ", X.raw_div(c(s), c("PACE_ADJUSTMENT")))
+    if has(cs, "TEAM_W_PCT"):
+        cs.add("ON_WINNING_TEAM", X.flag(f"{c('TEAM_W_PCT')} > 0.5D"))
+        cs.add("ON_PLAYOFF_TEAM", X.flag(f"{c('TEAM_W_PCT')} > 0.45D"))
+    if has(cs, "TEAM_OFF_RATING"):
+        cs.add("TEAM_OFF_STRENGTH", f"{c('TEAM_OFF_RATING')} - {X.d(LEAGUE_RATING)}")
+    if has(cs, "TEAM_DEF_RATING"):
+        cs.add("TEAM_DEF_STRENGTH", f"{X.d(LEAGUE_RATING)} - {c('TEAM_DEF_RATING')}")
+    if has(cs, "TEAM_NET_RATING"):
+        cs.add("TEAM_NET_RATING_ABS", f"abs({c('TEAM_NET_RATING')})")
+    return done(cs)
+
+
+INTERACTIONS = (
+    ("AGE", "ADV_USG_PCT", "AGE_USAGE_INTERACTION"),
+    ("MIN", "ADV_TS_PCT", "MIN_EFFICIENCY_INTERACTION"),
+    ("TEAM_PACE", "ADV_USG_PCT", "PACE_USAGE_INTERACTION"),
+    ("AGE", "TEAM_W_PCT", "AGE_TEAM_QUALITY"),
+    ("YEARS_EXPERIENCE", "MIN", "EXP_MIN_INTERACTION"),
+)
 
 
 def interaction_features(df: DataFrame) -> DataFrame:
-    c = F.col
-    pairs = (
-        ("AGE", "ADV_USG_PCT", "AGE_USAGE_INTERACTION"),
-        ("MIN", "ADV_TS_PCT", "MIN_EFFICIENCY_INTERACTION"),
-        ("TEAM_PACE", "ADV_USG_PCT", "PACE_USAGE_INTERACTION"),
-        ("AGE", "TEAM_W_PCT", "AGE_TEAM_QUALITY"),
-        ("YEARS_EXPERIENCE", "MIN", "EXP_MIN_INTERACTION"),
-    )
-    return df.select("*", *[(c(a) * c(b)).alias(n) for a, b, n in pairs if has(df, a, b)])
+    cs, done = column_set(df)
+    for a, b, n in INTERACTIONS:
+        if has(cs, a, b):
+            cs.add(n, f"{cs.col(a)} * {cs.col(b)}")
+    return done(cs)
 
 
 def position_categories(df: DataFrame, col: str = "POSITION") -> list[str]:
@@ -127,63 +131,69 @@ def position_one_hot(df: DataFrame, categories: Sequence[str], col: str = "POSIT
     Categories are passed in (fixed from the training data) so the schema does
     not depend on the rows being scored.
     """
-    if not has(df, col):
-        return df
-    return df.select("*", *[F.coalesce(F.col(col) == F.lit(v), F.lit(False)).alias(f"POS_{v}")
-                           for v in categories])
+    cs, done = column_set(df)
+    if has(cs, col):
+        for v in categories:
+            lit = "'" + v.replace("'", "''") + "'"
+            cs.add(f"POS_{v}", X.b(f"{cs.col(col)} = {lit}"))
+    return done(cs)
 
 
 def position_groups(df: DataFrame, col: str = "POSITION") -> DataFrame:
     """``IS_GUARD/FORWARD/CENTER``: position contains G / F / C (case-sensitive, null -> 0)."""
-    if not has(df, col):
-        return df
-    p = F.col(col)
-    return df.select("*", flag(p.contains("G")).alias("IS_GUARD"), flag(p.contains("F")).alias("IS_FORWARD"),
-                     flag(p.contains("C")).alias("IS_CENTER"))
+    cs, done = column_set(df)
+    if has(cs, col):
+        p = cs.col(col)
+        cs.add("IS_GUARD", X.flag(f"contains({p}, 'G')"))
+        cs.add("IS_FORWARD", X.flag(f"contains({p}, 'F')"))
+        cs.add("IS_CENTER", X.flag(f"contains({p}, 'C')"))
+    return done(cs)
 
 
 def physical_features(df: DataFrame) -> DataFrame:
-    out = []
-    c = F.col
-    if has(df, "HEIGHT_INCHES", "WEIGHT"):
-        out.append((raw_div(c("WEIGHT"), F.pow(c("HEIGHT_INCHES"), F.lit(2.0))) * F.lit(703.0)).alias("BMI"))
-    if has(df, "HEIGHT_INCHES"):
-        out.append(cut_right_closed("HEIGHT_INCHES", HEIGHT_EDGES).alias("HEIGHT_CAT"))
-    if has(df, "WEIGHT"):
-        out.append(cut_right_closed("WEIGHT", WEIGHT_EDGES).alias("WEIGHT_CAT"))
-    return df.select("*", *out)
+    cs, done = column_set(df)
+    c = cs.col
+    if has(cs, "HEIGHT_INCHES", "WEIGHT"):
+        h2 = f"power({c('HEIGHT_INCHES')}, 2.0D)"
+        cs.add("BMI", f"({X.raw_div(c('WEIGHT'), h2)}) * 703.0D")
+    if has(cs, "HEIGHT_INCHES"):
+        cs.add("HEIGHT_CAT", X.cut(c("HEIGHT_INCHES"), HEIGHT_EDGES))
+    if has(cs, "WEIGHT"):
+        cs.add("WEIGHT_CAT", X.cut(c("WEIGHT"), WEIGHT_EDGES))
+    return done(cs)
 
 
 def team_derived_stats(df: DataFrame) -> DataFrame:
     """Team-table ratios, each only if absent: TS_PCT, FG3A_RATE, AST_RATIO, TOV_RATE, REB_PCT."""
-    c = F.col
-    out = []
-    if not has(df, "TS_PCT") and has(df, "PTS", "FGA", "FTA"):
-        out.append(raw_div(c("PTS"), F.lit(2.0) * (c("FGA") + F.lit(0.44) * c("FTA"))).alias("TS_PCT"))
-    if not has(df, "FG3A_RATE") and has(df, "FG3A", "FGA"):
-        out.append(raw_div(c("FG3A"), c("FGA")).alias("FG3A_RATE"))
-    if not has(df, "AST_RATIO") and has(df, "AST", "FGA", "FTA", "OREB_PCT", "FGM", "TOV"):
-        den = c("FGA") + F.lit(0.44) * c("FTA") - c("OREB_PCT") * (c("FGA") - c("FGM")) + c("TOV")
-        out.append((F.lit(100.0) * raw_div(c("AST"), den)).alias("AST_RATIO"))
-    if not has(df, "TOV_RATE"):
-        if has(df, "TM_TOV_PCT"):
-            out.append(c("TM_TOV_PCT").alias("TOV_RATE"))
-        elif has(df, "TOV", "FGA", "FTA"):
-            den = c("FGA") + F.lit(0.44) * c("FTA") + c("TOV")
-            out.append((F.lit(100.0) * raw_div(c("TOV"), den)).alias("TOV_RATE"))
-    if not has(df, "REB_PCT") and has(df, "OREB", "DREB", "REB"):
-        out.append(raw_div(c("OREB") + c("DREB"), c("REB")).alias("REB_PCT"))
-    return df.select("*", *out)
+    cs, done = column_set(df)
+    c = cs.col
+    if not has(cs, "TS_PCT") and has(cs, "PTS", "FGA", "FTA"):
+        cs.add("TS_PCT", X.raw_div(c("PTS"), f"2.0D * ({c('FGA')} + 0.44D * {c('FTA')})"))
+    if not has(cs, "FG3A_RATE") and has(cs, "FG3A", "FGA"):
+        cs.add("FG3A_RATE", X.raw_div(c("FG3A"), c("FGA")))
+    if not has(cs, "AST_RATIO") and has(cs, "AST", "FGA", "FTA", "OREB_PCT", "FGM", "TOV"):
+        den = f"{c('FGA')} + 0.44D * {c('FTA')} - {c('OREB_PCT')} * ({c('FGA')} - {c('FGM')}) + {c('TOV')}"
+        cs.add("AST_RATIO", f"100.0D * {X.raw_div(c('AST'), den)}")
+    if not has(cs, "TOV_RATE"):
+        if has(cs, "TM_TOV_PCT"):
+            cs.add("TOV_RATE", c("TM_TOV_PCT"))
+        elif has(cs, "TOV", "FGA", "FTA"):
+            den = f"{c('FGA')} + 0.44D * {c('FTA')} + {c('TOV')}"
+            cs.add("TOV_RATE", f"100.0D * {X.raw_div(c('TOV'), den)}")
+    if not has(cs, "REB_PCT") and has(cs, "OREB", "DREB", "REB"):
+        cs.add("REB_PCT", X.raw_div(f"{c('OREB')} + {c('DREB')}", c("REB")))
+    return done(cs)
 
 
 def derived_chain(df: DataFrame, positions: Sequence[str] | None = None, max_games: int = S.MAX_GAMES) -> DataFrame:
-    """All family-F features in the reference's stage order."""
-    df = age_features(df)
-    df = efficiency_features(df, max_games)
-    df = role_features(df)
-    df = team_context_features(df)
-    df = interaction_features(df)
+    """All family-F features in the reference's stage order (one projection)."""
+    cs, done = column_set(df)
+    cs = age_features(cs)
+    cs = efficiency_features(cs, max_games)
+    cs = role_features(cs)
+    cs = team_context_features(cs)
+    cs = interaction_features(cs)
     if positions is not None:
-        df = position_one_hot(df, positions)
-    df = position_groups(df)
-    return physical_features(df)
+        cs = position_one_hot(cs, positions)
+    cs = position_groups(cs)
+    return done(physical_features(cs))

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,17 @@ def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accurac
     if not targets:
         return {}
     cols = list(dict.fromkeys(c for c, _ in targets))
-    x = {c: F.col(c).cast("double") for c in cols}
+    # only the needed columns, kept for the 3-4 passes below (spills to disk if large)
+    df = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _solve(df, targets, cols, accuracy, max_collect)
+    finally:
+        df.unpersist()
+
+
+def _solve(df, targets, cols, accuracy, max_collect):
+    x = {c: F.col(f"q{i}") for i, c in enumerate(cols)}
     counts = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
 

@@ -1,7 +1,9 @@
-"""Named queries: one callable per operator ID, each ``(spark, sf_dir) -> DataFrame``.
+"""Named queries: one callable per operator ID of the blueprint, ``(spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver tables (through the stand-in raw tables) and
-runs the operator it is named after on the whole input.
+Every query reads the driver tables (through the stand-in raw tables of
+:mod:`panelforge.sources.driver_tables`) and runs the operator it is named
+after on the whole input.  Queries whose output SQL can express have a
+DuckDB oracle of the same name in ``duckdb_oracle``.
 """
 
 from __future__ import annotations
@@ -11,15 +13,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import spec as S
+from ..functions import raw_div
+from ..operators import availability as G
+from ..operators import cleaning as B
+from ..operators import derived as D
+from ..operators import ensembles as L
 from ..operators import evaluation as J
+from ..operators import joins as C
+from ..operators import models as K
 from ..operators import panel_windows as E
+from ..operators import preparation as I
+from ..operators import profiling as P
+from ..operators import projections as N
+from ..sources import driver_tables as T
+from ..sources import io as A
 from ..spec import DEFAULT_SPEC
-from . import feature_panel as P
+from . import feature_panel as FP
 
 SPEC = DEFAULT_SPEC
+KEYS = SPEC.keys
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+TRAIN = FP.TRAIN_PERIODS
+VAL = FP.VAL_PERIOD
+BASELINES = ("Baseline_LAG1", "Baseline_3yr", "Baseline_Position")
+# Partial last year of the driver data: Jan-Aug of 2001 -> 7/12 of a full season.
+FIXTURE_SEASON_GAMES = {"2001-02": 48}
+ADV_STATS = ("USG_PCT", "TS_PCT", "AST_PCT", "REB_PCT", "PIE")
+BOX = ("GP", "MIN", "PTS", "REB", "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A",
+       "FG3_PCT", "FTM", "FTA", "FT_PCT")
+
 
 def query(name: str):
     def deco(fn):
@@ -28,41 +53,916 @@ def query(name: str):
     return deco
 
 
+# --- shared inputs ------------------------------------------------------------
+
 def _master(spark, d):
-    return P.master_panel(spark, d, SPEC)
+    return FP.master_panel(spark, d, SPEC)
 
 
 def _lagged(spark, d):
-    return P.with_lags(_master(spark, d), SPEC)
+    """Master panel + targets + lag chain (lags, rolling, trend, consistency, history)."""
+    return FP.with_lags(_master(spark, d), SPEC)
+
+
+POSITIONS = ("Center", "Forward", "Guard", "Guard-Forward")
+
+
+def _featured(spark, d):
+    return FP.add_features(_lagged(spark, d), POSITIONS)
+
+
+def _added(before: DataFrame, after: DataFrame) -> DataFrame:
+    new = [c for c in after.columns if c not in set(before.columns)]
+    return after.select(*KEYS, *new)
+
+
+def _val(df):
+    return df.where(F.col(SPEC.period) == VAL)
 
 
-# --- flagship ---------------------------------------------------------------
+def _train(df):
+    return df.where(F.col(SPEC.period).isin(*TRAIN) & F.col("NEXT_PTS").isNotNull())
+
+
+def _baseline_preds(spark, d):
+    lag = _lagged(spark, d)
+    val = _val(lag)
+    return (J.baseline_lag1(val, SPEC).unionByName(J.baseline_multi_year(val, SPEC))
+            .unionByName(J.baseline_group_average(val, _train(lag), SPEC)))
+
+
+def _baseline_metrics(spark, d):
+    return J.regression_metrics(_baseline_preds(spark, d))
+
+
+# --- flagship -------------------------------------------------------------------
 
 @query("flagship_baseline_metrics")
 def flagship_baseline_metrics(spark, d):
     """Customer-year panel -> GP filter -> targets + lags -> LAG1 baseline -> metrics on the validation period."""
+    df = E.targets_and_lags(_master(spark, d), SPEC)
+    return J.regression_metrics(J.baseline_lag1(_val(df), SPEC))
+
+
+# --- A: scans, sources, sinks ------------------------------------------------------
+
+CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@query("scan_table")
+def q_scan_table(spark, d):
+    return A.scan_table(spark, f"{d}/customer.parquet", CUSTOMER_SCHEMA)
+
+
+@query("union_period_batches")
+def q_union_period_batches(spark, d):
+    stats = T.player_stats(spark, d)
+    labels = list(T.season_ordinals())
+    batches = {lab: stats.where(F.col("SEASON") == lab).drop("SEASON") for lab in labels}
+    batches["1994-95"] = None                 # a failed fetch: skipped
+    return A.union_period_batches(batches, "SEASON", {"MEASURE_TYPE": "Base"})
+
+
+@query("scan_metrics_json")
+def q_scan_metrics_json(spark, d):
+    path = A.scratch_path(spark, "metrics-json")
+    A.sink_metrics_json(_baseline_metrics(spark, d), path)
+    return A.scan_metrics_json(spark, path)
+
+
+@query("sink_table")
+def q_sink_table(spark, d):
+    path = A.scratch_path(spark, "master")
+    A.sink_table(_master(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query("sink_prepared")
+def q_sink_prepared(spark, d):
+    prep = _prepared(spark, d)
+    base = A.scratch_path(spark, "prepared")
+    paths = A.sink_prepared(prep.splits, base, KEYS, prep.features, SPEC.targets, S.METADATA_COLS,
+                            extra={"fill_values": prep.fill.table(spark)})
+    return spark.read.parquet(paths["X_val"]).join(spark.read.parquet(paths["y_val"]), KEYS)
+
+
+@query("sink_metrics_json")
+def q_sink_metrics_json(spark, d):
+    path = A.scratch_path(spark, "metrics")
+    A.sink_metrics_json(_baseline_metrics(spark, d), path)
+    return spark.read.json(path)
+
+
+@query("model_store")
+def q_model_store(spark, d):
+    prep = _prepared(spark, d)
+    tr = K.assemble(prep.splits["train"], prep.features)
+    m = K.LinearRegression(featuresCol="features", labelCol="NEXT_PTS", regParam=0.1).fit(tr)
+    paths = A.model_store_save({"linear_NEXT_PTS": m}, A.scratch_path(spark, "models"))
+    paths["absent"] = paths["linear_NEXT_PTS"] + "-missing"
+    loaded = A.model_store_load(paths)
+    return K.predict_all(loaded, K.assemble(prep.splits["val"], prep.features), "NEXT_PTS", SPEC)
+
+
+# --- B: projection, predicates, cleaning -------------------------------------------
+
+PLAYER_KEEP = ("PLAYER_ID", "PLAYER_NAME", "TEAM_ID", "TEAM_ABBREVIATION", "AGE", "GP", "MIN", "PTS", "REB",
+               "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA",
+               "FT_PCT", "SEASON")
+
+
+@query("project_existing")
+def q_project_existing(spark, d):
+    return B.project_existing(T.player_stats(spark, d), PLAYER_KEEP)
+
+
+@query("rename_map")
+def q_rename_map(spark, d):
+    return B.rename_map(T.player_bio(spark, d), {"PERSON_ID": "PLAYER_ID", "DISPLAY_FIRST_LAST": "PLAYER_NAME",
+                                                 "SEASON_EXP": "YEARS_EXPERIENCE"})
+
+
+@query("prefix_columns")
+def q_prefix_columns(spark, d):
+    return B.prefix_columns(T.team_stats(spark, d), "TEAM_", keep=("TEAM_NAME", "SEASON"))
+
+
+@query("filter_min_games")
+def q_filter_min_games(spark, d):
+    return B.filter_min_games(T.player_stats(spark, d), 10)
+
+
+@query("filter_active_entities")
+def q_filter_active_entities(spark, d):
+    active = T.table(spark, d, "customer").select(F.col("c_custkey").alias("id"),
+                                                  (F.col("c_acctbal") > 0).alias("is_active"))
+    return B.filter_active_entities(T.player_stats(spark, d), active, "PLAYER_ID")
+
+
+@query("filter_id_prefix")
+def q_filter_id_prefix(spark, d):
+    return B.filter_id_prefix(T.team_stats(spark, d), "TEAM_ID", "161061270")
+
+
+@query("dedup_keep_first")
+def q_dedup_keep_first(spark, d):
+    o = T.table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_orderdate",
+                                           "o_orderkey", "o_totalprice", "o_orderstatus")
+    return B.dedup_keep_first(o, ["o_custkey", "yr"], ["o_orderdate", "o_orderkey"])
+
+
+PCT_COLS = ("FG_PCT", "FG3_PCT", "FT_PCT", "TEAM_W_PCT", "ADV_USG_PCT", "ADV_AST_PCT", "ADV_REB_PCT", "ADV_TS_PCT")
+
+
+@query("fill_pct_zero")
+def q_fill_pct_zero(spark, d):
+    return B.fill_pct_zero(_master(spark, d)).select(*KEYS, *PCT_COLS)
+
+
+@query("fill_global_median")
+def q_fill_global_median(spark, d):
+    return B.fill_global_median(T.advanced_stats(spark, d), list(ADV_STATS))
+
+
+PERIOD_MEAN_COLS = ("MIN", "PTS", "REB", "AST", "FG_PCT", "TEAM_PACE", "TEAM_W_PCT", "ADV_USG_PCT", "ADV_PIE")
+
+
+@query("fill_period_mean")
+def q_fill_period_mean(spark, d):
+    m = _master(spark, d).select(*KEYS, "GP", *PERIOD_MEAN_COLS)
+    return B.fill_period_mean(m, "SEASON", skip=("PLAYER_ID", "GP"))
+
+
+@query("fill_constant_default")
+def q_fill_constant_default(spark, d):
     m = _master(spark, d)
-    df = E.targets_and_lags(m, SPEC)
-    val = df.where(F.col(SPEC.period) == P.VAL_PERIOD)
-    return J.regression_metrics(J.baseline_lag1(val, SPEC))
+    out = B.fill_constant_default(m, {"YEARS_EXPERIENCE": 0, "DRAFT_YEAR": "Undrafted", "TEAM_NAME": "Unmapped"})
+    return out.select(*KEYS, "YEARS_EXPERIENCE", "DRAFT_YEAR", "TEAM_NAME")
+
+
+@query("coerce_numeric")
+def q_coerce_numeric(spark, d):
+    b = T.player_bio(spark, d)
+    return B.coerce_numeric(b, ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0).select(
+        "PERSON_ID", "DRAFT_ROUND", "DRAFT_NUMBER")
+
+
+@query("coerce_timestamp")
+def q_coerce_timestamp(spark, d):
+    return B.coerce_timestamp(T.player_bio(spark, d), "BIRTHDATE").select("PERSON_ID", "BIRTHDATE")
+
+
+AS_OF = "2002-01-01"
+
+
+@query("age_from_birthdate")
+def q_age_from_birthdate(spark, d):
+    b = B.coerce_timestamp(T.player_bio(spark, d), "BIRTHDATE")
+    return B.age_from_birthdate(b, AS_OF).select("PERSON_ID", "BIRTHDATE", "AGE")
+
+
+@query("parse_height")
+def q_parse_height(spark, d):
+    return B.parse_height(T.player_bio(spark, d)).select("PERSON_ID", "HEIGHT", "HEIGHT_INCHES")
+
+
+@query("map_lookup")
+def q_map_lookup(spark, d):
+    out = B.map_lookup(T.player_stats(spark, d), T.team_lookup(spark, d), "TEAM_ABBREVIATION", "TEAM_NAME")
+    return out.select(*KEYS, "TEAM_ABBREVIATION", "TEAM_NAME")
+
+
+@query("period_label")
+def q_period_label(spark, d):
+    o = T.table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("yr"))
+    return B.period_label(o, "yr", "SEASON")
 
 
-# --- E: window / panel ------------------------------------------------------
+@query("period_ordinal")
+def q_period_ordinal(spark, d):
+    return B.period_ordinal(T.player_stats(spark, d), T.season_ordinals()).select(*KEYS, "SEASON_ORDER")
+
+
+@query("sort_rows")
+def q_sort_rows(spark, d):
+    return B.sort_rows(_master(spark, d).select(*KEYS, "GP", "PTS"), ["PTS", "PLAYER_ID", "SEASON"],
+                       [False, True, True])
+
+
+@query("text_contains_filter")
+def q_text_contains_filter(spark, d):
+    return B.text_contains_filter(_master(spark, d), "PLAYER_NAME", "customer#0000001").select(
+        *KEYS, "PLAYER_NAME", "PTS")
+
+
+@query("replace_infinite")
+def q_replace_infinite(spark, d):
+    s = T.player_stats(spark, d).select(*KEYS, raw_div("AST", "STL").alias("AST_PER_STL"),
+                                        raw_div("FG3M", "FG3A").alias("FG3M_PER_FG3A"))
+    return B.replace_infinite(s)
+
+
+@query("drop_non_numeric_features")
+def q_drop_non_numeric_features(spark, d):
+    return B.drop_non_numeric_features(_master(spark, d), keep=KEYS)
+
+
+@query("clean_bio")
+def q_clean_bio(spark, d):
+    return B.clean_bio(T.player_bio(spark, d), as_of=AS_OF)
+
+
+# --- C: joins -----------------------------------------------------------------------
+
+def _adv_measures(spark, d):
+    a = T.advanced_stats(spark, d)
+    return {"Advanced": a.select(*KEYS, "TS_PCT", "USG_PCT"), "Usage": a.select(*KEYS, "USG_PCT", "AST_PCT"),
+            "Misc": a.select(*KEYS, "REB_PCT"), "Scoring": a.select(*KEYS, "PIE"), "Defense": None}
+
+
+@query("join_player_measures")
+def q_join_player_measures(spark, d):
+    return C.join_player_measures(_adv_measures(spark, d), SPEC)
+
+
+@query("join_team_measures")
+def q_join_team_measures(spark, d):
+    t = T.team_stats(spark, d)
+    k = ["TEAM_ID", "SEASON"]
+    frames = {"Base": t.select(*k, "TEAM_NAME", "GP", "W", "L", "W_PCT"),
+              "Advanced": t.select(*k, "OFF_RATING", "DEF_RATING", "NET_RATING", "PACE"),
+              "Four Factors": t.select(*k, "W_PCT"), "Misc": t.select(*k, "GP")}
+    return C.join_team_measures(frames, k)
+
+
+@query("join_bio")
+def q_join_bio(spark, d):
+    return C.join_bio(T.player_stats(spark, d), B.clean_bio(T.player_bio(spark, d)), SPEC)
+
+
+@query("join_team_context")
+def q_join_team_context(spark, d):
+    return C.join_team_context(T.player_stats(spark, d), T.team_stats(spark, d), T.team_lookup(spark, d), SPEC)
+
+
+@query("join_advanced")
+def q_join_advanced(spark, d):
+    return C.join_advanced(T.player_stats(spark, d), T.advanced_stats(spark, d), SPEC)
+
 
 @query("build_master_panel")
 def q_build_master_panel(spark, d):
     return _master(spark, d)
 
 
+@query("join_group_average")
+def q_join_group_average(spark, d):
+    lag = _lagged(spark, d)
+    means = J.group_mean_train(_train(lag), ["PTS"], "POSITION").where(F.col("POSITION").isNotNull())
+    return C.join_group_average(_val(lag).select(*KEYS, "POSITION"), means, "POSITION", "PTS", 0.0)
+
+
+@query("join_metrics_by_target")
+def q_join_metrics_by_target(spark, d):
+    return C.join_metrics_by_target(_baseline_metrics(spark, d), "MAE", BASELINES)
+
+
+# --- D: aggregations ---------------------------------------------------------------
+
+@query("period_summary")
+def q_period_summary(spark, d):
+    return P.period_summary(_master(spark, d), ["GP", "MIN", "PTS", "REB", "AST"])
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return P.value_counts(_master(spark, d), "POSITION", normalize=True)
+
+
+@query("panel_overview")
+def q_panel_overview(spark, d):
+    return P.panel_overview(_master(spark, d), SPEC)
+
+
+@query("describe_columns")
+def q_describe_columns(spark, d):
+    return P.describe_columns(_lagged(spark, d), SPEC.targets)
+
+
+@query("target_moments")
+def q_target_moments(spark, d):
+    return P.target_moments(_lagged(spark, d), SPEC.targets)
+
+
+@query("missing_profile")
+def q_missing_profile(spark, d):
+    return P.missing_profile(_lagged(spark, d))
+
+
+@query("missing_severity")
+def q_missing_severity(spark, d):
+    return P.missing_severity(P.missing_profile(_lagged(spark, d)))
+
+
+AVAIL_FLAGS = ("HIGH_AVAILABILITY", "MEDIUM_AVAILABILITY", "LOW_AVAILABILITY", "GP_IMPROVING", "GP_DECLINING",
+               "VETERAN_INJURY_RISK", "HEAVY_MINUTES_LOAD", "INJURY_PRONE_PATTERN", "MAJOR_GP_DROP",
+               "RECOVERY_YEAR", "HIGH_WORKLOAD", "INCREASING_WORKLOAD", "LOAD_MANAGEMENT", "RECOVERING_FROM_LOW_PLAY")
+
+
+@query("availability_breakdown")
+def q_availability_breakdown(spark, d):
+    return P.availability_breakdown(G.availability_chain(_lagged(spark, d)), AVAIL_FLAGS)
+
+
+@query("target_range_check")
+def q_target_range_check(spark, d):
+    return P.target_range_check(_lagged(spark, d))
+
+
+@query("target_coverage")
+def q_target_coverage(spark, d):
+    return P.target_coverage(_lagged(spark, d), "NEXT_PTS")
+
+
+@query("target_correlation_topk")
+def q_target_correlation_topk(spark, d):
+    return P.target_correlation_topk(_lagged(spark, d), SPEC.targets, 5)
+
+
+CORR_COLS = ("PTS", "MIN", "FGA", "FGM", "FG3A", "FG3M", "FTA", "FTM", "PTS_LAG1", "PTS_AVG2", "GP", "TEAM_PACE")
+
+
+@query("high_correlation_pairs")
+def q_high_correlation_pairs(spark, d):
+    return P.high_correlation_pairs(_lagged(spark, d), CORR_COLS, 0.95, method="masked")
+
+
+@query("career_totals")
+def q_career_totals(spark, d):
+    return P.career_totals(_master(spark, d))
+
+
+@query("group_mean_train")
+def q_group_mean_train(spark, d):
+    return J.group_mean_train(_train(_lagged(spark, d)), list(S.TARGET_STATS), "POSITION")
+
+
+def _inf_splits(spark, d):
+    f = _featured(spark, d)
+    f = f.select("*", raw_div("AST", "STL").alias("AST_PER_STL"))
+    sp = I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS")
+    return sp
+
+
+@query("infinite_profile")
+def q_infinite_profile(spark, d):
+    return P.infinite_profile(_inf_splits(spark, d))
+
+
+FEATURE_STAT_COLS = ("PTS", "MIN", "GP", "PTS_LAG1", "PTS_AVG3", "PTS_STD3", "AGE", "ADV_USG_PCT", "TEAM_PACE")
+
+
+@query("feature_stats")
+def q_feature_stats(spark, d):
+    return P.feature_stats(_lagged(spark, d), FEATURE_STAT_COLS)
+
+
+# --- E: window / panel -------------------------------------------------------------
+
 @query("create_targets")
 def q_create_targets(spark, d):
     m = _master(spark, d)
-    out = E.create_targets(m, SPEC)
-    return out.select(*SPEC.keys, *[c for c in out.columns if c.startswith("NEXT_")])
+    return _added(m, E.create_targets(m, SPEC))
 
 
 @query("lag_features")
 def q_lag_features(spark, d):
     m = _master(spark, d)
-    out = E.lag_features(m, SPEC)
-    return out.select(*SPEC.keys, *[c for c in out.columns if "_LAG" in c])
+    return _added(m, E.lag_features(m, SPEC))
+
+
+@query("rolling_averages")
+def q_rolling_averages(spark, d):
+    base = E.lag_features(_master(spark, d), SPEC)
+    return _added(base, E.rolling_averages(base))
+
+
+@query("trend_features")
+def q_trend_features(spark, d):
+    base = E.lag_features(_master(spark, d), SPEC)
+    return _added(base, E.trend_features(base))
+
+
+@query("consistency_features")
+def q_consistency_features(spark, d):
+    base = E.lag_features(_master(spark, d), SPEC)
+    return _added(base, E.consistency_features(base))
+
+
+@query("history_flags")
+def q_history_flags(spark, d):
+    base = E.lag_features(_master(spark, d), SPEC)
+    return _added(base, E.history_flags(base, SPEC))
+
+
+@query("lag_features_strict")
+def q_lag_features_strict(spark, d):
+    m = _master(spark, d)
+    return _added(m, E.lag_features(m, SPEC, stats=["PTS", "GP"], strict=True))
+
+
+@query("create_targets_supplier_year")
+def q_create_targets_supplier_year(spark, d):
+    sy = T.supplier_year(spark, d)
+    return _added(sy, E.create_targets(sy, SPEC, stats=["PTS", "AST", "REB", "MIN"]))
+
+
+@query("lag_features_user_day")
+def q_lag_features_user_day(spark, d):
+    ud = T.user_day(spark, d)
+    spec = SPEC.with_(entity="user_id", period="day")
+    out = E.lag_features(ud, spec, stats=["GP", "PTS"])
+    return out.select("user_id", "day", *[c for c in out.columns if "_LAG" in c])
+
+
+# --- F: derived row-level features ----------------------------------------------------
+
+def _family(fn):
+    def q(spark, d):
+        base = _lagged(spark, d)
+        return _added(base, fn(base))
+    return q
+
+
+for _name, _fn in {
+    "age_features": D.age_features,
+    "efficiency_features": D.efficiency_features,
+    "role_features": D.role_features,
+    "team_context_features": D.team_context_features,
+    "interaction_features": D.interaction_features,
+    "position_one_hot": lambda df: D.position_one_hot(df, POSITIONS),
+    "position_groups": D.position_groups,
+    "physical_features": D.physical_features,
+    "games_played_features": G.games_played_features,
+    "availability_trend": G.availability_trend,
+    "injury_proxy": G.injury_proxy,
+    "workload_features": G.workload_features,
+    "rest_recovery": G.rest_recovery,
+    "availability_score": G.availability_score,
+}.items():
+    query(_name)(_family(_fn))
+
+
+@query("team_derived_stats")
+def q_team_derived_stats(spark, d):
+    s = T.player_stats(spark, d)
+    return _added(s, D.team_derived_stats(s))
+
+
+@query("season_max_games_rate")
+def q_season_max_games_rate(spark, d):
+    m = _master(spark, d)
+    return _added(m, G.season_max_games_rate(m, FIXTURE_SEASON_GAMES, "SEASON"))
+
+
+# --- H: validation / selection ----------------------------------------------------------
+
+@query("drop_high_missing")
+def q_drop_high_missing(spark, d):
+    f = _featured(spark, d)
+    kept = P.drop_high_missing(f, 90.0, protect=SPEC.targets)
+    return P.missing_profile(kept, only_missing=False).select("column")
+
+
+@query("drop_constant_features")
+def q_drop_constant_features(spark, d):
+    f = _featured(spark, d)
+    kept = P.drop_constant_features(f, exclude=list(SPEC.targets) + list(S.METADATA_COLS))
+    return P.missing_profile(kept, only_missing=False).select("column")
+
+
+@query("separate_columns")
+def q_separate_columns(spark, d):
+    parts = P.separate_columns(_featured(spark, d), SPEC.targets, S.METADATA_COLS)
+    return parts["targets"]
+
+
+@query("validate_types")
+def q_validate_types(spark, d):
+    return P.validate_types(_featured(spark, d))
+
+
+@query("split_has_target")
+def q_split_has_target(spark, d):
+    train, pred = P.split_has_target(_lagged(spark, d), "NEXT_PTS")
+    return train.select(*KEYS, F.lit("train").alias("part")).unionByName(pred.select(*KEYS, F.lit("pred").alias("part")))
+
+
+# --- I: split, impute, scale --------------------------------------------------------------
+
+PREP_FEATURES = tuple(
+    ["AGE", "YEARS_EXPERIENCE", "HEIGHT_INCHES", "WEIGHT", "DRAFT_ROUND", "DRAFT_NUMBER", "TEAM_PACE",
+     "TEAM_OFF_RATING", "TEAM_DEF_RATING", "TEAM_NET_RATING", "TEAM_W_PCT"] + list(BOX)
+    + [f"ADV_{s}" for s in ADV_STATS] + [f"{s}_LAG{k}" for s in ("PTS", "MIN", "GP", "AST") for k in (1, 2, 3)])
+
+
+def _prep_input(spark, d):
+    lag = _lagged(spark, d)
+    return B.coerce_numeric(lag, ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
+
+
+def _prepared(spark, d, features=None):
+    f = _featured(spark, d)
+    return I.prepare_training_data(f, TRAIN, VAL, SPEC.targets, S.METADATA_COLS, features=features)
+
+
+@query("temporal_split")
+def q_temporal_split(spark, d):
+    sp = I.temporal_split(_lagged(spark, d), TRAIN, VAL, first_target="NEXT_PTS")
+    out = None
+    for k, v in sp.items():
+        p = v.select(*KEYS, F.lit(k).alias("split"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("fit_fill_values")
+def q_fit_fill_values(spark, d):
+    sp = I.temporal_split(_prep_input(spark, d), TRAIN, VAL, first_target="NEXT_PTS")
+    return I.FillValues.fit(sp["train"], PREP_FEATURES).table(spark)
+
+
+def _filled(spark, d):
+    sp = I.temporal_split(_prep_input(spark, d), TRAIN, VAL, first_target="NEXT_PTS")
+    fv = I.FillValues.fit(sp["train"], PREP_FEATURES)
+    return I.apply_fill_values(fv, {k: v.select(*KEYS, *PREP_FEATURES) for k, v in sp.items()}, PREP_FEATURES)
+
+
+def _union_splits(sp):
+    out = None
+    for k, v in sp.items():
+        p = v.withColumn("split", F.lit(k))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("apply_fill_values")
+def q_apply_fill_values(spark, d):
+    return _union_splits(_filled(spark, d))
+
+
+def _scaled(spark, d):
+    sp = _filled(spark, d)
+    sc = I.StandardScale.fit(sp["train"], PREP_FEATURES)
+    return {k: sc.transform(v) for k, v in sp.items()}
+
+
+@query("standard_scale")
+def q_standard_scale(spark, d):
+    return _union_splits(_scaled(spark, d))
+
+
+@query("scaling_check")
+def q_scaling_check(spark, d):
+    return I.scaling_check(_scaled(spark, d)["train"], PREP_FEATURES)
+
+
+@query("prepare_training_data")
+def q_prepare_training_data(spark, d):
+    prep = I.prepare_training_data(_lagged(spark, d), TRAIN, VAL, SPEC.targets, S.METADATA_COLS,
+                                   features=PREP_FEATURES)
+    return _union_splits({k: v.select(*KEYS, *PREP_FEATURES) for k, v in prep.splits.items()})
+
+
+# --- J: baselines and evaluation ------------------------------------------------------------
+
+@query("baseline_lag1")
+def q_baseline_lag1(spark, d):
+    return J.baseline_lag1(_val(_lagged(spark, d)), SPEC)
+
+
+@query("baseline_persistence")
+def q_baseline_persistence(spark, d):
+    return J.baseline_persistence(_val(_lagged(spark, d)), SPEC)
+
+
+@query("baseline_multi_year")
+def q_baseline_multi_year(spark, d):
+    return J.baseline_multi_year(_val(_lagged(spark, d)), SPEC)
+
+
+@query("baseline_group_average")
+def q_baseline_group_average(spark, d):
+    lag = _lagged(spark, d)
+    return J.baseline_group_average(_val(lag), _train(lag), SPEC)
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, d):
+    return _baseline_metrics(spark, d)
+
+
+@query("mape")
+def q_mape(spark, d):
+    return J.mape(_baseline_preds(spark, d))
+
+
+@query("metrics_summary")
+def q_metrics_summary(spark, d):
+    return J.metrics_summary(_baseline_metrics(spark, d))
+
+
+@query("improvement_vs_baseline")
+def q_improvement_vs_baseline(spark, d):
+    return J.improvement_vs_baseline(_baseline_metrics(spark, d), "Baseline_3yr", "Baseline_LAG1")
+
+
+@query("improvement_summary")
+def q_improvement_summary(spark, d):
+    return J.improvement_summary(J.improvement_vs_baseline(_baseline_metrics(spark, d), "Baseline_3yr",
+                                                           "Baseline_LAG1"))
+
+
+@query("best_model_per_target")
+def q_best_model_per_target(spark, d):
+    return J.best_model_per_target(_baseline_metrics(spark, d), BASELINES)
+
+
+@query("wins_by_approach")
+def q_wins_by_approach(spark, d):
+    return J.wins_by_approach(J.best_model_per_target(_baseline_metrics(spark, d), BASELINES))
+
+
+@query("best_overall_approach")
+def q_best_overall_approach(spark, d):
+    return J.best_overall_approach(_baseline_metrics(spark, d), "MAE", BASELINES)
+
+
+# --- K: models (rows-only: no SQL oracle for ML fits) ------------------------------------------
+
+ML_TARGET = "NEXT_PTS"
+
+
+def _ml_data(spark, d):
+    prep = _prepared(spark, d)
+    train = K.contiguous_folds(prep.splits["train"], 5, KEYS)
+    train = K.assemble(train, prep.features).cache()
+    val = K.assemble(prep.splits["val"], prep.features)
+    return prep, train, val
+
+
+def _score_val(model, val, name):
+    return K.predict_all({name: model}, val.where(F.col(ML_TARGET).isNotNull()), ML_TARGET, SPEC)
+
+
+@query("ridge_grid")
+def q_ridge_grid(spark, d):
+    _, train, val = _ml_data(spark, d)
+    m, _ = K.ridge_grid(train, ML_TARGET)
+    return J.regression_metrics(_score_val(m, val, "Ridge"))
+
+
+@query("lasso_grid")
+def q_lasso_grid(spark, d):
+    _, train, val = _ml_data(spark, d)
+    m, _ = K.lasso_grid(train, ML_TARGET, alphas=(0.01, 0.1, 1.0))
+    return J.regression_metrics(_score_val(m, val, "Lasso"))
+
+
+@query("elasticnet_grid")
+def q_elasticnet_grid(spark, d):
+    _, train, val = _ml_data(spark, d)
+    m, _ = K.elasticnet_grid(train, ML_TARGET, alphas=(0.1, 1.0), ratios=(0.5, 0.9))
+    return J.regression_metrics(_score_val(m, val, "ElasticNet"))
+
+
+@query("linear_best")
+def q_linear_best(spark, d):
+    _, train, val = _ml_data(spark, d)
+    name, m, _ = K.linear_best(train, val, ML_TARGET)
+    return J.regression_metrics(_score_val(m, val, name))
+
+
+@query("random_forest_grid")
+def q_random_forest_grid(spark, d):
+    _, train, val = _ml_data(spark, d)
+    m, _ = K.random_forest_grid(train, ML_TARGET, k=3, fold_col=None)
+    return J.regression_metrics(_score_val(m, val, "RF"))
+
+
+@query("boosted_trees_grid")
+def q_boosted_trees_grid(spark, d):
+    _, train, val = _ml_data(spark, d)
+    m, _ = K.boosted_trees_grid(train, ML_TARGET, k=3, fold_col=None)
+    return J.regression_metrics(_score_val(m, val, "GBT"))
+
+
+@query("contiguous_folds")
+def q_contiguous_folds(spark, d):
+    return K.contiguous_folds(_train(_lagged(spark, d)).select(*KEYS), 5, KEYS)
+
+
+def _forest(spark, d):
+    prep, train, val = _ml_data(spark, d)
+    m = K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=50, maxDepth=5,
+                                minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=42).fit(train)
+    return prep, m, val
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    prep, m, _ = _forest(spark, d)
+    return K.feature_importance(m, prep.features, spark, ML_TARGET)
+
+
+@query("importance_topk")
+def q_importance_topk(spark, d):
+    prep, m, _ = _forest(spark, d)
+    return J.topk_per_group(K.feature_importance(m, prep.features, spark, ML_TARGET), "target", "importance", 10,
+                            tie=("feature",))
+
+
+@query("predict_all")
+def q_predict_all(spark, d):
+    prep, train, val = _ml_data(spark, d)
+    lin = K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(train)
+    rf = K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=20, maxDepth=5, seed=42).fit(train)
+    return K.predict_all({"Linear": lin, "RF": rf}, val, ML_TARGET, SPEC)
+
+
+# --- L: ensembles (over the baseline prediction table: SQL-checkable) ---------------------------
+
+@query("ensemble_simple_average")
+def q_ensemble_simple_average(spark, d):
+    return L.ensemble_simple_average(_baseline_preds(spark, d), SPEC)
+
+
+@query("ensemble_inverse_mae_weights")
+def q_ensemble_inverse_mae_weights(spark, d):
+    return L.ensemble_inverse_mae_weights(_baseline_metrics(spark, d), BASELINES)
+
+
+@query("ensemble_weighted_average")
+def q_ensemble_weighted_average(spark, d):
+    preds = _baseline_preds(spark, d)
+    w = L.ensemble_inverse_mae_weights(J.regression_metrics(preds), BASELINES)
+    return L.ensemble_weighted_average(preds, w, SPEC)
+
+
+@query("ensemble_comparison")
+def q_ensemble_comparison(spark, d):
+    preds = _baseline_preds(spark, d)
+    w = L.ensemble_inverse_mae_weights(J.regression_metrics(preds), BASELINES)
+    allp = preds.unionByName(L.ensemble_simple_average(preds, SPEC)).unionByName(
+        L.ensemble_weighted_average(preds, w, SPEC))
+    order = list(BASELINES) + ["Simple_Average", "Weighted_Average"]
+    return L.ensemble_comparison(J.regression_metrics(allp), order, order)
+
+
+@query("ensemble_select")
+def q_ensemble_select(spark, d):
+    preds = _baseline_preds(spark, d)
+    w = L.ensemble_inverse_mae_weights(J.regression_metrics(preds), BASELINES)
+    order = list(BASELINES) + ["Simple_Average", "Weighted_Average"]
+    return L.ensemble_select(preds, w, None, SPEC, order)
+
+
+def _base_fit(features):
+    def fit(df):
+        return {"Linear": K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(df),
+                "RF": K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=20, maxDepth=5,
+                                              seed=42).fit(df)}
+    return fit
+
+
+@query("ensemble_stacking")
+def q_ensemble_stacking(spark, d):
+    prep, train, val = _ml_data(spark, d)
+    tr = K.contiguous_folds(train.drop("fold"), 3, KEYS)
+    return L.ensemble_stacking(_base_fit(prep.features), tr, val.where(F.col(ML_TARGET).isNotNull()), ML_TARGET,
+                               ["Linear", "RF"], "fold", 3, 1.0, SPEC)
+
+
+@query("cv_inverse_mae_weights")
+def q_cv_inverse_mae_weights(spark, d):
+    prep, train, _ = _ml_data(spark, d)
+    fit = _base_fit(prep.features)
+    preds = None
+    for f in range(5):
+        fitted = fit(train.where(F.col("fold") != f))
+        hold = train.where(F.col("fold") == f)
+        p = K.predict_all(fitted, hold, ML_TARGET, SPEC)
+        preds = p if preds is None else preds.unionByName(p)
+    return L.ensemble_inverse_mae_weights(J.regression_metrics(preds))
+
+
+# --- M: sort / limit / top-k ---------------------------------------------------------------
+
+@query("topk_by_column")
+def q_topk_by_column(spark, d):
+    return J.topk_by_column(P.missing_profile(_featured(spark, d)), "missing_pct", 10, tie=("column",))
+
+
+@query("latest_row_per_entity")
+def q_latest_row_per_entity(spark, d):
+    return J.latest_row_per_entity(_master(spark, d), SPEC, cols=["SEASON", "GP", "PTS", "AGE"])
+
+
+@query("first_matching_row")
+def q_first_matching_row(spark, d):
+    lag = _lagged(spark, d)
+    pairs = [(s, f"NEXT_{s}") for s in S.TARGET_STATS]
+    return J.first_matching_row(lag, F.col("NEXT_PTS").isNotNull(), ["PLAYER_ID", "SEASON"], pairs)
+
+
+# --- N: projections (documented) -------------------------------------------------------------
+
+@query("fantasy_points")
+def q_fantasy_points(spark, d):
+    return N.fantasy_points(_master(spark, d)).select(*KEYS, "FANTASY_POINTS")
+
+
+def _projections(spark, d):
+    """Persistence projections for the rows without a next period (the prediction set)."""
+    lag = _lagged(spark, d)
+    pred_rows = lag.where(F.col("NEXT_PTS").isNull())
+    return pred_rows.select(*KEYS, *[F.col(s).alias(s) for s in S.TARGET_STATS])
+
+
+@query("prediction_interval")
+def q_prediction_interval(spark, d):
+    lag = _lagged(spark, d)
+    resid = N.residual_std(J.baseline_lag1(_val(lag), SPEC))
+    pred = J.baseline_lag1(lag.where(F.col("NEXT_PTS").isNull()), SPEC)
+    return N.prediction_interval(pred.drop("actual"), resid)
+
+
+@query("rank_projections")
+def q_rank_projections(spark, d):
+    return N.rank_projections(N.fantasy_points(_projections(spark, d)), "FANTASY_POINTS", 100)
+
+
+@query("projection_summary")
+def q_projection_summary(spark, d):
+    return N.projection_summary(_projections(spark, d), list(S.TARGET_STATS))
+
+
+@query("backtest_accuracy")
+def q_backtest_accuracy(spark, d):
+    m = _master(spark, d)
+    proj = m.where(F.col("SEASON") == "1999-00")          # persistence projection made from 1999-00
+    actual = m.where(F.col("SEASON") == VAL)              # realised 2000-01 stats
+    return N.backtest_accuracy(proj, actual, ["PTS", "REB", "AST", "STL", "BLK", "TOV", "FGA", "FTA"])
+
+
+@query("position_from_height")
+def q_position_from_height(spark, d):
+    return N.position_from_height(_master(spark, d)).select(*KEYS, "HEIGHT_INCHES", "POSITION")
+
+
+@query("position_group_models")
+def q_position_group_models(spark, d):
+    prep, train, val = _ml_data(spark, d)
+    fit = _base_fit(prep.features)
+    return N.position_group_models(train, val.where(F.col(ML_TARGET).isNotNull()), lambda df: fit(df)["Linear"],
+                                   ML_TARGET, SPEC)

@@ -31,8 +31,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # the panel is wider than the default 100-field codegen limit
-        .config("spark.sql.codegen.maxFields", "1000")
     )
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

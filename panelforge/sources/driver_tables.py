@@ -30,8 +30,15 @@ LAST_YEAR = 2001
 UNMAPPED_NATIONS = (23, 24)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet relation for a driver table, resolved once per session (listing + footers)."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def _share(cond) -> F.Column:
