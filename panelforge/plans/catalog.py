@@ -331,7 +331,7 @@ def q_join_team_measures(spark, d):
     k = ["TEAM_ID", "SEASON"]
     frames = {"Base": t.select(*k, "TEAM_NAME", "GP", "W", "L", "W_PCT"),
               "Advanced": t.select(*k, "OFF_RATING", "DEF_RATING", "NET_RATING", "PACE"),
-              "Four Factors": t.select(*k, "W_PCT"), "Misc": t.select(*k, "GP")}
+              "Four_Factors": t.select(*k, "W_PCT"), "Misc": t.select(*k, "GP")}
     return C.join_team_measures(frames, k)
 
 
@@ -447,16 +447,13 @@ def q_group_mean_train(spark, d):
     return J.group_mean_train(_train(_lagged(spark, d)), list(S.TARGET_STATS), "POSITION")
 
 
-def _inf_splits(spark, d):
-    f = _featured(spark, d)
-    f = f.select("*", raw_div("AST", "STL").alias("AST_PER_STL"))
-    sp = I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS")
-    return sp
+INF_COLS = ("PTS_PACE_ADJ", "AST_PACE_ADJ", "REB_PACE_ADJ", "BMI", "AST_PER_STL", "PTS_PER_MIN", "AST_TO_RATIO")
 
 
 @query("infinite_profile")
 def q_infinite_profile(spark, d):
-    return P.infinite_profile(_inf_splits(spark, d))
+    f = _featured(spark, d).select("*", raw_div("AST", "STL").alias("AST_PER_STL"))
+    return P.infinite_profile(I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS"), INF_COLS)
 
 
 FEATURE_STAT_COLS = ("PTS", "MIN", "GP", "PTS_LAG1", "PTS_AVG3", "PTS_STD3", "AGE", "ADV_USG_PCT", "TEAM_PACE")
@@ -607,8 +604,8 @@ PREP_FEATURES = tuple(
 
 
 def _prep_input(spark, d):
-    lag = _lagged(spark, d)
-    return B.coerce_numeric(lag, ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
+    lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
+    return lag.select(*[F.col(c).cast("double").alias(c) if c in PREP_FEATURES else F.col(c) for c in lag.columns])
 
 
 def _prepared(spark, d, features=None):
