@@ -44,6 +44,9 @@ cy AS (
          avg(sh_q) AS sh_q, avg(avg_qty) AS avg_qty, avg(psize) AS psize, avg(pie) AS pie
   FROM orders LEFT JOIN om ON o_orderkey = l_orderkey
   GROUP BY o_custkey, year(o_orderdate)),
+cyr AS (
+  SELECT o_custkey, yr, n_orders, round(avg_order_qty, 10) AS avg_order_qty, round(avg_price, 10) AS avg_price, round(disc, 10) AS disc, round(tax, 10) AS tax, round(sh_a, 10) AS sh_a, round(sh_r, 10) AS sh_r, round(sh_n, 10) AS sh_n, round(lines, 10) AS lines, round(sh_f, 10) AS sh_f, round(sh_tax, 10) AS sh_tax, round(sh_disc, 10) AS sh_disc, round(ln, 10) AS ln, round(sh_q, 10) AS sh_q, round(avg_qty, 10) AS avg_qty, round(psize, 10) AS psize, round(pie, 10) AS pie
+  FROM cy),
 ps AS (
   SELECT o_custkey AS PLAYER_ID, c_name AS PLAYER_NAME, CAST(c_nationkey AS VARCHAR) AS TEAM_ABBREVIATION,
          CAST(19 + (yr - min(yr) OVER (PARTITION BY o_custkey)) + o_custkey % 16 AS DOUBLE) AS AGE,
@@ -54,11 +57,11 @@ ps AS (
          (sh_tax * (2.5 * lines)) * sh_disc AS FG3M, sh_tax * (2.5 * lines) AS FG3A, sh_disc AS FG3_PCT,
          ln * sh_q AS FTM, ln AS FTA, sh_q AS FT_PCT,
          {LABEL} AS SEASON
-  FROM cy LEFT JOIN customer ON o_custkey = c_custkey),
+  FROM cyr LEFT JOIN customer ON o_custkey = c_custkey),
 adv AS (
   SELECT o_custkey AS PLAYER_ID, {LABEL} AS SEASON, avg_qty / 50 AS USG_PCT, 1.0 - 5.0 * disc AS TS_PCT,
          psize / 50 AS AST_PCT, 10.0 * tax AS REB_PCT, pie AS PIE
-  FROM cy),
+  FROM cyr),
 bio_raw AS (
   SELECT c_custkey AS PERSON_ID, c_name AS DISPLAY_FIRST_LAST,
          CASE WHEN c_custkey % 30 = 0 THEN 'unknown'
@@ -87,7 +90,8 @@ bio AS (
 tm AS (
   SELECT c_nationkey, year(o_orderdate) AS yr, count(*) AS GP,
          CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS W,
-         avg(o_totalprice) AS avg_price, {share("o_orderstatus = 'F'")} AS sh_f, {share("o_orderstatus = 'O'")} AS sh_o
+         round(avg(o_totalprice), 10) AS avg_price, round({share("o_orderstatus = 'F'")}, 10) AS sh_f,
+         round({share("o_orderstatus = 'O'")}, 10) AS sh_o
   FROM orders JOIN customer ON o_custkey = c_custkey
   GROUP BY c_nationkey, year(o_orderdate)),
 team AS (

@@ -240,7 +240,7 @@ sql("panel_overview", with_chain(
     "min(SEASON) AS first_period, max(SEASON) AS last_period, avg(AGE) AS avg_AGE, "
     "avg(YEARS_EXPERIENCE) AS avg_YEARS_EXPERIENCE FROM master", lagged=False))
 sql("describe_columns", chain(union_all(
-    f"SELECT 'NEXT_{s}' AS column, count(NEXT_{s}) AS count, avg(NEXT_{s}) AS mean, stddev_samp(NEXT_{s}) AS std, "
+    f"SELECT 'NEXT_{s}' AS \"column\", count(NEXT_{s}) AS count, avg(NEXT_{s}) AS mean, stddev_samp(NEXT_{s}) AS std, "
     f"min(NEXT_{s}) AS min, quantile_cont(NEXT_{s}, 0.25) AS p25, quantile_cont(NEXT_{s}, 0.5) AS p50, "
     f"quantile_cont(NEXT_{s}, 0.75) AS p75, max(NEXT_{s}) AS max FROM chain" for s in TARGET_STATS)))
 sql("target_moments", chain(union_all(
@@ -249,7 +249,7 @@ sql("target_moments", chain(union_all(
 
 
 def missing_cte(src: str, cols, name: str = "mp") -> str:
-    parts = [f"SELECT '{c}' AS column, count(*) - count({qi(c)}) AS missing_count, "
+    parts = [f"SELECT '{c}' AS \"column\", count(*) - count({qi(c)}) AS missing_count, "
              f"(count(*) - count({qi(c)})) / count(*) * 100 AS missing_pct FROM {src}" for c in cols]
     return f"{name} AS (" + union_all(parts) + ")"
 
@@ -324,8 +324,8 @@ sql("create_targets_supplier_year",
         f"lead({s}) OVER (PARTITION BY PLAYER_ID ORDER BY SEASON) AS NEXT_{s}" for s in ("PTS", "AST", "REB", "MIN"))
     + " FROM sy")
 sql("lag_features_user_day",
-    "WITH ud AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS GP, sum(value) AS PTS FROM events "
-    "GROUP BY user_id, CAST(ts AS DATE)) SELECT user_id, day, " + ", ".join(
+    "WITH ud AS (SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS GP, sum(value) AS PTS "
+    "FROM events GROUP BY user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d')) SELECT user_id, day, " + ", ".join(
         f"lag({s}, {k}) OVER (PARTITION BY user_id ORDER BY day) AS {s}_LAG{k}" for s in ("GP", "PTS") for k in (1, 2, 3))
     + " FROM ud")
 
@@ -344,17 +344,17 @@ sql("season_max_games_rate", with_chain(
 # ==== H ======================================================================================
 
 sql("drop_high_missing", feats(
-    "SELECT column FROM mp WHERE missing_pct <= 90 OR column LIKE 'NEXT\\_%' ESCAPE '\\'",
+    "SELECT \"column\" FROM mp WHERE missing_pct <= 90 OR \"column\" LIKE 'NEXT\\_%' ESCAPE '\\'",
     missing_cte("feats", FEAT_COLS)))
 EXCLUDE = set(TGT) | set(S.METADATA_COLS)
 CONST_CANDIDATES = [c for c in FEAT_COLS if c not in EXCLUDE and c not in TEXT_COLS and c not in BOOL_COLS]
 _const_parts = [
-    f"SELECT '{c}' AS column, count(DISTINCT {qi(c)}) AS nd, count({qi(c)}) AS nn, "
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {qi(c)}) AS nd, count({qi(c)}) AS nn, "
     f"(SELECT max(k) FROM (SELECT count(*) AS k FROM feats WHERE {qi(c)} IS NOT NULL GROUP BY {qi(c)})) AS top "
     f"FROM feats" for c in CONST_CANDIDATES]
 sql("drop_constant_features", feats(
-    "SELECT column FROM (" + union_all(f"SELECT '{c}' AS column" for c in FEAT_COLS) + ") "
-    "WHERE column NOT IN (SELECT column FROM cst WHERE nd = 1 OR (nd = 2 AND top / nn > 0.99))",
+    "SELECT \"column\" FROM (" + union_all(f"SELECT '{c}' AS \"column\"" for c in FEAT_COLS) + ") "
+    "WHERE \"column\" NOT IN (SELECT \"column\" FROM cst WHERE nd = 1 OR (nd = 2 AND top / nn > 0.99))",
     "cst AS (" + union_all(_const_parts) + ")"))
 sql("split_has_target", chain(
     "SELECT PLAYER_ID, SEASON, CASE WHEN NEXT_PTS IS NOT NULL THEN 'train' ELSE 'pred' END AS part FROM chain"))
@@ -422,7 +422,7 @@ sql("metrics_summary", chain(
     "FROM metrics GROUP BY model", *BASE_CTES, metrics_cte()))
 IMP_CTE = ("imp AS (SELECT m.target, m.MAE AS model_MAE, b.MAE AS baseline_MAE, "
            "(b.MAE - m.MAE) / NULLIF(b.MAE, 0) * 100 AS improvement_pct, "
-           "CAST(coalesce(m.MAE < b.MAE, false) AS INTEGER) AS win "
+           "CAST(coalesce(round(m.MAE, 12) < round(b.MAE, 12), false) AS INTEGER) AS win "
            "FROM metrics m JOIN metrics b ON m.target = b.target "
            "WHERE m.model = 'Baseline_3yr' AND b.model = 'Baseline_LAG1')")
 sql("improvement_vs_baseline", chain("SELECT * FROM imp", *BASE_CTES, metrics_cte(), IMP_CTE))
@@ -430,13 +430,13 @@ sql("improvement_summary", chain(
     "SELECT avg(improvement_pct) AS avg_improvement_pct, CAST(sum(win) AS BIGINT) AS wins, count(*) AS n_targets "
     "FROM imp", *BASE_CTES, metrics_cte(), IMP_CTE))
 BEST_CTE = ("best AS (SELECT target, model AS best_model, MAE AS best_MAE FROM metrics WHERE MAE IS NOT NULL "
-            f"QUALIFY row_number() OVER (PARTITION BY target ORDER BY MAE, {_order_case(BASELINES)}, model) = 1)")
+            f"QUALIFY row_number() OVER (PARTITION BY target ORDER BY round(MAE, 12), {_order_case(BASELINES)}, model) = 1)")
 sql("best_model_per_target", chain("SELECT * FROM best", *BASE_CTES, metrics_cte(), BEST_CTE))
 sql("wins_by_approach", chain("SELECT best_model AS approach, count(*) AS wins FROM best GROUP BY best_model",
                               *BASE_CTES, metrics_cte(), BEST_CTE))
 sql("best_overall_approach", chain(
     "SELECT model AS best_approach, avg_MAE AS best_avg_MAE FROM (SELECT model, avg(MAE) AS avg_MAE FROM metrics "
-    f"GROUP BY model) ORDER BY avg_MAE, {_order_case(BASELINES)}, model LIMIT 1", *BASE_CTES, metrics_cte()))
+    f"GROUP BY model) ORDER BY round(avg_MAE, 12), {_order_case(BASELINES)}, model LIMIT 1", *BASE_CTES, metrics_cte()))
 
 # ==== K (SQL-expressible part) ===============================================================
 
@@ -462,7 +462,7 @@ sql("ensemble_simple_average", chain("SELECT * FROM sa", *BASE_CTES, metrics_cte
 sql("ensemble_inverse_mae_weights", chain("SELECT * FROM w", *BASE_CTES, metrics_cte(), *ENS_CTES))
 sql("ensemble_weighted_average", chain("SELECT * FROM wa", *BASE_CTES, metrics_cte(), *ENS_CTES))
 BEST_ALL = ("ball AS (SELECT target, model AS best_model, MAE AS best_MAE FROM m2 WHERE MAE IS NOT NULL "
-            f"QUALIFY row_number() OVER (PARTITION BY target ORDER BY MAE, {_order_case(APPROACHES)}, model) = 1)")
+            f"QUALIFY row_number() OVER (PARTITION BY target ORDER BY round(MAE, 12), {_order_case(APPROACHES)}, model) = 1)")
 sql("ensemble_comparison", chain(
     "SELECT m.target, " + ", ".join(f"max(CASE WHEN m.model = '{a}' THEN m.MAE END) AS {a}" for a in APPROACHES)
     + ", any_value(b.best_model) AS Best FROM m2 m LEFT JOIN ball b ON m.target = b.target GROUP BY m.target",
@@ -474,7 +474,7 @@ sql("ensemble_select", chain(
 # ==== M ======================================================================================
 
 sql("topk_by_column", feats(
-    "SELECT * FROM mp WHERE missing_count > 0 ORDER BY missing_pct DESC, column LIMIT 10",
+    "SELECT * FROM mp WHERE missing_count > 0 ORDER BY missing_pct DESC, \"column\" LIMIT 10",
     missing_cte("feats", FEAT_COLS)))
 sql("latest_row_per_entity", with_chain(
     "SELECT PLAYER_ID, SEASON, GP, PTS, AGE FROM master "

@@ -120,15 +120,25 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
         F.min("MAE").alias("min_MAE"), F.max("MAE").alias("max_MAE"))
 
 
+# Metric values closer than this are ties: two approaches with identical predictions get
+# MAEs that differ only by floating-point summation order.
+TIE_DECIMALS = 12
+
+
+def _tie_key(c):
+    return F.round(c, TIE_DECIMALS)
+
+
 def improvement_vs_baseline(metrics: DataFrame, model: str, baseline: str) -> DataFrame:
-    """Per target ``(baseline - model) / baseline * 100`` and a win flag."""
+    """Per target ``(baseline - model) / baseline * 100`` and a win flag (a tie is no win)."""
     m = metrics.where(F.col("model") == model).select("target", F.col("MAE").alias("model_MAE"))
     b = metrics.where(F.col("model") == baseline).select("target", F.col("MAE").alias("baseline_MAE"))
     j = m.join(b, "target")
     return j.select("target", "model_MAE", "baseline_MAE",
                     (F.try_divide(F.col("baseline_MAE") - F.col("model_MAE"), F.nullif(F.col("baseline_MAE"), F.lit(0.0))) * 100)
                     .alias("improvement_pct"),
-                    F.coalesce(F.col("model_MAE") < F.col("baseline_MAE"), F.lit(False)).cast("int").alias("win"))
+                    F.coalesce(_tie_key(F.col("model_MAE")) < _tie_key(F.col("baseline_MAE")), F.lit(False))
+                    .cast("int").alias("win"))
 
 
 def improvement_summary(improvement: DataFrame) -> DataFrame:
@@ -139,14 +149,14 @@ def improvement_summary(improvement: DataFrame) -> DataFrame:
 
 def best_model_per_target(metrics: DataFrame, model_order: Sequence[str] | None = None,
                           metric: str = "MAE") -> DataFrame:
-    """Argmin of ``metric`` per target; nulls ignored; ties -> first in ``model_order``."""
+    """Argmin of ``metric`` per target; nulls ignored; ties (to 1e-12) -> first in ``model_order``."""
     m = metrics.where(F.col(metric).isNotNull())
     if model_order:
         rank = F.create_map(*[x for i, n in enumerate(model_order) for x in (F.lit(n), F.lit(i))])
         ordk = F.coalesce(rank[F.col("model")], F.lit(len(model_order)))
     else:
         ordk = F.lit(0)
-    key = F.struct(F.col(metric), ordk, F.col("model"))
+    key = F.struct(_tie_key(F.col(metric)), ordk, F.col("model"))
     return m.groupBy("target").agg(F.min_by(F.col("model"), key).alias("best_model"),
                                    F.min(F.col(metric)).alias(f"best_{metric}"))
 
@@ -164,7 +174,8 @@ def best_overall_approach(metrics: DataFrame, metric: str = "MAE", model_order:
         ordk = F.coalesce(rank[F.col("model")], F.lit(len(model_order)))
     else:
         ordk = F.lit(0)
-    return avg.agg(F.min_by("model", F.struct(F.col(f"avg_{metric}"), ordk, F.col("model"))).alias("best_approach"),
+    return avg.agg(F.min_by("model", F.struct(_tie_key(F.col(f"avg_{metric}")), ordk, F.col("model")))
+                   .alias("best_approach"),
                    F.min(f"avg_{metric}").alias(f"best_avg_{metric}"))
 
 

@@ -28,6 +28,7 @@ from ..operators import profiling as P
 from ..operators import projections as N
 from ..sources import driver_tables as T
 from ..sources import io as A
+from ..session import cut_lineage
 from ..spec import DEFAULT_SPEC
 from . import feature_panel as FP
 
@@ -564,16 +565,21 @@ def q_season_max_games_rate(spark, d):
 
 # --- H: validation / selection ----------------------------------------------------------
 
+def _featured_materialized(spark, d):
+    """The feature panel written once before validation: profiles make several passes over it."""
+    return cut_lineage(_featured(spark, d))
+
+
 @query("drop_high_missing")
 def q_drop_high_missing(spark, d):
-    f = _featured(spark, d)
+    f = _featured_materialized(spark, d)
     kept = P.drop_high_missing(f, 90.0, protect=SPEC.targets)
     return P.missing_profile(kept, only_missing=False).select("column")
 
 
 @query("drop_constant_features")
 def q_drop_constant_features(spark, d):
-    f = _featured(spark, d)
+    f = _featured_materialized(spark, d)
     kept = P.drop_constant_features(f, exclude=list(SPEC.targets) + list(S.METADATA_COLS))
     return P.missing_profile(kept, only_missing=False).select("column")
 
@@ -604,8 +610,11 @@ PREP_FEATURES = tuple(
 
 
 def _prep_input(spark, d):
+    """Keys, split columns and the prepared features as doubles, checkpointed once: fill and
+    scale make several passes over it."""
     lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
-    return lag.select(*[F.col(c).cast("double").alias(c) if c in PREP_FEATURES else F.col(c) for c in lag.columns])
+    narrow = lag.select(*KEYS, "NEXT_PTS", *[F.col(c).cast("double").alias(c) for c in PREP_FEATURES])
+    return cut_lineage(narrow)
 
 
 def _prepared(spark, d, features=None):
@@ -959,7 +968,8 @@ def q_position_from_height(spark, d):
 
 @query("position_group_models")
 def q_position_group_models(spark, d):
-    prep, train, val = _ml_data(spark, d)
-    fit = _base_fit(prep.features)
-    return N.position_group_models(train, val.where(F.col(ML_TARGET).isNotNull()), lambda df: fit(df)["Linear"],
-                                   ML_TARGET, SPEC)
+    _, train, val = _ml_data(spark, d)
+
+    def fit(df):
+        return K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(df)
+    return N.position_group_models(train, val.where(F.col(ML_TARGET).isNotNull()), fit, ML_TARGET, SPEC)

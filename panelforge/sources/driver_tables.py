@@ -25,6 +25,9 @@ from pyspark.sql.window import Window
 
 from ..functions import period_label
 
+# Landed precision of the stand-in measures (decimal places): fixes the inputs bit-for-bit,
+# independent of the summation order an engine used to produce them.
+PRECISION = 10
 FIRST_YEAR = 1995
 LAST_YEAR = 2001
 UNMAPPED_NATIONS = (23, 24)
@@ -96,6 +99,9 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.min("yr").over(Window.partitionBy("o_custkey"))
     fga = F.lit(2.5) * F.col("lines")
     fg3a = F.col("sh_tax") * fga
+    r = lambda c: F.round(c, PRECISION)
+    cy = cy.select("o_custkey", "yr", "n_orders", *[r(F.col(c)).alias(c) for c in cy.columns
+                                                     if c not in ("o_custkey", "yr", "n_orders")])
     df = cy.join(cust, cy.o_custkey == cust.c_custkey, "left").select(
         F.col("o_custkey").alias("PLAYER_ID"),
         F.col("c_name").alias("PLAYER_NAME"),
@@ -127,6 +133,8 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def advanced_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw per-season advanced ratios in [0, 1] (PLAYER_ID, SEASON grain)."""
     cy = customer_year(spark, sf_dir)
+    cy = cy.select("o_custkey", "yr", *[F.round(F.col(c), PRECISION).alias(c) for c in cy.columns
+                                        if c not in ("o_custkey", "yr", "n_orders")])
     return cy.select(
         F.col("o_custkey").alias("PLAYER_ID"),
         period_label(F.col("yr")).alias("SEASON"),
@@ -173,9 +181,9 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey", "yr").agg(
         F.count(F.lit(1)).alias("GP"),
         F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("long").alias("W"),
-        F.avg("o_totalprice").alias("avg_price"),
-        _share(F.col("o_orderstatus") == "F").alias("sh_f"),
-        _share(F.col("o_orderstatus") == "O").alias("sh_o"),
+        F.round(F.avg("o_totalprice"), PRECISION).alias("avg_price"),
+        F.round(_share(F.col("o_orderstatus") == "F"), PRECISION).alias("sh_f"),
+        F.round(_share(F.col("o_orderstatus") == "O"), PRECISION).alias("sh_o"),
     )
     off = F.lit(100.0) + F.lit(20.0) * F.col("sh_f")
     dfn = F.lit(100.0) + F.lit(20.0) * F.col("sh_o")
@@ -218,7 +226,7 @@ def supplier_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day-grain panel from events: (user_id, day) with count and value sum."""
+    """A day-grain panel from events: (user_id, day label ``yyyy-MM-dd``) with count and value sum."""
     e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("user_id"), F.to_date("ts").alias("day")).agg(
+    return e.groupBy(F.col("user_id"), F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("GP"), F.sum("value").alias("PTS"))
