@@ -160,8 +160,10 @@ def prepare_training_data(df: DataFrame, train_periods: Sequence[str], val_perio
     df = coerce_numeric(df, [c for c in ("DRAFT_ROUND", "DRAFT_NUMBER") if c in df.columns and c not in metadata],
                         fill=0.0)
     feats = list(features) if features is not None else feature_columns(df, targets, metadata)
-    fset = set(feats)           # the feature matrix is all doubles (booleans and counts included)
-    df = df.select(*[F.col(c).cast("double").alias(c) if c in fset else F.col(c) for c in df.columns])
+    # the feature matrix is all doubles (booleans and counts included); NaN is missing, as in pandas
+    fset = set(feats)
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) if c in fset
+                     else F.col(c) for c in df.columns])
     # fill and scale make several passes over the panel: cut its lineage once
     df = cut_lineage(df)
     splits = temporal_split(df, train_periods, val_period, period, first_target=targets[0])

@@ -146,7 +146,10 @@ def masked_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     cols = list(cols)
     k = len(cols)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    # NaN counts as missing (pandas); values enter as doubles named v0..v{k-1}
+    sel = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}")
+                      for i, c in enumerate(cols)])
+    means = sel.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(k)]).first()
     shift = np.array([means[f"m{i}"] or 0.0 for i in range(k)], dtype="float64")
     iu, ju = np.triu_indices(k, 1)
 
@@ -160,7 +163,6 @@ def masked_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                 "sxx": x2m[iu, ju], "syy": x2m[ju, iu], "sxy": xx[iu, ju]})
 
     schema = "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
-    sel = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
     s = sel.mapInPandas(stats, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
                                                                ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n = F.col("n")

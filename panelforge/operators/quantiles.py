@@ -33,8 +33,10 @@ def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accurac
     if not targets:
         return {}
     cols = list(dict.fromkeys(c for c, _ in targets))
-    # only the needed columns, kept for the 3-4 passes below (spills to disk if large)
-    df = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(cols)]).persist(
+    # only the needed columns, kept for the 3-4 passes below (spills to disk if large);
+    # NaN counts as missing, as in pandas
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
         return _solve(df, targets, cols, accuracy, max_collect)

@@ -85,11 +85,19 @@ def _train(df):
     return df.where(F.col(SPEC.period).isin(*TRAIN) & F.col("NEXT_PTS").isNotNull())
 
 
+def _lagged_materialized(spark, d):
+    """The lagged panel written once: evaluation reads it for train, validation and medians."""
+    return cut_lineage(_lagged(spark, d), "lagged")
+
+
 def _baseline_preds(spark, d):
-    lag = _lagged(spark, d)
+    """The long prediction table of the three baselines on the validation period, written once:
+    metrics, weights and ensembles all read it."""
+    lag = _lagged_materialized(spark, d)
     val = _val(lag)
-    return (J.baseline_lag1(val, SPEC).unionByName(J.baseline_multi_year(val, SPEC))
-            .unionByName(J.baseline_group_average(val, _train(lag), SPEC)))
+    preds = (J.baseline_lag1(val, SPEC).unionByName(J.baseline_multi_year(val, SPEC))
+             .unionByName(J.baseline_group_average(val, _train(lag), SPEC)))
+    return cut_lineage(preds, "predictions")
 
 
 def _baseline_metrics(spark, d):
@@ -387,7 +395,7 @@ def q_panel_overview(spark, d):
 
 @query("describe_columns")
 def q_describe_columns(spark, d):
-    return P.describe_columns(_lagged(spark, d), SPEC.targets)
+    return P.describe_columns(_lagged_materialized(spark, d), SPEC.targets)
 
 
 @query("target_moments")
