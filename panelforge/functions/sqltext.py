@@ -86,3 +86,13 @@ def row_std(cols: Sequence[str]) -> str:
     m = f"({row_mean(cols)})"
     ss = " + ".join(f"COALESCE(power(CAST({c} AS DOUBLE) - {m}, 2.0D), 0.0D)" for c in cols)
     return f"CASE WHEN {n} >= 2 THEN sqrt(({ss}) / ({n} - 1)) END"
+
+
+def lit_double(x: float) -> str:
+    """Exact double literal for any value (string parse round-trips ``repr``)."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def agg_row(df, exprs: Sequence[str]):
+    """One global aggregate from SQL text (``selectExpr`` of aggregate expressions), first row."""
+    return df.selectExpr(*exprs).first()

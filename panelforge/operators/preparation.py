@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cols_if_present, replace_inf
+from ..functions.sqltext import agg_row, lit_double, q
 from ..session import cut_lineage
 from .cleaning import NUMERIC, coerce_numeric
 from .quantiles import exact_quantiles
@@ -56,7 +57,7 @@ class FillValues:
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str]) -> "FillValues":
         cols = cols_if_present(train, cols)
-        nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(cols)]).first()
+        nulls = agg_row(train, [f"count_if({q(c)} IS NULL) AS z{i}" for i, c in enumerate(cols)])
         with_null = [c for i, c in enumerate(cols) if nulls[f"z{i}"] > 0]
         num = [c for c in with_null if _is_numeric(train, c)]
         med = exact_quantiles(train, [(c, 0.5) for c in num])
@@ -78,18 +79,18 @@ class FillValues:
         def fill(c):
             v = self.values.get(c)
             if c not in self.values or v is None:
-                return F.col(c)
+                return q(c)
             if isinstance(v, (int, float)) and _is_numeric(df, c):
-                return F.coalesce(F.col(c).cast("double"), F.lit(float(v))).alias(c)
-            return F.coalesce(F.col(c), F.lit(v)).alias(c)
-        return df.select(*[fill(c) for c in df.columns])
+                return f"coalesce(CAST({q(c)} AS DOUBLE), {lit_double(v)}) AS {q(c)}"
+            text = str(v).replace("'", "''")
+            return f"coalesce({q(c)}, '{text}') AS {q(c)}"
+        return df.selectExpr(*[fill(c) for c in df.columns])
 
 
 def remaining_nulls(df: DataFrame, cols: Sequence[str]) -> int:
-    tot = F.lit(0).cast("long")
-    for c in cols:
-        tot = tot + F.count_if(F.col(c).isNull())
-    return df.agg(tot.alias("n")).first()["n"]
+    if not cols:
+        return 0
+    return agg_row(df, ["count_if(" + " OR ".join(f"{q(c)} IS NULL" for c in cols) + ") AS n"])["n"]
 
 
 def apply_fill_values(fv: FillValues, splits: dict[str, DataFrame], cols: Sequence[str]) -> dict[str, DataFrame]:
@@ -111,8 +112,8 @@ class StandardScale:
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str]) -> "StandardScale":
         cols = cols_if_present(train, cols)
-        r = train.agg(*[x for i, c in enumerate(cols) for x in (
-            F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        r = agg_row(train, [x for i, c in enumerate(cols) for x in (
+            f"avg(CAST({q(c)} AS DOUBLE)) AS m{i}", f"stddev_pop(CAST({q(c)} AS DOUBLE)) AS s{i}")])
         return cls({c: r[f"m{i}"] for i, c in enumerate(cols)}, {c: r[f"s{i}"] for i, c in enumerate(cols)})
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -122,11 +123,11 @@ class StandardScale:
     def transform(self, df: DataFrame) -> DataFrame:
         def sc(c):
             if c not in self.mean:
-                return F.col(c)
+                return q(c)
             m = self.mean[c] if self.mean[c] is not None else 0.0
             s = self.std[c] if self.std[c] not in (None, 0.0) else 1.0
-            return ((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(c)
-        return df.select(*[sc(c) for c in df.columns])
+            return f"(CAST({q(c)} AS DOUBLE) - {lit_double(m)}) / {lit_double(s)} AS {q(c)}"
+        return df.selectExpr(*[sc(c) for c in df.columns])
 
 
 def scaling_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -162,16 +163,16 @@ def prepare_training_data(df: DataFrame, train_periods: Sequence[str], val_perio
     feats = list(features) if features is not None else feature_columns(df, targets, metadata)
     # the feature matrix is all doubles (booleans and counts included); NaN is missing, as in pandas
     fset = set(feats)
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) if c in fset
-                     else F.col(c) for c in df.columns])
+    df = df.selectExpr(*[f"nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {q(c)}" if c in fset else q(c)
+                         for c in df.columns])
     # fill and scale make several passes over the panel: cut its lineage once
     df = cut_lineage(df)
     splits = temporal_split(df, train_periods, val_period, period, first_target=targets[0])
     fv = FillValues.fit(splits["train"], feats)
     splits = apply_fill_values(fv, splits, feats)
     dbl = set(feats)
-    splits = {k: v.select(*[replace_inf(c).alias(c) if c in dbl and isinstance(v.schema[c].dataType, T.DoubleType)
-                            else F.col(c) for c in v.columns]) for k, v in splits.items()}
+    splits = {k: v.selectExpr(*[f"CASE WHEN abs({q(c)}) = CAST('Infinity' AS DOUBLE) THEN 0.0D ELSE {q(c)} END AS {q(c)}"
+                                if c in dbl else q(c) for c in v.columns]) for k, v in splits.items()}
     sc = StandardScale.fit(splits["train"], feats)
     splits = {k: sc.transform(v) for k, v in splits.items()}
     return Prepared(splits, feats, fv, sc)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cols_if_present
+from ..functions.sqltext import agg_row, lit_double, q
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .cleaning import NUMERIC, numeric_columns
 from .quantiles import exact_quantiles
@@ -78,8 +79,7 @@ def target_moments(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, only_missing: bool = True) -> DataFrame:
     """Per column: missing count and pct of rows (ONE aggregate + unpivot); only > 0 by default."""
     cols = list(cols or df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(cols)])
+    wide = df.selectExpr("count(1) AS __rows", *[f"count_if({q(c)} IS NULL) AS m{i}" for i, c in enumerate(cols)])
     items = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count")) for i, c in enumerate(cols)]
     long = wide.select("__rows", F.explode(F.array(*items)).alias("e")).select(
         F.col("e.column").alias("column"), F.col("e.missing_count").alias("missing_count"),
@@ -237,9 +237,8 @@ def constant_columns(df: DataFrame, exclude: Sequence[str] = (), top_share: floa
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in set(exclude)]
     if not cols:
         return []
-    p1 = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"),
-        F.count(c).alias(f"n{i}"))]).first()
+    p1 = agg_row(df, [x for i, c in enumerate(cols) for x in (
+        f"min(CAST({q(c)} AS DOUBLE)) AS lo{i}", f"max(CAST({q(c)} AS DOUBLE)) AS hi{i}", f"count({q(c)}) AS n{i}")])
     const, two = [], []
     for i, c in enumerate(cols):
         lo, hi, n = p1[f"lo{i}"], p1[f"hi{i}"], p1[f"n{i}"]
@@ -251,10 +250,10 @@ def constant_columns(df: DataFrame, exclude: Sequence[str] = (), top_share: floa
             two.append((i, c, lo, hi, n))
     low = []
     if two:
-        p2 = df.agg(*[x for i, c, lo, hi, _ in two for x in (
-            F.count_if(F.col(c).cast("double") == F.lit(lo)).alias(f"a{i}"),
-            F.count_if(F.col(c).cast("double") == F.lit(hi)).alias(f"b{i}"),
-            F.count_if((F.col(c).cast("double") > F.lit(lo)) & (F.col(c).cast("double") < F.lit(hi))).alias(f"m{i}"))]).first()
+        v = lambda c: f"CAST({q(c)} AS DOUBLE)"
+        p2 = agg_row(df, [x for i, c, lo, hi, _ in two for x in (
+            f"count_if({v(c)} = {lit_double(lo)}) AS a{i}", f"count_if({v(c)} = {lit_double(hi)}) AS b{i}",
+            f"count_if({v(c)} > {lit_double(lo)} AND {v(c)} < {lit_double(hi)}) AS m{i}")])
         for i, c, lo, hi, n in two:
             if p2[f"m{i}"] == 0 and max(p2[f"a{i}"], p2[f"b{i}"]) / n > top_share:
                 low.append(c)

@@ -24,6 +24,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import agg_row, lit_double as L, q as Q
+
 MAX_COLLECT = 200_000
 
 
@@ -35,8 +37,8 @@ def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accurac
     cols = list(dict.fromkeys(c for c, _ in targets))
     # only the needed columns, kept for the 3-4 passes below (spills to disk if large);
     # NaN counts as missing, as in pandas
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"q{i}")
-                     for i, c in enumerate(cols)]).persist(
+    df = df.selectExpr(*[f"nanvl(CAST({Q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS q{i}"
+                         for i, c in enumerate(cols)]).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
         return _solve(df, targets, cols, accuracy, max_collect)
@@ -45,8 +47,8 @@ def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accurac
 
 
 def _solve(df, targets, cols, accuracy, max_collect):
-    x = {c: F.col(f"q{i}") for i, c in enumerate(cols)}
-    counts = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    x = {c: f"q{i}" for i, c in enumerate(cols)}
+    counts = agg_row(df, [f"count({x[c]}) AS n{i}" for i, c in enumerate(cols)])
     n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
 
     result: dict[tuple[str, float], float | None] = {}
@@ -68,8 +70,8 @@ def _solve(df, targets, cols, accuracy, max_collect):
         aggs = []
         for i, t in enumerate(pending):
             ql, qh = max(0.0, t["q"] - t["delta"]), min(1.0, t["q"] + t["delta"])
-            aggs.append(F.percentile_approx(x[t["c"]], [ql, qh], t["acc"]).alias(f"b{i}"))
-        br = df.agg(*aggs).first()
+            aggs.append(f"percentile_approx({x[t['c']]}, array({L(ql)}, {L(qh)}), {t['acc']}) AS b{i}")
+        br = agg_row(df, aggs)
         for i, t in enumerate(pending):
             lo, hi = br[f"b{i}"]
             t["lo"] = None if t["q"] - t["delta"] <= 0 else float(lo)
@@ -78,14 +80,14 @@ def _solve(df, targets, cols, accuracy, max_collect):
         aggs = []
         for i, t in enumerate(pending):
             v = x[t["c"]]
-            below = F.lit(False) if t["lo"] is None else v < F.lit(t["lo"])
-            inside = v.isNotNull()
+            below = "false" if t["lo"] is None else f"{v} < {L(t['lo'])}"
+            inside = f"{v} IS NOT NULL"
             if t["lo"] is not None:
-                inside = inside & (v >= F.lit(t["lo"]))
+                inside += f" AND {v} >= {L(t['lo'])}"
             if t["hi"] is not None:
-                inside = inside & (v <= F.lit(t["hi"]))
-            aggs += [F.count_if(below).alias(f"below{i}"), F.count_if(inside).alias(f"in{i}")]
-        cnt = df.agg(*aggs).first()
+                inside += f" AND {v} <= {L(t['hi'])}"
+            aggs += [f"count_if({below}) AS below{i}", f"count_if({inside}) AS in{i}"]
+        cnt = agg_row(df, aggs)
         ready, retry = [], []
         for i, t in enumerate(pending):
             t["below"], t["inside"] = cnt[f"below{i}"], cnt[f"in{i}"]
@@ -106,13 +108,13 @@ def _solve(df, targets, cols, accuracy, max_collect):
             items = []
             for i, t in enumerate(ready):
                 v = x[t["c"]]
-                cond = v.isNotNull()
+                cond = f"{v} IS NOT NULL"
                 if t["lo"] is not None:
-                    cond = cond & (v >= F.lit(t["lo"]))
+                    cond += f" AND {v} >= {L(t['lo'])}"
                 if t["hi"] is not None:
-                    cond = cond & (v <= F.lit(t["hi"]))
-                items.append(F.when(cond, F.struct(F.lit(i).alias("t"), v.alias("v"))))
-            vals = (df.select(F.explode(F.array(*items)).alias("e")).where(F.col("e").isNotNull())
+                    cond += f" AND {v} <= {L(t['hi'])}"
+                items.append(f"CASE WHEN {cond} THEN named_struct('t', {i}, 'v', {v}) END")
+            vals = (df.selectExpr(f"explode(array({', '.join(items)})) AS e").where(F.col("e").isNotNull())
                     .groupBy(F.col("e.t").alias("t")).agg(F.sort_array(F.collect_list("e.v")).alias("vs")))
             got = {r["t"]: r["vs"] for r in vals.collect()}
             for i, t in enumerate(ready):
