@@ -116,9 +116,10 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str], fill: float | None = None
 
 
 def coerce_timestamp(df: DataFrame, col: str = "BIRTHDATE") -> DataFrame:
+    """Text -> timezone-free timestamp (as pandas parses it); bad text -> null."""
     if col not in df.columns:
         return df
-    return df.withColumn(col, F.col(col).cast("string").try_cast("timestamp"))
+    return df.withColumn(col, F.col(col).cast("string").try_cast("timestamp_ntz"))
 
 
 def age_from_birthdate(df: DataFrame, as_of: str, birth: str = "BIRTHDATE", out: str = "AGE") -> DataFrame:
