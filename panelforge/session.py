@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,18 +42,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared filesystem), and we
-    only read it.  Where it is unset (local tests) we set a scratch folder.
+    On a cluster the deployment sets it to a shared file system and it is only
+    read here; when it is unset there, this raises, because a machine-local
+    folder would leave every executor's output on its own disk.  In a
+    single-JVM ``local[..]`` session (tests), driver and tasks share one file
+    system, so an unset value is set to a scratch folder.
     """
-    conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="panelforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for one written table under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as a Parquet table under the shared checkpoint dir and read it back.
 
@@ -61,6 +71,6 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     table prune columns and push filters, which an RDD checkpoint cannot.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
