@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 2 <<
     Bounds what vectorised code allocates for each slice, whatever the Arrow batch size is.
     """
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and total + n > max_bytes:

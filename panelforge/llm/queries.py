@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
-from .common import documents
+import public_tokenizers
+
+from . import bpe, exact_dedup, mixing, sharding
+from .common import documents, text_of
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +21,35 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op5_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = text_of("text")
+    rows = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.concat(F.md5(text), F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 16))
+        .alias("key"))
+    out = sharding.shard_by_bytes(rows, "key", "size", shards=16, group_chars=32)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ids = bpe.encode_texts(docs, vocabulary, public_tokenizers.PATTERN)
+    listed = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    ids = ids.withColumns({"n_tokens": F.size("token_ids").cast("long"), "ids_sha256": F.sha2(listed, 256)})
+    texts = bpe.decode_ids(ids, vocabulary)
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.streaming_exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_shard_by_bytes": op5_shard_by_bytes,
+    "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
