@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, mixing, sharding
+from . import bpe, exact_dedup, fingerprints, langid, mixing, sharding
 from .common import documents, text_of
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edit(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
     mixed = mixing.mix_sources(docs)
@@ -32,6 +36,13 @@ def op5_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.filter(~langid.held_out()))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -47,8 +58,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op4_mix_sources": op4_mix_sources,
     "op5_shard_by_bytes": op5_shard_by_bytes,
+    "op6_language_id": op6_language_id,
     "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
