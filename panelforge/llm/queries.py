@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, fingerprints, langid, mixing, sharding
+from . import bpe, exact_dedup, fingerprints, langid, minhash, mixing, sharding
 from .common import documents, text_of
 
 
@@ -43,6 +43,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -62,6 +66,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_shard_by_bytes": op5_shard_by_bytes,
     "op6_language_id": op6_language_id,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
