@@ -9,7 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from .. import session
+from ..session import scratch_path
 
 __all__ = ["WORD", "cut_lineage", "scratch_path", "documents", "text_of", "slices", "spare_name"]
 
@@ -18,6 +19,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Shuffle files of a finished write are deleted at once; the written table takes their place.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder, read it back and let go of the shuffles that made it."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, "false")
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return session.cut_lineage(df, name)
+    finally:
+        conf.set(_CLEAN_UP, before)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, fingerprints, langid, minhash, mixing, sharding
+from . import bpe, exact_dedup, fingerprints, langid, minhash, mixing, sharding, suffix_dedup
 from .common import documents, text_of
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edit(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -62,6 +67,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_fingerprints": op2_fingerprints,
     "op4_mix_sources": op4_mix_sources,
     "op5_shard_by_bytes": op5_shard_by_bytes,
