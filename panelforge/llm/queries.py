@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, fingerprints, langid, minhash, mixing, sharding, suffix_dedup
+from . import bpe, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, sharding, suffix_dedup
 from .common import documents, text_of
 
 
@@ -24,6 +24,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edit(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_common_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length(text_of("text")).cast("long").alias("kept_chars"),
+                      F.sha2(text_of("text"), 256).alias("kept_sha256"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
     mixed = mixing.mix_sources(docs)
@@ -69,6 +75,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_fingerprints": op2_fingerprints,
+    "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_shard_by_bytes": op5_shard_by_bytes,
     "op6_language_id": op6_language_id,
