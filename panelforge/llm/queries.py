@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, fingerprints, langid, line_dedup, minhash, mixing, sharding, suffix_dedup
+from . import bpe, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, sharding, suffix_dedup
 from .common import documents, text_of
 
 
@@ -68,6 +68,21 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def file_paths(docs: DataFrame) -> DataFrame:
+    """``documents`` as files: a path from source and id alone.  Ids divisible by 1000, 100 and 10 are files named
+    LICENSE at the three levels of directories; the operator decides by their texts whether they hold a licence."""
+    n = F.col("doc_id")
+    level = F.when(n % 1000 == 0, F.array()).when(n % 100 == 0, F.array(F.expr("concat('p', doc_id div 100)"))).otherwise(
+        F.array(F.expr("concat('p', doc_id div 100)"), F.expr("concat('m', doc_id div 10 % 10)")))
+    name = F.when(n % 10 == 0, "LICENSE").otherwise(F.concat(F.lit("d"), n.cast("string"), F.lit(".txt")))
+    return docs.select("doc_id", F.array_join(F.concat(F.array(F.coalesce("source", F.lit("none"))), level,
+                                                       F.array(name)), "/").alias("path"), "text")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(file_paths(documents(spark, sf_dir)))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.streaming_exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
@@ -81,6 +96,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_bpe": op8_bpe,
+    "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
