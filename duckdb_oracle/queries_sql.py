@@ -276,19 +276,26 @@ sql("target_correlation_topk", chain(
     "SELECT * FROM (" + union_all(f"SELECT '{a}' AS feature1, '{b}' AS feature2, corr({a}, {b}) AS correlation "
                                   f"FROM chain" for i, a in enumerate(TGT) for b in TGT[i + 1:])
     + ") ORDER BY correlation DESC NULLS LAST, feature1, feature2 LIMIT 5"))
-CORR = ("PTS", "MIN", "FGA", "FGM", "FG3A", "FG3M", "FTA", "FTM", "PTS_LAG1", "PTS_AVG2", "GP", "TEAM_PACE")
+TGT_META = set(TGT) | set(S.METADATA_COLS) | {"PLAYER_ID", "SEASON"}
+NUM = [c for c in CHAIN_COLS if c not in TGT_META and c not in TEXT_COLS]
+DOUBLES = ", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in NUM)
+NUM_LIST = ", ".join(qi(c) for c in NUM)
 sql("high_correlation_pairs", chain(
-    "SELECT * FROM (" + union_all(f"SELECT '{a}' AS feature1, '{b}' AS feature2, abs(corr({a}, {b})) AS correlation "
-                                  f"FROM chain" for i, a in enumerate(CORR) for b in CORR[i + 1:])
-    + ") WHERE correlation > 0.95"))
+    "SELECT feature1, feature2, r AS correlation FROM (SELECT a.n AS feature1, b.n AS feature2, "
+    "abs(corr(a.v, b.v)) AS r FROM ln a JOIN ln b ON a.rid = b.rid AND a.pos < b.pos GROUP BY a.n, b.n) "
+    "WHERE r > 0.95 AND NOT isnan(r)",
+    f"wd AS MATERIALIZED (SELECT row_number() OVER () AS rid, {DOUBLES} FROM chain)",
+    f"up AS (UNPIVOT wd ON {NUM_LIST} INTO NAME n VALUE v)",
+    "nm AS (SELECT unnest([" + ", ".join(f"'{c}'" for c in NUM) + "]) AS n, unnest(range(" + str(len(NUM)) + ")) AS pos)",
+    "ln AS MATERIALIZED (SELECT rid, pos, n, v FROM up JOIN nm USING (n))"))
 sql("career_totals", with_chain(
     "SELECT PLAYER_ID, CAST(sum(GP) AS DOUBLE) AS CAREER_GP, sum(MIN) AS CAREER_MIN, sum(PTS) AS CAREER_PTS, "
     "count(*) AS SEASONS_PLAYED FROM master GROUP BY PLAYER_ID", lagged=False))
 sql("group_mean_train", chain(
     "SELECT POSITION, " + ", ".join(f"avg({s}) AS {s}" for s in TARGET_STATS)
     + f" FROM chain WHERE SEASON IN {TRAIN_IN} AND NEXT_PTS IS NOT NULL GROUP BY POSITION"))
-INF = ("PTS_PACE_ADJ", "AST_PACE_ADJ", "REB_PACE_ADJ", "BMI", "AST_PER_STL", "PTS_PER_MIN", "AST_TO_RATIO")
-_inf_sum = " + ".join(f"count(*) FILTER (WHERE isinf({c}))" for c in INF)
+INF = [c for c in FEAT_COLS if c not in TEXT_COLS and c not in BOOL_COLS and c not in TGT_META] + ["AST_PER_STL"]
+_inf_sum = " + ".join(f"count(*) FILTER (WHERE isinf(CAST({qi(c)} AS DOUBLE)))" for c in INF)
 sql("infinite_profile", feats(union_all([
     f"SELECT 'train' AS split, CAST({_inf_sum} AS BIGINT) AS inf_cells FROM fx WHERE NEXT_PTS IS NOT NULL "
     f"AND SEASON IN {TRAIN_IN}",
@@ -296,10 +303,9 @@ sql("infinite_profile", feats(union_all([
     f"AND SEASON = '{VAL}'",
     f"SELECT 'pred' AS split, CAST({_inf_sum} AS BIGINT) AS inf_cells FROM fx WHERE NEXT_PTS IS NULL"]),
     f"fx AS (SELECT *, {FS.rdiv('AST', 'STL')} AS AST_PER_STL FROM feats)"))
-FSTAT = ("PTS", "MIN", "GP", "PTS_LAG1", "PTS_AVG3", "PTS_STD3", "AGE", "ADV_USG_PCT", "TEAM_PACE")
 sql("feature_stats", chain(
-    "SELECT avg(abs(m)) AS mean_abs_mean, avg(s) AS mean_std FROM ("
-    + union_all(f"SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM chain" for c in FSTAT) + ")"))
+    "SELECT list_avg([" + ", ".join(f"avg(abs({qi(c)}))" for c in NUM) + "]) AS mean_abs_mean, list_avg(["
+    + ", ".join(f"stddev_samp({qi(c)})" for c in NUM) + "]) AS mean_std FROM chain"))
 
 # ==== E ======================================================================================
 
@@ -348,14 +354,17 @@ sql("drop_high_missing", feats(
     missing_cte("feats", FEAT_COLS)))
 EXCLUDE = set(TGT) | set(S.METADATA_COLS)
 CONST_CANDIDATES = [c for c in FEAT_COLS if c not in EXCLUDE and c not in TEXT_COLS and c not in BOOL_COLS]
-_const_parts = [
-    f"SELECT '{c}' AS \"column\", count(DISTINCT {qi(c)}) AS nd, count({qi(c)}) AS nn, "
-    f"(SELECT max(k) FROM (SELECT count(*) AS k FROM feats WHERE {qi(c)} IS NOT NULL GROUP BY {qi(c)})) AS top "
-    f"FROM feats" for c in CONST_CANDIDATES]
 sql("drop_constant_features", feats(
     "SELECT \"column\" FROM (" + union_all(f"SELECT '{c}' AS \"column\"" for c in FEAT_COLS) + ") "
-    "WHERE \"column\" NOT IN (SELECT \"column\" FROM cst WHERE nd = 1 OR (nd = 2 AND top / nn > 0.99))",
-    "cst AS (" + union_all(_const_parts) + ")"))
+    "WHERE \"column\" NOT IN (SELECT n FROM cst WHERE nd = 1 OR (nd = 2 AND top / nn > 0.99))",
+    "wd AS MATERIALIZED (SELECT " + ", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in CONST_CANDIDATES)
+    + " FROM feats)",
+    "up AS (UNPIVOT wd ON " + ", ".join(qi(c) for c in CONST_CANDIDATES) + " INTO NAME n VALUE v)",
+    "cst AS (SELECT n, count(*) AS nd, sum(k) AS nn, max(k) AS top FROM (SELECT n, v, count(*) AS k FROM up "
+    "GROUP BY n, v) GROUP BY n)"))
+_SEP_FEATURES = [c for c in FEAT_COLS if c not in TGT_META]
+sql("separate_columns", feats("SELECT PLAYER_ID, SEASON, " + ", ".join(TGT) + ", "
+                              + ", ".join(qi(c) for c in _SEP_FEATURES) + " FROM feats"))
 sql("split_has_target", chain(
     "SELECT PLAYER_ID, SEASON, CASE WHEN NEXT_PTS IS NOT NULL THEN 'train' ELSE 'pred' END AS part FROM chain"))
 
@@ -363,9 +372,7 @@ sql("split_has_target", chain(
 
 BOX = ("GP", "MIN", "PTS", "REB", "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT",
        "FTM", "FTA", "FT_PCT")
-PREP = (["AGE", "YEARS_EXPERIENCE", "HEIGHT_INCHES", "WEIGHT", "DRAFT_ROUND", "DRAFT_NUMBER", "TEAM_PACE",
-         "TEAM_OFF_RATING", "TEAM_DEF_RATING", "TEAM_NET_RATING", "TEAM_W_PCT"] + list(BOX)
-        + [f"ADV_{s}" for s in ADV] + [f"{s}_LAG{k}" for s in ("PTS", "MIN", "GP", "AST") for k in (1, 2, 3)])
+PREP = [c for c in CHAIN_COLS if c not in TGT_META and (c not in TEXT_COLS or c in ("DRAFT_ROUND", "DRAFT_NUMBER"))]
 
 
 def _prep_col(c: str) -> str:
@@ -377,21 +384,22 @@ def _prep_col(c: str) -> str:
 SPLIT = (f"CASE WHEN NEXT_PTS IS NULL THEN 'pred' WHEN SEASON IN {TRAIN_IN} THEN 'train' "
          f"WHEN SEASON = '{VAL}' THEN 'val' END")
 PREP_CTES = (
-    f"px AS (SELECT PLAYER_ID, SEASON, {SPLIT} AS split, "
+    f"px AS MATERIALIZED (SELECT PLAYER_ID, SEASON, {SPLIT} AS split, "
     + ", ".join(f"{_prep_col(c)} AS {c}" for c in PREP) + " FROM chain)",
-    "fv AS (" + union_all(f"SELECT '{c}' AS feature, CAST(median({c}) AS DOUBLE) AS fill_value, "
-                          f"count(*) - count({c}) AS nulls FROM px WHERE split = 'train'" for c in PREP) + ")",
-    "pf AS (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
-        f"CASE WHEN (SELECT nulls FROM fv WHERE feature = '{c}') > 0 "
-        f"THEN coalesce({c}, (SELECT fill_value FROM fv WHERE feature = '{c}')) ELSE {c} END AS {c}" for c in PREP)
-    + " FROM px WHERE split IS NOT NULL)",
-    "zf AS (SELECT count(*) > 0 AS z FROM pf WHERE split IN ('train', 'val') AND ("
+    "fm AS MATERIALIZED (SELECT " + ", ".join(f"CAST(median({c}) AS DOUBLE) AS m_{c}, count(*) - count({c}) AS z_{c}"
+                                              for c in PREP) + " FROM px WHERE split = 'train')",
+    "pf AS MATERIALIZED (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
+        f"CASE WHEN fm.z_{c} > 0 THEN coalesce({c}, fm.m_{c}) ELSE {c} END AS {c}" for c in PREP)
+    + " FROM px CROSS JOIN fm WHERE split IS NOT NULL)",
+    "zf AS MATERIALIZED (SELECT count(*) > 0 AS z FROM pf WHERE split IN ('train', 'val') AND ("
     + " OR ".join(f"{c} IS NULL" for c in PREP) + "))",
-    "filled AS (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
-        f"CASE WHEN (SELECT z FROM zf) THEN coalesce({c}, 0.0) ELSE {c} END AS {c}" for c in PREP) + " FROM pf)",
+    "filled AS MATERIALIZED (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
+        f"CASE WHEN zf.z THEN coalesce({c}, 0.0) ELSE {c} END AS {c}" for c in PREP) + " FROM pf CROSS JOIN zf)",
 )
 sql("temporal_split", chain(f"SELECT PLAYER_ID, SEASON, {SPLIT} AS split FROM chain WHERE {SPLIT} IS NOT NULL"))
-sql("fit_fill_values", chain("SELECT feature, fill_value FROM fv WHERE nulls > 0", *PREP_CTES))
+sql("fit_fill_values", chain(union_all(
+    f"SELECT '{c}' AS feature, m_{c} AS fill_value, CAST(NULL AS VARCHAR) AS fill_text FROM fm WHERE z_{c} > 0"
+    for c in PREP), *PREP_CTES))
 sql("apply_fill_values", chain("SELECT * FROM filled", *PREP_CTES))
 SCALE_CTES = (
     "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in PREP)
@@ -402,8 +410,8 @@ SCALE_CTES = (
 )
 sql("standard_scale", chain("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
 sql("scaling_check", chain(
-    "SELECT avg(m) AS mean_of_means, avg(s) AS mean_of_stds FROM ("
-    + union_all(f"SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM scaled WHERE split = 'train'" for c in PREP) + ")",
+    "SELECT list_avg([" + ", ".join(f"avg({c})" for c in PREP) + "]) AS mean_of_means, list_avg(["
+    + ", ".join(f"stddev_samp({c})" for c in PREP) + "]) AS mean_of_stds FROM scaled WHERE split = 'train'",
     *PREP_CTES, *SCALE_CTES))
 sql("prepare_training_data", chain("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
 

@@ -56,11 +56,13 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 
     Written as ``min_by(struct(row), struct(order))`` per key: an aggregate with
     map-side partial aggregation, so a hot key is reduced before the shuffle
-    instead of being sorted whole in one window task.  Ties on the full
-    tie-break pick any one of the tied rows.
+    instead of being sorted whole in one window task.  Ties are broken by the
+    remaining columns, so that the result does not depend on the rows' order.
     """
     rest = [c for c in df.columns if c not in set(keys)]
-    ordered = F.struct(*[F.col(c) for c in order_by])
+    orderable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ordered = F.struct(*[F.col(c) for c in order_by],
+                       *[F.col(c) for c in rest if c in orderable and c not in set(order_by)])
     g = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordered).alias("_first"))
     return g.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
 

@@ -71,9 +71,11 @@ class FillValues:
         return cls(values)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(k, None if v is None else float(v)) for k, v in self.values.items()
-                if v is None or isinstance(v, (int, float))]
-        return spark.createDataFrame(rows, "feature string, fill_value double")
+        """feature, fill_value (numeric features), fill_text (text features)."""
+        number = lambda v: isinstance(v, (int, float))
+        rows = [(k, float(v) if number(v) else None, None if v is None or number(v) else str(v))
+                for k, v in self.values.items()]
+        return spark.createDataFrame(rows, "feature string, fill_value double, fill_text string")
 
     def transform(self, df: DataFrame) -> DataFrame:
         def fill(c):

@@ -77,9 +77,14 @@ def target_moments(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, only_missing: bool = True) -> DataFrame:
-    """Per column: missing count and pct of rows (ONE aggregate + unpivot); only > 0 by default."""
+    """Per column: missing count and pct of rows (ONE aggregate + unpivot); only > 0 by default.
+
+    NaN is missing, as null is.
+    """
     cols = list(cols or df.columns)
-    wide = df.selectExpr("count(1) AS __rows", *[f"count_if({q(c)} IS NULL) AS m{i}" for i, c in enumerate(cols)])
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    gone = [f"{q(c)} IS NULL" + f" OR isnan({q(c)})" * (c in real) for c in cols]
+    wide = df.selectExpr("count(1) AS __rows", *[f"count_if({x}) AS m{i}" for i, x in enumerate(gone)])
     items = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count")) for i, c in enumerate(cols)]
     long = wide.select("__rows", F.explode(F.array(*items)).alias("e")).select(
         F.col("e.column").alias("column"), F.col("e.missing_count").alias("missing_count"),
@@ -121,9 +126,14 @@ def target_coverage(df: DataFrame, first_target: str) -> DataFrame:
 
 
 def _pair_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for all column pairs (few columns: ``F.corr`` per pair)."""
+    """Pairwise-complete Pearson r for all pairs of a few columns; null where a column is constant."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def corr(a, b):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b))))
+
+    wide = df.agg(*[corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     items = [F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"), F.col(f"c{i}").alias("correlation"))
              for i, (a, b) in enumerate(pairs)]
     return wide.select(F.explode(F.array(*items)).alias("e")).select("e.*")
@@ -138,11 +148,12 @@ def target_correlation_topk(df: DataFrame, targets: Sequence[str], k: int = 5) -
 def masked_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson for MANY columns via masked sufficient statistics.
 
-    Each Arrow batch contributes, for its value matrix X (nulls as 0) and
-    null mask M, the matrices M'M, X'M, (X*X)'M and X'X; the per-batch
-    partial sums are reduced by a ``groupBy(i, j).sum`` shuffle (map-side
-    combined), so no task ever holds more than one batch of rows.  Values are
-    shifted by a per-column mean first for numerical stability.
+    Each task adds up, over its Arrow batches with value matrix X (nulls as 0)
+    and null mask M, the matrices M'M, X'M, (X*X)'M and X'X and emits them
+    once; a ``groupBy(i, j).sum`` shuffle reduces them, so no task ever holds
+    more than one batch of rows.  Values are shifted by a per-column mean
+    first for numerical stability.  A pair with an infinite value is NaN, as
+    in pandas.
     """
     cols = list(cols)
     k = len(cols)
@@ -150,17 +161,19 @@ def masked_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     sel = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}")
                       for i, c in enumerate(cols)])
     means = sel.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(k)]).first()
-    shift = np.array([means[f"m{i}"] or 0.0 for i in range(k)], dtype="float64")
+    shift = np.nan_to_num(np.array([means[f"m{i}"] or 0.0 for i in range(k)], dtype="float64"), posinf=0.0, neginf=0.0)
     iu, ju = np.triu_indices(k, 1)
 
     def stats(batches):
+        total = np.zeros((6, len(iu)))          # one set of sums for each task
         for pdf in batches:
             x = pdf.to_numpy(dtype="float64", na_value=np.nan)
             m = (~np.isnan(x)).astype("float64")
             x = np.where(m > 0, x - shift, 0.0)
-            mm, xm, x2m, xx = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
-            yield pd.DataFrame({"i": iu, "j": ju, "n": mm[iu, ju], "sx": xm[iu, ju], "sy": xm[ju, iu],
-                                "sxx": x2m[iu, ju], "syy": x2m[ju, iu], "sxy": xx[iu, ju]})
+            with np.errstate(invalid="ignore"):
+                mm, xm, x2m, xx = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+            total += [mm[iu, ju], xm[iu, ju], xm[ju, iu], x2m[iu, ju], x2m[ju, iu], xx[iu, ju]]
+        yield pd.DataFrame({"i": iu, "j": ju, **dict(zip(("n", "sx", "sy", "sxx", "syy", "sxy"), total, strict=True))})
 
     schema = "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
     s = sel.mapInPandas(stats, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
@@ -175,14 +188,11 @@ def masked_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     F.element_at(names, F.col("j").cast("int") + 1).alias("feature2"), r.alias("correlation"))
 
 
-def high_correlation_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.95,
-                           method: str = "auto") -> DataFrame:
-    """Feature pairs with pairwise-complete |r| > threshold (informational)."""
-    cols = cols_if_present(df, cols)
-    use_masked = method == "masked" or (method == "auto" and len(cols) > 12)
-    p = masked_correlation(df, cols) if use_masked else _pair_stats(df, cols)
-    return p.select("feature1", "feature2", F.abs("correlation").alias("correlation")).where(
-        F.col("correlation") > threshold)
+def high_correlation_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.95) -> DataFrame:
+    """Feature pairs with pairwise-complete |r| > threshold (informational); a NaN correlation is no pair."""
+    r = F.abs("correlation")
+    return masked_correlation(df, cols_if_present(df, cols)).where((r > threshold) & ~F.isnan(r)).select(
+        "feature1", "feature2", r.alias("correlation"))
 
 
 def career_totals(df: DataFrame, entity: str = "PLAYER_ID") -> DataFrame:
@@ -206,12 +216,13 @@ def infinite_profile(splits: dict[str, DataFrame], cols: Sequence[str] | None =
 
 
 def feature_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mean over features of |column mean| and of column sample std (one aggregate)."""
+    """Mean over features of the mean |x| and of the sample std of each column (one aggregate)."""
     cols = cols_if_present(df, cols)
-    wide = df.agg(*[x for i, c in enumerate(cols) for x in (F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"))])
+    wide = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
+        f"avg(abs({q(c)})) AS a{i}", f"stddev_samp({q(c)}) AS s{i}")])
     items = [F.struct(F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i in range(len(cols))]
     long = wide.select(F.explode(F.array(*items)).alias("e")).select("e.*")
-    return long.agg(F.avg(F.abs("mean")).alias("mean_abs_mean"), F.avg("std").alias("mean_std"))
+    return long.agg(F.avg("mean").alias("mean_abs_mean"), F.avg("std").alias("mean_std"))
 
 
 # --------------------------------------------------------------------------- H
@@ -264,20 +275,30 @@ def drop_constant_features(df: DataFrame, exclude: Sequence[str] = (), top_share
     return df.drop(*constant_columns(df, exclude, top_share))
 
 
-def separate_columns(df: DataFrame, targets: Sequence[str], metadata: Sequence[str]) -> dict[str, DataFrame]:
-    """Split into features / targets / metadata frames (keys kept via metadata)."""
+def separate_columns(df: DataFrame, targets: Sequence[str], metadata: Sequence[str], keys: Sequence[str] = ()
+                     ) -> dict[str, DataFrame]:
+    """Split into features / targets / metadata frames; ``keys`` are in each, so that rows can be matched again."""
     t = [c for c in df.columns if c in set(targets)]
     m = [c for c in df.columns if c in set(metadata)]
     f = [c for c in df.columns if c not in set(t) | set(m)]
-    return {"features": df.select(*f), "targets": df.select(*t), "metadata": df.select(*m)}
+    own = lambda cols: df.select(*keys, *[c for c in cols if c not in set(keys)])
+    return {"features": own(f), "targets": own(t), "metadata": own(m)}
 
 
 def validate_types(df: DataFrame) -> DataFrame:
-    """Type distribution and distinct counts of text columns (long: column, type, distinct)."""
+    """Type of every column and exact distinct count of text columns (long: column, type, n_distinct).
+
+    The distinct (column, value) pairs are counted in one pass, without a distinct aggregate for each column.
+    """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    d = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first() if text else {}
-    rows = [(f.name, f.dataType.simpleString(), int(d[f.name]) if f.name in text else None) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column string, type string, distinct_approx long")
+    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+                                            "column string, type string")
+    if not text:
+        return types.withColumn("n_distinct", F.lit(None).cast("long"))
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value"))
+                                           for c in text])).alias("e")).select("e.*").distinct()
+    n = values.groupBy("column").agg(F.count("value").alias("n_distinct"))
+    return types.join(F.broadcast(n), "column", "left")             # one row for each column
 
 
 def split_has_target(df: DataFrame, first_target: str) -> tuple[DataFrame, DataFrame]:

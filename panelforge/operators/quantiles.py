@@ -2,17 +2,18 @@
 
 ``F.median`` / ``percentile`` merge a value -> count map for the whole column
 in one final task, which is unbounded for continuous data at scale.  Here
-each (column, q) target is solved by bracketing:
+every needed order statistic is bracketed by values of the column:
 
-1. one aggregate: non-null count and ``percentile_approx`` just below and
-   above ``q`` (rank error <= n / accuracy);
-2. one aggregate: how many values fall below the bracket and inside it;
-   a bracket that misses the target ranks is widened and re-checked;
-3. only values inside the bracket are collected per target, and only when
-   the in-bracket count (known from step 2) is at most ``max_collect``;
-   otherwise the bracket is refined with a higher accuracy first.
+1. one aggregate: ``percentile_approx`` just below and just above the wanted
+   rank, among the values strictly inside the current bracket;
+2. one aggregate: how many of those values lie below, at, between and above
+   the two found.  The wanted rank falls into one of these: at a found value
+   (done) or strictly between two (the next bracket).
 
-Every target of every column is handled in the same three jobs.
+Each round removes at least one distinct value and about ``accuracy`` / 4 of
+the rest, so the number of rounds is logarithmic for continuous data and small
+for any pattern of ties.  No value list reaches the driver, and every order
+statistic of every column shares the same two jobs a round.
 """
 
 from __future__ import annotations
@@ -26,104 +27,71 @@ from pyspark.sql import functions as F
 
 from ..functions.sqltext import agg_row, lit_double as L, q as Q
 
-MAX_COLLECT = 200_000
 
-
-def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accuracy: int = 10_000,
-                    max_collect: int = MAX_COLLECT) -> dict[tuple[str, float], float | None]:
+def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accuracy: int = 10_000
+                    ) -> dict[tuple[str, float], float | None]:
     targets = list(dict.fromkeys(targets))
     if not targets:
         return {}
     cols = list(dict.fromkeys(c for c, _ in targets))
-    # only the needed columns, kept for the 3-4 passes below (spills to disk if large);
+    # only the needed columns, kept for the passes below (spills to disk if large);
     # NaN counts as missing, as in pandas
     df = df.selectExpr(*[f"nanvl(CAST({Q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS q{i}"
                          for i, c in enumerate(cols)]).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        return _solve(df, targets, cols, accuracy, max_collect)
+        counts = agg_row(df, [f"count(q{i}) AS n{i}" for i in range(len(cols))])
+        n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
+        at = {(c, q): (n[c] - 1) * q for c, q in targets if n[c]}
+        ranks = sorted({(cols.index(c), r) for (c, _), x in at.items() for r in (math.floor(x), math.ceil(x))})
+        value = _order_statistics(df, ranks, [n[c] for c in cols], accuracy)
+        out: dict[tuple[str, float], float | None] = dict.fromkeys(targets)
+        for (c, q), x in at.items():
+            a, b = value[cols.index(c), math.floor(x)], value[cols.index(c), math.ceil(x)]
+            out[c, q] = a if a == b else a + (b - a) * (x - math.floor(x))
+        return out
     finally:
         df.unpersist()
 
 
-def _solve(df, targets, cols, accuracy, max_collect):
-    x = {c: f"q{i}" for i, c in enumerate(cols)}
-    counts = agg_row(df, [f"count({x[c]}) AS n{i}" for i, c in enumerate(cols)])
-    n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
-
-    result: dict[tuple[str, float], float | None] = {}
-    pending = []
-    for c, q in targets:
-        if n[c] == 0:
-            result[(c, q)] = None
-        else:
-            pos = (n[c] - 1) * q
-            pending.append({"c": c, "q": q, "lo_rank": math.floor(pos), "hi_rank": math.ceil(pos),
-                            "frac": pos - math.floor(pos), "lo": None, "hi": None,
-                            "delta": 2.0 / accuracy, "acc": accuracy})
-    rounds = 0
+def _order_statistics(df: DataFrame, ranks: Sequence[tuple[int, int]], n: Sequence[int], accuracy: int
+                      ) -> dict[tuple[int, int], float]:
+    """The value of each (column number, zero-based rank among the column's values)."""
+    found: dict[tuple[int, int], float] = {}
+    # open bracket (lo, hi), values at or below lo, values inside
+    pending = {t: (None, None, 0, n[t[0]]) for t in ranks}
     while pending:
-        rounds += 1
-        if rounds > 8:
-            raise RuntimeError("exact_quantiles: bracket did not converge")
-        # (1) approximate bracket around the target ranks
-        aggs = []
-        for i, t in enumerate(pending):
-            ql, qh = max(0.0, t["q"] - t["delta"]), min(1.0, t["q"] + t["delta"])
-            aggs.append(f"percentile_approx({x[t['c']]}, array({L(ql)}, {L(qh)}), {t['acc']}) AS b{i}")
-        br = agg_row(df, aggs)
-        for i, t in enumerate(pending):
-            lo, hi = br[f"b{i}"]
-            t["lo"] = None if t["q"] - t["delta"] <= 0 else float(lo)
-            t["hi"] = None if t["q"] + t["delta"] >= 1 else float(hi)
-        # (2) counts below / inside each bracket
+        brackets, aggs = list(pending.items()), []
+        inside = []
+        for i, ((c, rank), (lo, hi, below, size)) in enumerate(brackets):
+            cond = [f"q{c} {sign} {L(end)}" for sign, end in ((">", lo), ("<", hi)) if end is not None]
+            inside.append(" AND ".join([f"q{c} IS NOT NULL", *cond]))
+            q = (rank - below) / max(1, size - 1)
+            ends = f"array({L(max(0.0, q - 2 / accuracy))}, {L(min(1.0, q + 2 / accuracy))})"
+            aggs.append(f"percentile_approx(CASE WHEN {inside[i]} THEN q{c} END, {ends}, {accuracy}) AS b{i}")
+        row = agg_row(df, aggs)
+        ends = [tuple(map(float, row[f"b{i}"])) for i in range(len(brackets))]
         aggs = []
-        for i, t in enumerate(pending):
-            v = x[t["c"]]
-            below = "false" if t["lo"] is None else f"{v} < {L(t['lo'])}"
-            inside = f"{v} IS NOT NULL"
-            if t["lo"] is not None:
-                inside += f" AND {v} >= {L(t['lo'])}"
-            if t["hi"] is not None:
-                inside += f" AND {v} <= {L(t['hi'])}"
-            aggs += [f"count_if({below}) AS below{i}", f"count_if({inside}) AS in{i}"]
-        cnt = agg_row(df, aggs)
-        ready, retry = [], []
-        for i, t in enumerate(pending):
-            t["below"], t["inside"] = cnt[f"below{i}"], cnt[f"in{i}"]
-            ok = t["below"] <= t["lo_rank"] and t["below"] + t["inside"] > t["hi_rank"]
-            if not ok:                                       # missed: widen
-                t["delta"] = min(1.0, t["delta"] * 4)
-                retry.append(t)
-            elif t["lo"] is not None and t["lo"] == t["hi"]:
-                result[(t["c"], t["q"])] = t["lo"]          # all target ranks share one value
-            elif t["inside"] <= max_collect:
-                ready.append(t)
-            else:                                            # too many: narrow
-                t["acc"] = min(t["acc"] * 10, 10_000_000)
-                t["delta"] = 2.0 / t["acc"]
-                retry.append(t)
-        # (3) collect only in-bracket values, bounded by max_collect per target
-        if ready:
-            items = []
-            for i, t in enumerate(ready):
-                v = x[t["c"]]
-                cond = f"{v} IS NOT NULL"
-                if t["lo"] is not None:
-                    cond += f" AND {v} >= {L(t['lo'])}"
-                if t["hi"] is not None:
-                    cond += f" AND {v} <= {L(t['hi'])}"
-                items.append(f"CASE WHEN {cond} THEN named_struct('t', {i}, 'v', {v}) END")
-            vals = (df.selectExpr(f"explode(array({', '.join(items)})) AS e").where(F.col("e").isNotNull())
-                    .groupBy(F.col("e.t").alias("t")).agg(F.sort_array(F.collect_list("e.v")).alias("vs")))
-            got = {r["t"]: r["vs"] for r in vals.collect()}
-            for i, t in enumerate(ready):
-                vs = got.get(i, [])
-                a = vs[t["lo_rank"] - t["below"]]
-                b = vs[t["hi_rank"] - t["below"]]
-                result[(t["c"], t["q"])] = a + (b - a) * t["frac"]
-        pending = retry
-    return result
+        for i, (((c, _), _), (a, b)) in enumerate(zip(brackets, ends, strict=True)):
+            for name, test in (("u", f"q{c} < {L(a)}"), ("a", f"q{c} = {L(a)}"), ("m", f"q{c} > {L(a)} AND q{c} < {L(b)}"),
+                               ("b", f"q{c} = {L(b)}" if b > a else "false")):
+                aggs.append(f"count_if({inside[i]} AND {test}) AS {name}{i}")
+        row, pending = agg_row(df, aggs), {}
+        for i, ((t, (lo, hi, below, size)), (a, b)) in enumerate(zip(brackets, ends, strict=True)):
+            under, at_a, mid, at_b = (row[f"{x}{i}"] for x in "uamb")
+            r = t[1] - below
+            upto = (under, under + at_a, under + at_a + mid, under + at_a + mid + at_b)
+            if r < upto[0]:
+                pending[t] = (lo, a, below, under)
+            elif r < upto[1]:
+                found[t] = a
+            elif r < upto[2]:
+                pending[t] = (a, b, below + upto[1], mid)
+            elif r < upto[3]:
+                found[t] = b
+            else:
+                pending[t] = (b, hi, below + upto[3], size - upto[3])
+    return found
 
 
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5, **kw) -> float | None:

@@ -438,12 +438,15 @@ def q_target_correlation_topk(spark, d):
     return P.target_correlation_topk(_lagged(spark, d), SPEC.targets, 5)
 
 
-CORR_COLS = ("PTS", "MIN", "FGA", "FGM", "FG3A", "FG3M", "FTA", "FTM", "PTS_LAG1", "PTS_AVG2", "GP", "TEAM_PACE")
+def _numeric_features(df: DataFrame) -> list[str]:
+    """Every numeric column that is no key, target or metadata."""
+    return B.numeric_columns(df, exclude=[*KEYS, *SPEC.targets, *S.METADATA_COLS])
 
 
 @query("high_correlation_pairs")
 def q_high_correlation_pairs(spark, d):
-    return P.high_correlation_pairs(_lagged(spark, d), CORR_COLS, 0.95, method="masked")
+    lag = _lagged(spark, d)
+    return P.high_correlation_pairs(lag, _numeric_features(lag), 0.95)
 
 
 @query("career_totals")
@@ -456,21 +459,16 @@ def q_group_mean_train(spark, d):
     return J.group_mean_train(_train(_lagged(spark, d)), list(S.TARGET_STATS), "POSITION")
 
 
-INF_COLS = ("PTS_PACE_ADJ", "AST_PACE_ADJ", "REB_PACE_ADJ", "BMI", "AST_PER_STL", "PTS_PER_MIN", "AST_TO_RATIO")
-
-
 @query("infinite_profile")
 def q_infinite_profile(spark, d):
     f = _featured(spark, d).select("*", raw_div("AST", "STL").alias("AST_PER_STL"))
-    return P.infinite_profile(I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS"), INF_COLS)
-
-
-FEATURE_STAT_COLS = ("PTS", "MIN", "GP", "PTS_LAG1", "PTS_AVG3", "PTS_STD3", "AGE", "ADV_USG_PCT", "TEAM_PACE")
+    return P.infinite_profile(I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS"))
 
 
 @query("feature_stats")
 def q_feature_stats(spark, d):
-    return P.feature_stats(_lagged(spark, d), FEATURE_STAT_COLS)
+    lag = _lagged(spark, d)
+    return P.feature_stats(lag, _numeric_features(lag))
 
 
 # --- E: window / panel -------------------------------------------------------------
@@ -594,8 +592,8 @@ def q_drop_constant_features(spark, d):
 
 @query("separate_columns")
 def q_separate_columns(spark, d):
-    parts = P.separate_columns(_featured(spark, d), SPEC.targets, S.METADATA_COLS)
-    return parts["targets"]
+    parts = P.separate_columns(_featured(spark, d), SPEC.targets, S.METADATA_COLS, keys=KEYS)
+    return parts["targets"].join(parts["features"], KEYS)
 
 
 @query("validate_types")
@@ -611,18 +609,12 @@ def q_split_has_target(spark, d):
 
 # --- I: split, impute, scale --------------------------------------------------------------
 
-PREP_FEATURES = tuple(
-    ["AGE", "YEARS_EXPERIENCE", "HEIGHT_INCHES", "WEIGHT", "DRAFT_ROUND", "DRAFT_NUMBER", "TEAM_PACE",
-     "TEAM_OFF_RATING", "TEAM_DEF_RATING", "TEAM_NET_RATING", "TEAM_W_PCT"] + list(BOX)
-    + [f"ADV_{s}" for s in ADV_STATS] + [f"{s}_LAG{k}" for s in ("PTS", "MIN", "GP", "AST") for k in (1, 2, 3)])
-
-
 def _prep_input(spark, d):
-    """Keys, split columns and the prepared features as doubles, checkpointed once: fill and
-    scale make several passes over it."""
+    """Keys, split columns and every numeric feature as doubles, written once: fill and scale make several
+    passes over it."""
     lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
-    narrow = lag.select(*KEYS, "NEXT_PTS", *[F.col(c).cast("double").alias(c) for c in PREP_FEATURES])
-    return cut_lineage(narrow)
+    cols = _numeric_features(lag)
+    return cut_lineage(lag.select(*KEYS, "NEXT_PTS", *[F.col(c).cast("double").alias(c) for c in cols])), cols
 
 
 def _prepared(spark, d, features=None):
@@ -642,14 +634,16 @@ def q_temporal_split(spark, d):
 
 @query("fit_fill_values")
 def q_fit_fill_values(spark, d):
-    sp = I.temporal_split(_prep_input(spark, d), TRAIN, VAL, first_target="NEXT_PTS")
-    return I.FillValues.fit(sp["train"], PREP_FEATURES).table(spark)
+    rows, cols = _prep_input(spark, d)
+    sp = I.temporal_split(rows, TRAIN, VAL, first_target="NEXT_PTS")
+    return I.FillValues.fit(sp["train"], cols).table(spark)
 
 
 def _filled(spark, d):
-    sp = I.temporal_split(_prep_input(spark, d), TRAIN, VAL, first_target="NEXT_PTS")
-    fv = I.FillValues.fit(sp["train"], PREP_FEATURES)
-    return I.apply_fill_values(fv, {k: v.select(*KEYS, *PREP_FEATURES) for k, v in sp.items()}, PREP_FEATURES)
+    rows, cols = _prep_input(spark, d)
+    sp = I.temporal_split(rows, TRAIN, VAL, first_target="NEXT_PTS")
+    fv = I.FillValues.fit(sp["train"], cols)
+    return I.apply_fill_values(fv, {k: v.select(*KEYS, *cols) for k, v in sp.items()}, cols), cols
 
 
 def _union_splits(sp):
@@ -662,30 +656,32 @@ def _union_splits(sp):
 
 @query("apply_fill_values")
 def q_apply_fill_values(spark, d):
-    return _union_splits(_filled(spark, d))
+    return _union_splits(_filled(spark, d)[0])
 
 
 def _scaled(spark, d):
-    sp = _filled(spark, d)
-    sc = I.StandardScale.fit(sp["train"], PREP_FEATURES)
-    return {k: sc.transform(v) for k, v in sp.items()}
+    sp, cols = _filled(spark, d)
+    sc = I.StandardScale.fit(sp["train"], cols)
+    return {k: sc.transform(v) for k, v in sp.items()}, cols
 
 
 @query("standard_scale")
 def q_standard_scale(spark, d):
-    return _union_splits(_scaled(spark, d))
+    return _union_splits(_scaled(spark, d)[0])
 
 
 @query("scaling_check")
 def q_scaling_check(spark, d):
-    return I.scaling_check(_scaled(spark, d)["train"], PREP_FEATURES)
+    sp, cols = _scaled(spark, d)
+    return I.scaling_check(sp["train"], cols)
 
 
 @query("prepare_training_data")
 def q_prepare_training_data(spark, d):
-    prep = I.prepare_training_data(_lagged(spark, d), TRAIN, VAL, SPEC.targets, S.METADATA_COLS,
-                                   features=PREP_FEATURES)
-    return _union_splits({k: v.select(*KEYS, *PREP_FEATURES) for k, v in prep.splits.items()})
+    lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
+    cols = _numeric_features(lag)
+    prep = I.prepare_training_data(lag, TRAIN, VAL, SPEC.targets, S.METADATA_COLS, features=cols)
+    return _union_splits({k: v.select(*KEYS, *cols) for k, v in prep.splits.items()})
 
 
 # --- J: baselines and evaluation ------------------------------------------------------------

@@ -56,7 +56,7 @@ def test_exact_quantiles_match_numpy(spark):
     x[::17] = np.nan
     pdf = pd.DataFrame({"x": x, "y": rng.integers(0, 5, size=5003).astype(float)})
     df = spark.createDataFrame(pdf)
-    got = exact_quantiles(df, [("x", q) for q in (0.25, 0.5, 0.75)] + [("y", 0.5)], accuracy=100, max_collect=500)
+    got = exact_quantiles(df, [("x", q) for q in (0.25, 0.5, 0.75)] + [("y", 0.5)], accuracy=100)
     for q in (0.25, 0.5, 0.75):
         assert abs(got[("x", q)] - np.nanquantile(x, q)) < 1e-12
     assert got[("y", 0.5)] == np.median(pdf["y"])
