@@ -4,13 +4,7 @@ Features travel as one ``VectorUDT`` column assembled from the prepared
 feature columns; every fit is a distributed Spark ML fit and grids run
 through ``CrossValidator`` with an explicit contiguous ``foldCol``.
 
-Penalty translation (scikit-learn -> MLlib, standardization off):
-
-* ridge:   ``regParam = alpha * std(y) / n``, ``elasticNetParam = 0``
-  (MLlib scales the label by its std inside the normal-equation solver);
-* lasso:   ``regParam = alpha``, ``elasticNetParam = 1``;
-* elastic net: L1 part ``alpha * r``, L2 part ``alpha * (1 - r) * std(y)``;
-  ``regParam = L1 + L2``, ``elasticNetParam = L1 / regParam``.
+Ridge, lasso and elastic net are in ``linear_gram.py``.
 
 Grid sizes are parameters; the defaults are one-point grids so a query stays
 cheap, the reference's full grids are in ``*_FULL_GRID``.
@@ -20,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -65,24 +58,20 @@ def contiguous_folds(df: DataFrame, k: int, order: Sequence[str], out: str = "fo
     part = cut_lineage(part.withColumn("__pid", F.shiftright("__mid", 33)).withColumn(
         "__idx", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
     counts = sorted((r["__pid"], r["n"]) for r in part.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, run = [], 0
+    offsets, total = [], 0
     for pid, cnt in counts:
-        offsets += [F.lit(pid), F.lit(run)]
-        run += cnt
-    total = run
+        offsets.append((pid, total))
+        total += cnt
     if total == 0:
         return part.drop("__mid", "__pid", "__idx").withColumn(out, F.lit(None).cast("int"))
     q, r = divmod(total, k)
-    gi = F.create_map(*offsets)[F.col("__pid")] + F.col("__idx")
+    starts = df.sparkSession.createDataFrame(offsets, "__pid long, __start long")     # one row a partition
+    part = part.join(F.broadcast(starts), "__pid")
+    gi = F.col("__start") + F.col("__idx")
     big = F.lit(r * (q + 1))
     fold = F.when(gi < big, F.floor(gi / F.lit(q + 1))).otherwise(
         F.lit(r) + F.floor((gi - big) / F.lit(max(q, 1))))
-    return part.withColumn(out, fold.cast("int")).drop("__mid", "__pid", "__idx")
-
-
-def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:
-    r = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
-    return int(r["n"]), float(r["s"] or 0.0)
+    return part.withColumn(out, fold.cast("int")).drop("__mid", "__pid", "__idx", "__start").select(*df.columns, out)
 
 
 def _cv(est, grid, df, label, k, fold_col, parallelism):
@@ -93,37 +82,6 @@ def _cv(est, grid, df, label, k, fold_col, parallelism):
     return m.bestModel, list(m.avgMetrics)
 
 
-def ridge_grid(train: DataFrame, label: str, alphas: Sequence[float] = ALPHAS, k: int = 5,
-               fold_col: str | None = "fold", parallelism: int = 4):
-    n, s = _label_stats(train, label)
-    est = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=0.0, standardization=False,
-                           solver="normal")
-    grid = [{est.regParam: a * s / max(n, 1)} for a in alphas]
-    return _cv(est, grid, train, label, k, fold_col, parallelism)
-
-
-def lasso_grid(train: DataFrame, label: str, alphas: Sequence[float] = ALPHAS, k: int = 5,
-               fold_col: str | None = "fold", parallelism: int = 4):
-    est = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=1.0, standardization=False,
-                           maxIter=200)
-    grid = [{est.regParam: a} for a in alphas]
-    return _cv(est, grid, train, label, k, fold_col, parallelism)
-
-
-def elasticnet_grid(train: DataFrame, label: str, alphas: Sequence[float] = ENET_ALPHAS,
-                    ratios: Sequence[float] = L1_RATIOS, k: int = 5, fold_col: str | None = "fold",
-                    parallelism: int = 4):
-    _, s = _label_stats(train, label)
-    est = LinearRegression(featuresCol="features", labelCol=label, standardization=False, maxIter=200)
-    grid = []
-    for a in alphas:
-        for r in ratios:
-            l1, l2 = a * r, a * (1 - r) * s
-            reg = l1 + l2
-            grid.append({est.regParam: reg, est.elasticNetParam: (l1 / reg) if reg > 0 else 0.0})
-    return _cv(est, grid, train, label, k, fold_col, parallelism)
-
-
 def _grid(est, spec: dict) -> list:
     b = ParamGridBuilder()
     for name, values in spec.items():
@@ -143,18 +101,6 @@ def boosted_trees_grid(train: DataFrame, label: str, grid: dict = BOOSTED_GRID,
     return _cv(est, _grid(est, grid), train, label, k, fold_col, parallelism)
 
 
-def linear_best(train: DataFrame, val: DataFrame, label: str, k: int = 5, fold_col: str | None = "fold"):
-    """Fit ridge, lasso and elastic net; keep the least validation MAE (first on ties)."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
-    best = None
-    for name, fn in (("Ridge", ridge_grid), ("Lasso", lasso_grid), ("ElasticNet", elasticnet_grid)):
-        model, _ = fn(train, label, k=k, fold_col=fold_col)
-        mae = ev.evaluate(model.transform(val.where(F.col(label).isNotNull())))
-        if best is None or mae < best[2]:
-            best = (name, model, mae)
-    return best
-
-
 def feature_importance(model, features: Sequence[str], spark, target: str | None = None) -> DataFrame:
     """(feature, importance) of a tree model, sorted descending."""
     imp = model.featureImportances.toArray().tolist()
@@ -172,15 +118,3 @@ def predict_all(models: dict[str, object], df: DataFrame, target: str, spec: Pan
                                    F.col(target).cast("double").alias("actual"))
         out = p if out is None else out.unionByName(p)
     return out
-
-
-def save_model(model, path: str) -> None:
-    PipelineModel(stages=[model]).write().overwrite().save(path)
-
-
-def load_model(path: str):
-    return PipelineModel.load(path).stages[0]
-
-
-def pipeline(features: Sequence[str], est) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), est])

@@ -99,12 +99,16 @@ def position_group(position: str = "POSITION"):
 def position_group_models(train: DataFrame, score: DataFrame, fit, label: str, spec: PanelSpec = DEFAULT_SPEC,
                           groups: Sequence[str] = ("Guard", "Wing", "Big"), position: str = "POSITION",
                           name: str = "Position_Model") -> DataFrame:
-    """One model per position group (``fit(df) -> model``); scored rows of all groups unioned."""
-    g = position_group(position)
+    """One model per position group (``fit(df) -> model``); scored rows of all groups unioned.
+
+    Rows without a position, or of a group without training rows, are scored by a model fitted on all rows.
+    """
+    g = F.coalesce(position_group(position), F.lit(""))
+    seen = {r[0] for r in train.select(g.alias("g")).distinct().collect()} & set(groups)     # a few groups
     out = None
-    for grp in groups:
-        tr = train.where(g == grp)
-        sc = score.where(g == grp)
+    for grp in [*(x for x in groups if x in seen), None]:
+        tr = train.where(g == grp) if grp else train
+        sc = score.where(g == grp) if grp else score.where(~g.isin(*sorted(seen)) if seen else F.lit(True))
         m = fit(tr)
         p = m.transform(sc).select(*spec.keys, F.lit(label).alias("target"), F.lit(name).alias("model"),
                                    F.col("prediction").cast("double").alias("prediction"),

@@ -21,6 +21,7 @@ from ..operators import derived as D
 from ..operators import ensembles as L
 from ..operators import evaluation as J
 from ..operators import joins as C
+from ..operators import linear_gram as G
 from ..operators import models as K
 from ..operators import panel_windows as E
 from ..operators import preparation as I
@@ -65,11 +66,9 @@ def _lagged(spark, d):
     return FP.with_lags(_master(spark, d), SPEC)
 
 
-POSITIONS = ("Center", "Forward", "Guard", "Guard-Forward")
-
-
 def _featured(spark, d):
-    return FP.add_features(_lagged(spark, d), POSITIONS)
+    lag = _lagged(spark, d)
+    return FP.add_features(lag, D.position_categories(_train(lag)))
 
 
 def _added(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -544,7 +543,7 @@ for _name, _fn in {
     "role_features": D.role_features,
     "team_context_features": D.team_context_features,
     "interaction_features": D.interaction_features,
-    "position_one_hot": lambda df: D.position_one_hot(df, POSITIONS),
+    "position_one_hot": lambda df: D.position_one_hot(df, D.position_categories(_train(df))),
     "position_groups": D.position_groups,
     "physical_features": D.physical_features,
     "games_played_features": G.games_played_features,
@@ -756,7 +755,7 @@ ML_TARGET = "NEXT_PTS"
 def _ml_data(spark, d):
     prep = _prepared(spark, d)
     train = K.contiguous_folds(prep.splits["train"], 5, KEYS)
-    train = K.assemble(train, prep.features).cache()
+    train = K.assemble(train, prep.features)          # the folds are a written table
     val = K.assemble(prep.splits["val"], prep.features)
     return prep, train, val
 
@@ -765,45 +764,59 @@ def _score_val(model, val, name):
     return K.predict_all({name: model}, val.where(F.col(ML_TARGET).isNotNull()), ML_TARGET, SPEC)
 
 
+def _linear(spark, d, families):
+    """The long prediction table of linear families: all targets, full grids, contiguous folds."""
+    prep, train, val = _ml_data(spark, d)
+    out = None
+    for name, penalties in families.items():
+        p = G.fit_grid(train, prep.features, SPEC.targets, penalties).predict(val, name, SPEC)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+RIDGE = {"Ridge": G.ridge_penalties(K.ALPHAS)}
+LASSO = {"Lasso": G.lasso_penalties(K.ALPHAS)}
+ELASTIC = {"ElasticNet": G.elasticnet_penalties(K.ENET_ALPHAS, K.L1_RATIOS)}
+
+
 @query("ridge_grid")
 def q_ridge_grid(spark, d):
-    _, train, val = _ml_data(spark, d)
-    m, _ = K.ridge_grid(train, ML_TARGET)
-    return J.regression_metrics(_score_val(m, val, "Ridge"))
+    return J.regression_metrics(_linear(spark, d, RIDGE))
 
 
 @query("lasso_grid")
 def q_lasso_grid(spark, d):
-    _, train, val = _ml_data(spark, d)
-    m, _ = K.lasso_grid(train, ML_TARGET, alphas=(0.01, 0.1, 1.0))
-    return J.regression_metrics(_score_val(m, val, "Lasso"))
+    return J.regression_metrics(_linear(spark, d, LASSO))
 
 
 @query("elasticnet_grid")
 def q_elasticnet_grid(spark, d):
-    _, train, val = _ml_data(spark, d)
-    m, _ = K.elasticnet_grid(train, ML_TARGET, alphas=(0.1, 1.0), ratios=(0.5, 0.9))
-    return J.regression_metrics(_score_val(m, val, "ElasticNet"))
+    return J.regression_metrics(_linear(spark, d, ELASTIC))
 
 
 @query("linear_best")
 def q_linear_best(spark, d):
-    _, train, val = _ml_data(spark, d)
-    name, m, _ = K.linear_best(train, val, ML_TARGET)
-    return J.regression_metrics(_score_val(m, val, name))
+    metrics = J.regression_metrics(_linear(spark, d, {**RIDGE, **LASSO, **ELASTIC}))
+    best = J.best_model_per_target(metrics, ("Ridge", "Lasso", "ElasticNet"))
+    return metrics.join(best.select("target", F.col("best_model").alias("model")), ["target", "model"])
+
+
+def _three_folds(train):
+    """The training rows in three contiguous folds, as tree grids use."""
+    return K.contiguous_folds(train.drop("fold"), 3, KEYS)
 
 
 @query("random_forest_grid")
 def q_random_forest_grid(spark, d):
     _, train, val = _ml_data(spark, d)
-    m, _ = K.random_forest_grid(train, ML_TARGET, k=3, fold_col=None)
+    m, _ = K.random_forest_grid(_three_folds(train), ML_TARGET, k=3)
     return J.regression_metrics(_score_val(m, val, "RF"))
 
 
 @query("boosted_trees_grid")
 def q_boosted_trees_grid(spark, d):
     _, train, val = _ml_data(spark, d)
-    m, _ = K.boosted_trees_grid(train, ML_TARGET, k=3, fold_col=None)
+    m, _ = K.boosted_trees_grid(_three_folds(train), ML_TARGET, k=3)
     return J.regression_metrics(_score_val(m, val, "GBT"))
 
 
@@ -975,5 +988,5 @@ def q_position_group_models(spark, d):
     _, train, val = _ml_data(spark, d)
 
     def fit(df):
-        return K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(df)
+        return K.GBTRegressor(featuresCol="features", labelCol=ML_TARGET, maxIter=20, maxDepth=3, seed=42).fit(df)
     return N.position_group_models(train, val.where(F.col(ML_TARGET).isNotNull()), fit, ML_TARGET, SPEC)
