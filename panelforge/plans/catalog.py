@@ -21,7 +21,7 @@ from ..operators import derived as D
 from ..operators import ensembles as L
 from ..operators import evaluation as J
 from ..operators import joins as C
-from ..operators import linear_gram as G
+from ..operators import linear_gram as LG
 from ..operators import models as K
 from ..operators import panel_windows as E
 from ..operators import preparation as I
@@ -769,14 +769,14 @@ def _linear(spark, d, families):
     prep, train, val = _ml_data(spark, d)
     out = None
     for name, penalties in families.items():
-        p = G.fit_grid(train, prep.features, SPEC.targets, penalties).predict(val, name, SPEC)
+        p = LG.fit_grid(train, prep.features, SPEC.targets, penalties).predict(val, name, SPEC)
         out = p if out is None else out.unionByName(p)
     return out
 
 
-RIDGE = {"Ridge": G.ridge_penalties(K.ALPHAS)}
-LASSO = {"Lasso": G.lasso_penalties(K.ALPHAS)}
-ELASTIC = {"ElasticNet": G.elasticnet_penalties(K.ENET_ALPHAS, K.L1_RATIOS)}
+RIDGE = {"Ridge": LG.ridge_penalties(K.ALPHAS)}
+LASSO = {"Lasso": LG.lasso_penalties(K.ALPHAS)}
+ELASTIC = {"ElasticNet": LG.elasticnet_penalties(K.ENET_ALPHAS, K.L1_RATIOS)}
 
 
 @query("ridge_grid")
