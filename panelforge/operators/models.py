@@ -42,36 +42,40 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def contiguous_folds(df: DataFrame, k: int, order: Sequence[str], out: str = "fold") -> DataFrame:
-    """Unshuffled contiguous folds: rows in ``order`` split into k runs, first n % k one row longer.
+def global_index(df: DataFrame, order: Sequence, out: str = "index") -> tuple[DataFrame, int]:
+    """``df`` with each row's zero-based place in the global ``order``, and the number of rows.
 
-    Same ids as ``ntile(k) - 1`` over the global order, but without a
-    single-partition window: range-partition and sort by ``order``, number
-    rows within each partition, turn per-partition counts (one small row per
-    partition) into offsets, and map each global row index to its fold.
+    No single-partition window: range-partition and sort by ``order``, number the rows of each partition, and turn
+    the partitions' counts (one small row each) into offsets, joined by broadcast.
     """
-    # explicit partition count (AQE leaves it alone) and a reliable checkpoint, so the
-    # counting job and the fold-assigning job read the same numbered partitions
+    # explicit partition count (AQE leaves it alone) and a written table, so the counting job and what
+    # follows read the same numbered partitions
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = df.repartitionByRange(nparts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+    part = df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
     part = part.withColumn("__mid", F.monotonically_increasing_id())
     part = cut_lineage(part.withColumn("__pid", F.shiftright("__mid", 33)).withColumn(
         "__idx", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = sorted((r["__pid"], r["n"]) for r in part.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, total = [], 0
-    for pid, cnt in counts:
+    for pid, n in sorted((r["__pid"], r["n"]) for r in part.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()):
         offsets.append((pid, total))
-        total += cnt
-    if total == 0:
-        return part.drop("__mid", "__pid", "__idx").withColumn(out, F.lit(None).cast("int"))
-    q, r = divmod(total, k)
+        total += n
     starts = df.sparkSession.createDataFrame(offsets, "__pid long, __start long")     # one row a partition
-    part = part.join(F.broadcast(starts), "__pid")
-    gi = F.col("__start") + F.col("__idx")
-    big = F.lit(r * (q + 1))
+    part = part.join(F.broadcast(starts), "__pid").withColumn(out, F.col("__start") + F.col("__idx"))
+    return part.select(*[c for c in df.columns if c != out], out), total
+
+
+def contiguous_folds(df: DataFrame, k: int, order: Sequence[str], out: str = "fold") -> DataFrame:
+    """Unshuffled contiguous folds: rows in ``order`` split into k runs, first n % k one row longer.
+
+    Same ids as ``ntile(k) - 1`` over the global order, from ``global_index``.
+    """
+    part, total = global_index(df, order, "__at")
+    q, r = divmod(total, k)
+    gi, big = F.col("__at"), F.lit(r * (q + 1))
     fold = F.when(gi < big, F.floor(gi / F.lit(q + 1))).otherwise(
         F.lit(r) + F.floor((gi - big) / F.lit(max(q, 1))))
-    return part.withColumn(out, fold.cast("int")).drop("__mid", "__pid", "__idx", "__start").select(*df.columns, out)
+    return part.withColumn(out, fold.cast("int")).select(*[c for c in df.columns if c != out], out)
 
 
 def _cv(est, grid, df, label, k, fold_col, parallelism):

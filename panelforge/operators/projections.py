@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from .. import spec as S
 from ..spec import DEFAULT_SPEC, PanelSpec
+from .models import global_index
 
 COUNTING = ("PTS", "AST", "REB", "BLK", "STL", "TOV", "MIN", "FG3M", "FGA", "FTA")
 
@@ -51,11 +52,12 @@ def prediction_interval(pred: DataFrame, resid: DataFrame, z: float = 1.96,
 
 def rank_projections(df: DataFrame, score: str = "FANTASY_POINTS", k: int | None = 100,
                      tie: Sequence[str] = ("PLAYER_ID",)) -> DataFrame:
-    """Rank by score (desc, ties by key); keep the top ``k`` (a top-k report)."""
+    """Rank by score (desc, ties by key); keep the top ``k`` (a top-k report), or rank all rows (``None``)."""
     ordered = [F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in tie]]
     if k is None:
-        # full ranking: a range-partitioned global sort, no single-task window
-        return df.orderBy(*ordered)
+        # full ranking: places in a range-partitioned sort, no single-task window
+        ranked, _ = global_index(df, ordered, "RANK")
+        return ranked.withColumn("RANK", (F.col("RANK") + 1).cast("int"))
     top = df.orderBy(*ordered).limit(k)        # TakeOrderedAndProject: per-task top-k, then merge
     return top.withColumn("RANK", F.row_number().over(Window.orderBy(*ordered)))
 

@@ -38,3 +38,34 @@ def test_rank_and_backtest(spark):
     a = p + np.where(np.arange(1, 50) % 2, 1.0, -1.0)
     assert r["n"] == 49 and abs(r["MAE"] - 1.0) < 1e-12 and abs(r["bias"] - np.mean(p - a)) < 1e-12
     assert abs(r["MAPE"] - 100 * np.mean(np.abs((p - a) / a))) < 1e-9
+
+
+def test_rank_all_rows(spark):
+    df = spark.createDataFrame([(i, float((i * 37) % 101 // 3)) for i in range(200)], "PLAYER_ID long, FANTASY_POINTS double")
+    got = N.rank_projections(df.repartition(5), k=None).collect()
+    want = sorted(((i, float((i * 37) % 101 // 3)) for i in range(200)), key=lambda x: (-x[1], x[0]))
+    assert [(r["PLAYER_ID"], r["FANTASY_POINTS"]) for r in sorted(got, key=lambda r: r["RANK"])] == want
+    assert sorted(r["RANK"] for r in got) == list(range(1, 201))
+
+
+def test_position_groups_score_rows_without_a_group(spark):
+    rows = [(i, "1", p, float(i)) for i, p in enumerate(["Guard", "Center", None, "Guard", "Forward"])]
+    df = spark.createDataFrame(rows, "PLAYER_ID long, SEASON string, POSITION string, y double")
+    seen = []
+
+    class Mean:
+        def __init__(self, v):
+            self.v = v
+
+        def transform(self, frame):
+            from pyspark.sql import functions as F
+
+            return frame.withColumn("prediction", F.lit(self.v))
+
+    def fit(frame):
+        seen.append(sorted(r["PLAYER_ID"] for r in frame.collect()))
+        return Mean(float(len(seen)))
+
+    got = N.position_group_models(df.where("POSITION is null or POSITION != 'Forward'"), df, fit, "y").collect()
+    assert seen == [[0, 3], [1], [0, 1, 2, 3]]
+    assert {r["PLAYER_ID"]: r["prediction"] for r in got} == {0: 1.0, 3: 1.0, 1: 2.0, 2: 3.0, 4: 3.0}
