@@ -33,7 +33,7 @@ PHRASE_END = r"(?<=[eEaAoOtT.,;:!?*&%$#|])[\x20\x09-\x0D]+"
 
 
 def _sums(weight: Column) -> list[Column]:
-    """Aggregates over phrases (columns digest, at, phrase) of one side; ``weight`` picks the rows."""
+    """Aggregates over the rows of ``_phrases`` that ``weight`` picks."""
     one = F.when(weight, 1).otherwise(0).cast("long")
     first = F.when(weight & (F.col("at") == 0), 1).otherwise(0).cast("long")
     out = [F.sum(F.col(f"d{i}") * first) for i in range(IDENTITY)]
@@ -70,10 +70,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 def _phrases(df: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
     """A row for each phrase of each paragraph of the texts in the array ``parts``: its hashes, its paragraph's
-    digest lanes, its place in the paragraph (``at``) and which text it is from (``side``)."""
+    digest lanes, its place in the paragraph (``at``) and which text it is from (``side``; -1 for an empty
+    paragraph, which has no vector but keeps its document in the result)."""
     rows = df.select(*keep, F.posexplode(parts).alias("side", "body"))
-    rows = rows.select(*keep, "side", F.explode(F.split("body", "\n")).alias("paragraph")).filter("paragraph != ''")
-    rows = rows.select(*keep, "side", F.sha2("paragraph", 512).alias("digest"),
+    rows = rows.select(*keep, "side", F.explode(F.split("body", "\n")).alias("paragraph"))
+    rows = rows.select(*keep, F.when(F.col("paragraph") == "", -1).otherwise(F.col("side")).alias("side"),
+                       F.sha2("paragraph", 512).alias("digest"),
                        F.posexplode(F.split("paragraph", PHRASE_END)).alias("at", "phrase"))
     lanes = [F.when(F.col("at") == 0, F.conv(F.substring("digest", 8 * i + 1, 8), 16, 10).cast("long")).otherwise(0)
              .alias(f"d{i}") for i in range(IDENTITY)]
@@ -85,12 +87,8 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     Null and empty texts have the zero vector.  Rows that share a key are one document, the sum of their texts.
     """
-    rows = _phrases(df, F.array(text_of(text)), [key])
-    sums = rows.groupBy(key).agg(F.array(*_sums(F.lit(True))).alias("sums"))
-    zero = F.array_repeat(F.lit(0).cast("long"), IDENTITY + 32 * HASHES + 1)
-    out = df.select(key).distinct().join(sums.withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "left")
-    out = out.select(key, F.coalesce("sums", zero).alias("sums"))
-    return out.withColumn("fingerprint", _fingerprint(F.col("sums")))
+    sums = _phrases(df, F.array(text_of(text)), [key]).groupBy(key).agg(F.array(*_sums(F.col("side") >= 0)).alias("sums"))
+    return sums.withColumn("fingerprint", _fingerprint(F.col("sums")))
 
 
 def _next_in_order(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -114,7 +112,7 @@ def _next_in_order(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _row_key(id_col: str, text: str) -> Column:
-    return F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.sha2(text_of(text), 256))
+    return F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.hex(F.xxhash64(text_of(text))))
 
 
 def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text: str = "text", share: int = 4) -> DataFrame:
@@ -127,7 +125,7 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     * Result: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     * Null texts count as empty; null ids come last.  Rows alike in id and text are one document and give one row;
-      rows with the same id and other texts are documents of their own, ordered by the text's SHA-256.
+      rows with the same id and other texts are documents of their own, ordered by a hash of the text.
     * Other columns are ignored; an empty table gives an empty result.
     """
     order = cut_lineage(_next_in_order(df, id_col, text), "next")
@@ -148,13 +146,12 @@ def compare_with_edit(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     both = both.select("rk", F.sha2(edited, 256).alias("edited_sha256"), F.array(
         F.expr("left(body, whole)"), F.expr("substr(body, whole + 1)"),
         F.expr("concat(substr(stem, whole + 1), head)")).alias("parts"))
-    rows = _phrases(both, F.col("parts"), ["rk"])
-    was, now = _sums(F.col("side") != 2), _sums(F.col("side") != 1)
-    sums = rows.groupBy("rk").agg(F.array(*was).alias("sums"), F.array(*now).alias("edited_sums"))
-    zero = F.array_repeat(F.lit(0).cast("long"), IDENTITY + 32 * HASHES + 1)
-    sums = both.select("rk", "edited_sha256").join(sums, "rk", "left").select(
-        "rk", "edited_sha256", F.coalesce("sums", zero).alias("sums"), F.coalesce("edited_sums", zero).alias("edited_sums"))
-    sums = cut_lineage(sums, "fingerprints")
+    # both joins and the sums are by rk: one shuffle of the texts serves them all
+    rows = _phrases(both, F.col("parts"), ["rk", "edited_sha256"])
+    side = F.col("side")
+    sums = cut_lineage(rows.groupBy("rk", "edited_sha256").agg(
+        F.array(*_sums((side == 0) | (side == 1))).alias("sums"),
+        F.array(*_sums((side == 0) | (side == 2))).alias("edited_sums")), "fingerprints")
     nexts = sums.select(F.col("rk").alias("next_rk"), F.col("sums").alias("next_sums"))
     return order.join(sums, "rk").join(nexts, "next_rk").select(
         F.col("id").alias(id_col), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
