@@ -218,6 +218,7 @@ sql("join_advanced", with_chain(
     "a.TS_PCT AS ADV_TS_PCT, a.PIE AS ADV_PIE FROM ps LEFT JOIN adv a "
     "ON ps.PLAYER_ID = a.PLAYER_ID AND ps.SEASON = a.SEASON", lagged=False))
 sql("build_master_panel", with_chain("SELECT * FROM master", lagged=False))
+SQL["sink_table"] = SQL["build_master_panel"]       # written and read back
 sql("join_group_average", chain(
     "SELECT c.PLAYER_ID, c.SEASON, c.POSITION, coalesce(g.PTS, 0.0) AS PTS FROM chain c "
     f"LEFT JOIN (SELECT POSITION, avg(PTS) AS PTS FROM chain WHERE SEASON IN {TRAIN_IN} AND NEXT_PTS IS NOT NULL "
@@ -424,6 +425,10 @@ sql("baseline_multi_year", chain(union_all(_pred_parts("Baseline_3yr", _multi_ye
 sql("baseline_group_average", chain(
     union_all(_pred_parts("Baseline_Position", lambda s: f"bp_{s}", "true", "posval")), GM_CTE, VMED_CTE, POS_CTE))
 sql("regression_metrics", chain("SELECT * FROM metrics", *BASE_CTES, metrics_cte()))
+sql("scan_metrics_json", chain(
+    "SELECT * FROM (" + union_all(f"SELECT target, model, '{m}' AS metric, {m} AS value FROM metrics"
+                                  for m in ("MAE", "RMSE", "R2", "MAPE")) + ") WHERE value IS NOT NULL",
+    *BASE_CTES, metrics_cte()))
 sql("mape", chain("SELECT model, target, MAPE FROM metrics", *BASE_CTES, metrics_cte()))
 sql("metrics_summary", chain(
     "SELECT model, avg(MAE) AS avg_MAE, avg(R2) AS avg_R2, min(MAE) AS min_MAE, max(MAE) AS max_MAE "
