@@ -1,19 +1,23 @@
 """MinHash near-dedup with tensored banding.
 
 Table keys pair a half key from one small collection of minhashes with a half
-key from another: 11 half keys of three minhashes and 8 of two make 88 tables
-of five from 49 minhashes, where 88 tables of their own would take 440.  A pair
-is a candidate if some half key of each collection agrees; at a similarity of
-0.8 that fails for about 7 pairs in 10,000.
+key from another: 14 half keys of four minhashes and 11 of three make 154
+tables of seven from 89 minhashes, where 154 tables of their own would take
+1,078.  A pair is a candidate if some half key of each collection agrees; at a
+similarity of 0.8 that fails for about one pair in 1,000, at 0.85 for one in
+50,000.
 
 Documents with equal sets are one node, so copies never meet each other.  In a
 bucket every node is compared with the bucket's smallest node only (a star, in
-all as many pairs as bucket entries).  Nodes that this leaves in another
-component than the rest of their bucket are then compared with those members
-that can still be similar: distances are metric, so two members whose distances
-to the bucket's smallest node differ by more than 0.2 cannot be.  Together this
-loses no link between components of a bucket and never expands a bucket's
-pairs.  All links are confirmed on the full shingle sets.
+all no more pairs than bucket entries).  A pair at 0.8 shares about 30 buckets,
+so some smaller node would have to be in all of them to keep the two apart.
+For that case, buckets whose nodes are left in several components are split by
+a third collection of half keys, and in every part the smallest node outside
+the bucket's main component is compared with the rest; of the main component
+only those take part that can still be similar (distances are metric: members
+whose distances to the bucket's smallest node differ by more than 0.2 are not).
+No step expands the pairs of a bucket.  All links are confirmed on the full
+shingle sets.
 """
 
 from __future__ import annotations
@@ -29,8 +33,8 @@ from .common import cut_lineage, slices
 from .graph import components
 from .shingles import shingle_sets
 
-#: (half keys, minhashes in each) of the two collections.
-COLLECTIONS = ((11, 3), (8, 2))
+#: (half keys, minhashes in each) of the two collections that are paired, and of the one that splits buckets.
+COLLECTIONS = ((14, 4), (11, 3), (11, 3))
 _RNG = np.random.default_rng(711)
 _N = sum(m * r for m, r in COLLECTIONS)
 _A = _RNG.integers(0, 1 << 63, _N, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,7 +130,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"),
                                                                   F.min("halves").alias("halves"))
         .withColumn("nid", F.monotonically_increasing_id()), "nodes")      # fixed by being written
-    m, n = COLLECTIONS[0][0], COLLECTIONS[1][0]
+    m, n, split = (k for k, _ in COLLECTIONS)
     entries = (nodes.select("nid", F.posexplode(F.slice("halves", 1, m)).alias("i", "a"), "halves")
                .select("nid", "i", "a", F.posexplode(F.slice("halves", m + 1, n)).alias("j", "b"))
                .select("nid", F.xxhash64("i", "j", "a", "b").alias("key")))
@@ -148,22 +152,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"),
                                     F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
-    mixed = cut_lineage(placed.join(main, "key"), "mixed")
-    if not mixed.isEmpty():
-        reach = F.lit((100 - percent) / 100 + 1e-9)
-        mixed = mixed.join(stars.select(F.col("x").alias("nid"), F.col("y").alias("head"), "distance"),
-                           ["nid", "head"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-        slab = F.floor(F.col("distance") / reach)
-        few = mixed.filter("root != main").select(
-            "key", F.col("nid").alias("x"), F.col("root").alias("x_root"), F.col("distance").alias("dx"),
-            F.explode(F.array(slab - 1, slab, slab + 1)).alias("slab"))
-        rest = mixed.filter("nid != head").select("key", F.col("nid").alias("y"), F.col("root").alias("y_root"),
-                                                  F.col("distance").alias("dy"), slab.alias("slab"))
-        more = (few.join(rest, ["key", "slab"])
-                .filter((F.col("x_root") != F.col("y_root")) & (F.abs(F.col("dx") - F.col("dy")) <= reach)
-                        & (F.col("x") != F.col("y")))
-                .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-                .join(stars.select("x", "y"), ["x", "y"], "left_anti"))
+    reach = F.lit((100 - percent) / 100 + 1e-9)
+    far = stars.select(F.col("x").alias("nid"), F.col("y").alias("head"), "distance")
+    mixed = placed.filter("nid != head").join(main, "key").join(far, ["nid", "head"])
+    mixed = cut_lineage(mixed.select("key", "nid", "root", (F.col("root") == F.col("main")).alias("inner"),
+                                     F.floor(F.col("distance") / reach).alias("slab")), "mixed")
+    near = mixed.filter("not inner").select("key", F.explode(F.array(*[F.col("slab") + k for k in (-1, 0, 1)]))
+                                            .alias("slab")).distinct()
+    parts = mixed.filter("not inner").unionByName(mixed.filter("inner").join(near, ["key", "slab"], "left_semi"))
+    parts = parts.join(nodes.select("nid", F.slice("halves", m + n + 1, split).alias("c")), "nid").select(
+        "nid", "root", "inner", F.posexplode("c").alias("i", "c"), "key")
+    parts = cut_lineage(parts.select("nid", "root", "inner", F.xxhash64("key", "i", "c").alias("part")), "parts")
+    lead = parts.groupBy("part").agg(F.min(F.when(~F.col("inner"), F.col("nid"))).alias("y"),
+                                     F.count(F.lit(1)).alias("k")).filter("k > 1 and y is not null")
+    tops = mixed.select(F.col("nid").alias("y"), F.col("root").alias("y_root")).distinct()
+    more = (parts.join(lead, "part").filter("nid != y").select("nid", "root", "y").distinct().join(tops, "y")
+            .filter("root != y_root").select(F.greatest("nid", "y").alias("x"), F.least("nid", "y").alias("y")).distinct())
+    more = cut_lineage(more.join(stars.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
+    if not more.isEmpty():
         found = cut_lineage(_verify(more, sets, percent).filter("linked").select(
             F.col("x").alias("u"), F.col("y").alias("v")), "links")
         if not found.isEmpty():
