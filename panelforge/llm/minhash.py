@@ -14,7 +14,7 @@ so some smaller node would have to be in all of them to keep the two apart.
 For that case, buckets whose nodes are left in several components are split by
 a third collection of half keys, and in every part the smallest node outside
 the bucket's main component is compared with the rest; of the main component
-only those take part that can still be similar (distances are metric: members
+only those take part that can still be similar (distances are metric: two members
 whose distances to the bucket's smallest node differ by more than 0.2 are not).
 No step expands the pairs of a bucket.  All links are confirmed on the full
 shingle sets.
@@ -155,11 +155,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     reach = F.lit((100 - percent) / 100 + 1e-9)
     far = stars.select(F.col("x").alias("nid"), F.col("y").alias("head"), "distance")
     mixed = placed.filter("nid != head").join(main, "key").join(far, ["nid", "head"])
-    mixed = cut_lineage(mixed.select("key", "nid", "root", (F.col("root") == F.col("main")).alias("inner"),
-                                     F.floor(F.col("distance") / reach).alias("slab")), "mixed")
-    near = mixed.filter("not inner").select("key", F.explode(F.array(*[F.col("slab") + k for k in (-1, 0, 1)]))
-                                            .alias("slab")).distinct()
-    parts = mixed.filter("not inner").unionByName(mixed.filter("inner").join(near, ["key", "slab"], "left_semi"))
+    mixed = cut_lineage(mixed.select("key", "nid", "root", (F.col("root") == F.col("main")).alias("inner"), "distance"),
+                        "mixed")
+    near = mixed.filter("not inner").groupBy("key").agg((F.min("distance") - reach).alias("low"),
+                                                        (F.max("distance") + reach).alias("high"))
+    close = mixed.filter("inner").join(near, "key").filter("distance between low and high").select(*mixed.columns)
+    parts = mixed.filter("not inner").unionByName(close)
     parts = parts.join(nodes.select("nid", F.slice("halves", m + n + 1, split).alias("c")), "nid").select(
         "nid", "root", "inner", F.posexplode("c").alias("i", "c"), "key")
     parts = cut_lineage(parts.select("nid", "root", "inner", F.xxhash64("key", "i", "c").alias("part")), "parts")
