@@ -9,8 +9,9 @@ a state is the set of live threads, and a transition yields the one token that
 ends at this byte.  A thread dies when no token continues it, so what the live
 threads agree on is settled a bounded number of bytes behind the input and is
 emitted, at the end of a piece or, in a long piece, after each block.  States,
-transitions and pair tests are remembered; when the table passes its size limit
-it is dropped and rebuilt from what comes next.
+transitions and pair tests are remembered.  When the table of states is full,
+pieces that leave it go on with their threads undetermined; the states it has
+are those of the beginnings that came first, which are the frequent ones.
 
 The rank file and the pattern that cuts text into pieces are parameters.  The
 driver reads the file once and broadcasts it; its size is that of the
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -46,7 +47,7 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes single pieces; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 120_000, max_pairs: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 60_000, max_pairs: int = 400_000):
         self.ranks, self.max_states, self.max_pairs = ranks, max_states, max_pairs
         self.token = {v: k for k, v in ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
@@ -66,9 +67,6 @@ class Transducer:
             self.ends[node] = rank
         self.size = {v: len(k) for k, v in ranks.items()}
         self.pairs, self.split = {}, {}
-        self._reset()
-
-    def _reset(self):
         start = ((-1, 0),)                      # one thread: (token before, trie node)
         self.ids, self.states, self.moves = {start: 0}, [start], {}
 
@@ -122,20 +120,35 @@ class Transducer:
             else:
                 limit, right = right + 1, b[0]
 
-    def _move(self, state: int, byte: int) -> tuple[int, int]:
-        """Build the transition: the next state and the token that ends here."""
+    def _step(self, threads: Sequence[tuple[int, int]], byte: int) -> tuple[list[tuple[int, int]], int]:
+        """The threads after ``byte`` and the token that ends there."""
+        child, ends, inner, pairs = self.child, self.ends, self.inner, self.pairs
         live, done = [], -1
-        for before, node in self.states[state]:
-            node = self.child.get(node << 8 | byte)
+        for before, node in threads:
+            node = child.get(node << 8 | byte)
             if node is None:
                 continue
-            if done < 0 and node in self.ends and self._stands(before, self.ends[node]):
-                done = self.ends[node]
-            if node in self.inner:
+            if done < 0:
+                token = ends.get(node)
+                if token is not None:
+                    stands = pairs.get((before, token))
+                    if stands is None:
+                        stands = self._stands(before, token)
+                    if stands:
+                        done = token
+            if node in inner:
                 live.append((before, node))
-        key = (*live, (done, 0))
-        to = self.ids.get(key)
-        if to is None:
+        live.append((done, 0))
+        return live, done
+
+    def _move(self, state: int, byte: int) -> tuple[int, int]:
+        """Build the transition: the next state (-1: the table is full) and the token that ends here."""
+        live, done = self._step(self.states[state], byte)
+        key = tuple(live)
+        to = self.ids.get(key, -1)
+        if to < 0:
+            if len(self.states) >= self.max_states:
+                return -1, done
             to = self.ids[key] = len(self.states)
             self.states.append(key)
         self.moves[state << 8 | byte] = to, done
@@ -150,52 +163,58 @@ class Transducer:
             at -= size[token]
         return out
 
-    def _settled(self, state: int, ends: list[int]) -> tuple[list[int], int]:
+    def _settled(self, threads: Sequence[tuple[int, int]], ends: list[int]) -> tuple[list[int], int]:
         """Tokens that all live threads agree on, and the bytes they cover."""
-        depth = self._depths(state)
+        depth = self._depths(threads)
         paths = [self._path(ends, len(ends) - d)[::-1] for d in depth]
         common, shortest = 0, min(map(len, paths))
         while common < shortest and len({p[common] for p in paths}) == 1:
             common += 1
-        # the thread's own token before must stay known to the state, so it is settled with it
         out = paths[0][:common]
         return out, sum(self.size[t] for t in out)
 
-    def _depths(self, state: int) -> list[int]:
+    def _depths(self, threads: Sequence[tuple[int, int]]) -> list[int]:
         if not hasattr(self, "depth"):
             self.depth = {0: 0}
             for edge, to in self.child.items():     # parents come before their children
                 self.depth[to] = self.depth[edge >> 8] + 1
-        return [self.depth[node] for _, node in self.states[state]]
+        return [self.depth[node] for _, node in threads]
 
     def encode(self, piece: bytes, block: int = 4096) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states:
-            self._reset()
-        state, out, ends, moves = 0, [], [], self.moves
+        state, threads, out, ends, moves = 0, None, [], [], self.moves
         for byte in piece:
-            state, token = moves.get(state << 8 | byte) or self._move(state, byte)
+            if threads is None:
+                was = state
+                state, token = moves.get(state << 8 | byte) or self._move(state, byte)
+                if state < 0:
+                    threads = self._step(self.states[was], byte)[0]
+            else:
+                threads, token = self._step(threads, byte)
             ends.append(token)
             if len(ends) >= block and len(ends) % block == 0:
-                settled, covered = self._settled(state, ends)
+                settled, covered = self._settled(threads or self.states[state], ends)
                 out += settled
                 del ends[:covered]
         return out + self._path(ends, len(ends))[::-1]
 
 
 class Pieces(dict):
-    """piece -> ids, computed on first use; emptied when it passes its size limit."""
+    """piece -> ids, computed on first use.  Of two generations the older is dropped when the younger is full."""
 
-    def __init__(self, transducer: Transducer, limit: int = 200_000):
+    def __init__(self, transducer: Transducer, limit: int = 150_000):
         super().__init__()
-        self.transducer, self.limit = transducer, limit
+        self.transducer, self.limit, self.old = transducer, limit, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.transducer.encode(piece.encode("utf-8", "surrogatepass")))
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = tuple(self.transducer.encode(piece.encode("utf-8", "surrogatepass")))
         if len(piece) <= 64:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
