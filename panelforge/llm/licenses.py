@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import cut_lineage, text_of
 
 #: Standard public notices, short and long, by SPDX identifier.
 TEMPLATES: Mapping[str, Sequence[str]] = {
@@ -97,9 +97,10 @@ def idf_weights(df: DataFrame, text: str, vocabulary: Sequence[str]) -> tuple[di
 
 
 def score_units(units: DataFrame, idf: Mapping[str, float], unseen: float, templates=TEMPLATES) -> DataFrame:
-    """unit, license, score: the best template for each distinct ``unit`` (ties: the first name).
+    """uid, license, score: the best template for each distinct ``unit`` (ties: the first name).
 
-    Words outside the templates weigh as words that no text has.
+    ``uid`` tells units apart and goes with their words in place of the text.  Words outside the templates weigh as
+    words that no text has.
     """
     spark = units.sparkSession
     names = [(name, text) for name, texts in sorted(templates.items()) for text in texts]
@@ -110,16 +111,16 @@ def score_units(units: DataFrame, idf: Mapping[str, float], unseen: float, templ
         vectors.append({t: v / norm for t, v in raw.items()})
     table = spark.createDataFrame([(t, idf[t], [v.get(t, 0.0) for v in vectors]) for t in sorted(idf)],
                                   "term string, idf double, weights array<double>")
-    terms = units.select("unit").distinct().select("unit", F.explode(_terms(F.col("unit"))).alias("term"))
-    terms = terms.groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = units.select("uid", "unit").distinct().select("uid", F.explode(_terms(F.col("unit"))).alias("term"))
+    terms = terms.groupBy("uid", "term").agg(F.count(F.lit(1)).alias("tf"))
     terms = terms.join(F.broadcast(table), "term", "left")          # the templates' terms
     weight = F.col("tf") * F.coalesce("idf", F.lit(unseen))
-    sums = terms.groupBy("unit").agg(
+    sums = terms.groupBy("uid").agg(
         F.sqrt(F.sum(weight * weight)).alias("norm"),
         *[F.sum(weight * F.coalesce(F.col("weights")[i], F.lit(0.0))).alias(f"t{i}") for i in range(len(names))])
     scores = F.array(*[F.struct(F.round(F.col(f"t{i}") / F.col("norm"), 12).alias("score"), F.lit(-i).alias("at"),
                                 F.lit(name).alias("license")) for i, (name, _) in enumerate(names)])
-    return sums.select("unit", F.array_max(scores).alias("best")).select("unit", "best.license", "best.score")
+    return sums.select("uid", F.array_max(scores).alias("best")).select("uid", "best.license", "best.score")
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES,
@@ -143,7 +144,8 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", path: str = "path", tex
     units = marked.select("id", "path", F.explode(F.concat(
         F.filter(_sentences(F.col("text")), lambda x: x.rlike(MARKER)),
         F.when(is_license, F.array("text")).otherwise(F.array().cast("array<string>")))).alias("unit"))
-    scored = units.select("id", "path", "unit").join(score_units(units, idf, unseen, templates), "unit")
+    units = cut_lineage(units.withColumn("uid", F.unhex(F.sha2("unit", 256))), "units")
+    scored = units.select("id", "path", "uid").join(score_units(units, idf, unseen, templates), "uid")
     best = scored.groupBy("id", "path").agg(
         F.max(F.struct("score", F.col("license"))).alias("best"))
     own = F.when(F.col("best.score") >= threshold, F.col("best.license"))

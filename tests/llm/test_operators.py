@@ -278,8 +278,8 @@ def test_license_scores(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     vocabulary = sorted({t for v in licenses.TEMPLATES.values() for x in v for t in licenses._template_terms(x)})
     idf, unseen = licenses.idf_weights(df, "text", vocabulary)
-    got = {r["unit"]: (r["license"], r["score"]) for r in
-           licenses.score_units(df.select(F.col("text").alias("unit")), idf, unseen).collect()}
+    units = df.select(F.col("text").alias("unit"), F.col("text").alias("uid"))
+    got = {r["uid"]: (r["license"], r["score"]) for r in licenses.score_units(units, idf, unseen).collect()}
 
     def cosine(a, b):
         va, vb = ({t: n * idf.get(t, unseen) for t, n in Counter(licenses._template_terms(x)).items()} for x in (a, b))
