@@ -150,7 +150,8 @@ def remove_common_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text
     id_, sig, at = (spare_name(df, x) for x in ("line_id", "line_sig", "line_list"))
     gone = deleted_lines(df, id_col, text, rare, min_line, min_block).toDF(id_, sig, at)
     rows = df.withColumn(sig, F.xxhash64(text_of(df[f"`{text}`"])))
-    rows = rows.join(gone, (rows[f"`{id_col}`"].eqNullSafe(gone[id_])) & (rows[sig] == gone[sig]), "left").drop(gone[sig])
+    # the same plan at every size: texts are shuffled by id, never held against a broadcast
+    rows = rows.join(gone.hint("merge"), (rows[f"`{id_col}`"].eqNullSafe(gone[id_])) & (rows[sig] == gone[sig]), "left").drop(gone[sig])
     body = F.col(f"`{text}`")
     kept = F.array_join(F.filter(_lines(body), lambda x, i: ~F.array_contains(F.col(at), i)), "\n")
     return rows.withColumns({
