@@ -9,15 +9,16 @@ similarity of 0.8 that fails for about one pair in 1,000, at 0.85 for one in
 
 Documents with equal sets are one node, so copies never meet each other.  In a
 bucket every node is compared with the bucket's smallest node only (a star, in
-all no more pairs than bucket entries).  A pair at 0.8 shares about 30 buckets,
-so some smaller node would have to be in all of them to keep the two apart.
-For that case, buckets whose nodes are left in several components are split by
-a third collection of half keys, and in every part the smallest node outside
-the bucket's main component is compared with the rest; of the main component
-only those take part that can still be similar (distances are metric: two members
-whose distances to the bucket's smallest node differ by more than 0.2 are not).
-No step expands the pairs of a bucket.  All links are confirmed on the full
-shingle sets.
+all no more pairs than bucket entries), and what is linked is joined.  Of the
+buckets that are left with several components, all pairs of members of
+different components are looked at, except members of a bucket's main component
+that cannot be similar to any outsider (distances are metric: two members whose
+distances to the bucket's smallest node differ by more than 0.2 are not).  For
+that, members meet by half keys of the first collection in blocks of bounded
+size, and a pair is taken once, if it shares a bucket and exact bounds of its
+similarity (set sizes, counts of shingles by bins) do not exclude it.  So every
+candidate pair is in one component, compared or excluded by a bound.  All links
+are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ from .common import cut_lineage, slices
 from .graph import components
 from .shingles import shingle_sets
 
-#: (half keys, minhashes in each) of the two collections that are paired, and of the one that splits buckets.
-COLLECTIONS = ((14, 4), (11, 3), (11, 3))
+#: (half keys, minhashes in each) of the two collections that are paired.
+COLLECTIONS = ((14, 4), (11, 3))
+#: Members of a block of pairs (twice), bins of a set's sketch, and pairs looked at together.
+CHUNK, BINS, SLAB = 256, 256, 1 << 19
 _RNG = np.random.default_rng(711)
 _N = sum(m * r for m, r in COLLECTIONS)
 _A = _RNG.integers(0, 1 << 63, _N, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -113,6 +116,87 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                       (100 * F.col("i") >= percent * F.col("u")).alias("linked"))
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """nid, n, sketch: how many shingles of the set fall into each bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = np.diff(b.column("shingles").offsets.to_numpy())
+            flat = b.column("shingles").flatten().to_numpy().view(np.uint64)
+            bins = ((flat * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % BINS
+            out, at = [], 0
+            for n in sizes:
+                counts = np.bincount(bins[at:at + n], minlength=BINS)
+                at += n
+                # too many for the type: a count that bounds nothing
+                out.append((counts if counts.max() < 1 << 16 else np.full(BINS, (1 << 16) - 1)).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("nid"), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
+                                             names=["nid", "n", "sketch"])
+
+    return sets.mapInArrow(run, "nid long, n long, sketch binary")
+
+
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x > y) of ``members`` (nid, root, halves, n, sketch) of different roots that share a bucket and
+    that bounds do not exclude."""
+    m, k = (x for x, _ in COLLECTIONS)
+    entries = members.select("nid", "root", F.posexplode(F.slice("halves", 1, m)).alias("i", "a"))
+    entries = cut_lineage(entries.select("nid", "root", "i", F.xxhash64("i", "a").alias("key")), "entries")
+    sizes = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
+    sizes = sizes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("m"),
+                                     F.sum("k").alias("k")).filter("k > m")
+    # chunks of outsiders come first; they meet all chunks, those of the main component meet outsiders only
+    chunks = sizes.select("key", "main", F.ceil((F.col("k") - F.col("m")) / CHUNK).alias("o"),
+                          F.ceil(F.col("m") / CHUNK).alias("c"))
+    inner = F.col("root") == F.col("main")
+    spread = F.xxhash64("nid", "key")
+    placed = entries.join(chunks, "key").select(
+        "key", "nid", "i", F.when(inner, F.col("o") + F.pmod(spread, F.col("c"))).otherwise(F.pmod(spread, F.col("o")))
+        .alias("at"), F.explode(F.sequence(F.lit(0).cast("long"), F.when(inner, F.col("o")).otherwise(
+            F.col("o") + F.col("c")) - 1)).alias("to"))
+    placed = placed.select("key", "nid", "i", "at", F.least("at", "to").alias("low"), F.greatest("at", "to").alias("high"))
+    blocks = placed.join(members, "nid").groupBy("key", "low", "high").agg(F.collect_list(F.struct(
+        "i", "at", "nid", "root", "n", "halves", "sketch")).alias("members"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(i, 64) for i in range(0, whole.num_rows, 64)):
+                rows = b.column("members")
+                f = {x.name: c for x, c in zip(rows.type.value_type, rows.flatten().flatten(), strict=True)}
+                i, at, nid, root, n = (f[x].to_numpy() for x in ("i", "at", "nid", "root", "n"))
+                halves = f["halves"].flatten().to_numpy().reshape(-1, m + k)
+                sketch = np.frombuffer(b"".join(f["sketch"].to_pylist()), np.uint16).reshape(-1, BINS)
+                ends = np.cumsum(np.diff(rows.offsets.to_numpy()))
+                block = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+                within = (b.column("low").to_numpy() == b.column("high").to_numpy())[block]
+                rest = ends[block] - np.arange(len(nid)) - 1          # members after this one in its block
+                total = np.cumsum(rest)
+                start = 0
+                while start < len(nid):
+                    done = total[start - 1] if start else 0
+                    stop = max(start + 1, int(np.searchsorted(total, done + SLAB, "right")))
+                    count = rest[start:stop]
+                    x = np.repeat(np.arange(start, stop), count)
+                    y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+                    start = stop
+                    ok = (root[x] != root[y]) & (within[x] | (at[x] != at[y]))
+                    ok &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+                    x, y = x[ok], y[ok]
+                    alike = halves[x] == halves[y]
+                    # of the keys by which the pair meets, the first one takes it
+                    ok = (alike[:, :m].argmax(1) == i[x]) & alike[:, :m].any(1) & alike[:, m:].any(1)
+                    x, y = x[ok], y[ok]
+                    most = np.concatenate([np.zeros(0, np.int64), *(
+                        np.minimum(sketch[x[j:j + 8192]], sketch[y[j:j + 8192]]).sum(1, dtype=np.int64)
+                        for j in range(0, len(x), 8192))])
+                    ok = (100 + percent) * most >= percent * (n[x] + n[y])
+                    x, y = nid[x[ok]], nid[y[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))],
+                                                     names=["x", "y"])
+
+    return blocks.mapInArrow(run, "x long, y long")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
                     ) -> DataFrame:
     """id, n_shingles, component_id, kept for every row of ``df``.
@@ -130,7 +214,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"),
                                                                   F.min("halves").alias("halves"))
         .withColumn("nid", F.monotonically_increasing_id()), "nodes")      # fixed by being written
-    m, n, split = (k for k, _ in COLLECTIONS)
+    m, n = (k for k, _ in COLLECTIONS)
     entries = (nodes.select("nid", F.posexplode(F.slice("halves", 1, m)).alias("i", "a"), "halves")
                .select("nid", "i", "a", F.posexplode(F.slice("halves", m + 1, n)).alias("j", "b"))
                .select("nid", F.xxhash64("i", "j", "a", "b").alias("key")))
@@ -160,16 +244,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     near = mixed.filter("not inner").groupBy("key").agg((F.min("distance") - reach).alias("low"),
                                                         (F.max("distance") + reach).alias("high"))
     close = mixed.filter("inner").join(near, "key").filter("distance between low and high").select(*mixed.columns)
-    parts = mixed.filter("not inner").unionByName(close)
-    parts = parts.join(nodes.select("nid", F.slice("halves", m + n + 1, split).alias("c")), "nid").select(
-        "nid", "root", "inner", F.posexplode("c").alias("i", "c"), "key")
-    parts = cut_lineage(parts.select("nid", "root", "inner", F.xxhash64("key", "i", "c").alias("part")), "parts")
-    lead = parts.groupBy("part").agg(F.min(F.when(~F.col("inner"), F.col("nid"))).alias("y"),
-                                     F.count(F.lit(1)).alias("k")).filter("k > 1 and y is not null")
-    tops = mixed.select(F.col("nid").alias("y"), F.col("root").alias("y_root")).distinct()
-    more = (parts.join(lead, "part").filter("nid != y").select("nid", "root", "y").distinct().join(tops, "y")
-            .filter("root != y_root").select(F.greatest("nid", "y").alias("x"), F.least("nid", "y").alias("y")).distinct())
-    more = cut_lineage(more.join(stars.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
+    taking = mixed.filter("not inner").unionByName(close).select("nid", "root").distinct()
+    taking = cut_lineage(taking.join(nodes.select("nid", "halves"), "nid").join(
+        _sketches(sets.join(taking.select("nid"), "nid")), "nid"), "members")
+    more = cut_lineage(_cross_pairs(taking, percent).join(stars.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
     if not more.isEmpty():
         found = cut_lineage(_verify(more, sets, percent).filter("linked").select(
             F.col("x").alias("u"), F.col("y").alias("v")), "links")
