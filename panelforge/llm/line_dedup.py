@@ -3,8 +3,8 @@
 Documents that overlap are found through line hashes, aligned by patience diff,
 and the common blocks are deleted from the later one.  Two kinds of hashes tie
 documents together: lines that are rare (held by at most ``RARE`` documents),
-and pairs of adjacent lines however frequent, which also ties large groups of
-copies, none of whose lines is rare.  A lone frequent line (a heading, a
+and pairs of adjacent lines (blank lines between them do not count) however
+frequent, which also ties large groups of copies, none of whose lines is rare.  A lone frequent line (a heading, a
 footer) ties nothing.
 
 A later document is paired with the first holder of each hash it has, so pairs
@@ -97,10 +97,10 @@ def deleted_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rar
                        .withColumn("rid", F.monotonically_increasing_id()), "lines")
     n = F.size("sizes")
     single = F.filter(F.arrays_zip("hashes", "sizes"), lambda x: x["sizes"] >= min_line)
-    pairs = F.when(n > 1, F.zip_with(
-        F.arrays_zip("hashes", "sizes"), F.slice(F.arrays_zip("hashes", "sizes"), F.lit(2), F.greatest(n, F.lit(1))),
-        lambda x, y: F.when(F.least(x["sizes"], y["sizes"]) >= 1,
-                            F.when(x["sizes"] + y["sizes"] >= min_line, F.xxhash64(x["hashes"], y["hashes"]))))
+    filled = F.filter(F.arrays_zip("hashes", "sizes"), lambda x: x["sizes"] >= 1)       # blank lines part no pair
+    pairs = F.when(F.size(filled) > 1, F.zip_with(
+        filled, F.slice(filled, F.lit(2), F.greatest(F.size(filled), F.lit(1))),
+        lambda x, y: F.when(x["sizes"] + y["sizes"] >= min_line, F.xxhash64(x["hashes"], y["hashes"])))
     ).otherwise(F.array().cast("array<long>"))
     keys = docs.select("rid", F.explode(F.array_distinct(F.concat(
         F.transform(single, lambda x: F.struct(F.lit(1).alias("kind"), x["hashes"].alias("key"))),
