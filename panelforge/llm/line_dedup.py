@@ -7,6 +7,13 @@ and pairs of adjacent lines (blank lines between them do not count) however
 frequent, which also ties large groups of copies, none of whose lines is rare.  A lone frequent line (a heading, a
 footer) ties nothing.
 
+So that a common block is tied to a document that holds all of it, windows of
+lines are keys too: from each line on, and up to each line, the shortest run
+that reaches ``MIN_BLOCK`` characters.  Any block of the wanted size is covered
+by such runs inside it.  Each tie has one partner, so what patience diff leaves
+out against the first holder of a window (repeated or in another order there)
+stays, though a later holder might align.
+
 A later document is paired with the first holder of each hash it has, so pairs
 never outnumber hashes and no group is expanded; the first holder is an
 aggregate with map-side combining.  What travels is hashes and lengths of
@@ -19,6 +26,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +84,44 @@ def patience_blocks(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int,
     return [tuple(x) for x in blocks]
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _windows(docs: DataFrame, min_block: int) -> DataFrame:
+    """(rid, kind, key): the windows of several lines of every document, as hashes of their lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
+                at = b.column("sizes").offsets.to_numpy().astype(np.int64)
+                at -= at[0]
+                sizes = b.column("sizes").flatten().to_numpy().astype(np.int64)
+                hashes = b.column("hashes").flatten().to_numpy().view(np.uint64)
+                n = len(sizes)
+                doc = np.repeat(np.arange(b.num_rows), np.diff(at))
+                upto = np.concatenate([[0], np.cumsum(sizes)])          # characters before each line
+                line = np.flatnonzero(sizes > 0)
+                last = np.searchsorted(upto, upto[line] + min_block) - 1
+                ok = last < at[doc[line] + 1]
+                first = np.searchsorted(upto, upto[line + 1] - min_block, "right") - 1
+                fine = (upto[line + 1] >= min_block) & (first >= at[doc[line]])
+                spans = np.unique(np.concatenate([line[ok] * n + last[ok], first[fine] * n + line[fine]]))
+                i, j = spans // max(n, 1), spans % max(n, 1)
+                i, j = i[j > i], j[j > i]
+                # sums of hashes times powers by place, taken back to the window's start
+                power = np.cumprod(np.r_[np.uint64(1), np.full(n, _ODD)], dtype=np.uint64)
+                back = np.cumprod(np.r_[np.uint64(1), np.full(n, _INVERSE)], dtype=np.uint64)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n], dtype=np.uint64)])
+                key = (sums[j + 1] - sums[i]) * back[i]
+                rid = b.column("rid").to_numpy()[doc[i]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rid, pa.int64()), pa.array(np.full(len(rid), 4, np.int32)), pa.array(key.view(np.int64))],
+                    names=["rid", "kind", "key"])
+
+    return docs.select("rid", "hashes", "sizes").mapInArrow(run, "rid long, kind int, key long")
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -108,6 +154,7 @@ def deleted_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rar
         # a document of one line is tied by that line, however frequent
         F.when(n == 1, F.transform(single, lambda x: F.struct(F.lit(3).alias("kind"), x["hashes"].alias("key"))))
         .otherwise(F.array().cast("array<struct<kind:int,key:long>>"))))).alias("k")).select("rid", "k.kind", "k.key")
+    keys = keys.unionAll(_windows(docs, min_block))
     first = (keys.groupBy("kind", "key").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("held"))
              .filter((F.col("held") > 1) & ((F.col("kind") > 1) | (F.col("held") <= rare))))
     ties = cut_lineage(keys.join(first, ["kind", "key"]).filter("first < rid").select("rid", "first").distinct(), "ties")

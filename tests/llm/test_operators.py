@@ -340,3 +340,10 @@ def test_copies_with_blank_lines(spark):
     text = "\n\n".join(f"Paragraph {i} of a text that is held by very many documents, with blank lines." for i in range(3))
     out = line_dedup.remove_common_lines(spark.createDataFrame([(i, text) for i in range(150)], "doc_id long, text string"))
     assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {i: 5 if i else 0 for i in range(150)}
+
+
+def test_blocks_are_tied_to_a_holder_of_all(spark):
+    a, b, c = ("first line number 1234567", "second line number 345678", "third line number 5678901")
+    texts = [f"{a}\n{b}\nown A", f"own B\n{b}\n{c}", f"{a}\n{b}\n{c}\nown C", f"{a}\n{b}\n{c}\nown D"]
+    out = line_dedup.remove_common_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {**dict(enumerate(texts)), 3: "own D"}
