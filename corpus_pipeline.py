@@ -36,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: common blocks go from later documents; a document that loses all its words goes."""
-    out = line_dedup.remove_common_lines(docs.select(*COLUMNS))
+    out = line_dedup.remove_common_lines(docs.select(*COLUMNS), long_lines=True)
     out = out.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\s]"))
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                           .otherwise(F.col("n_chars"))).select(*COLUMNS)

@@ -5,7 +5,8 @@ and the common blocks are deleted from the later one.  Two kinds of hashes tie
 documents together: lines that are rare (held by at most ``RARE`` documents),
 and pairs of adjacent lines (blank lines between them do not count) however
 frequent, which also ties large groups of copies, none of whose lines is rare.  A lone frequent line (a heading, a
-footer) ties nothing.
+footer) ties nothing, unless it is a block by itself and ``long_lines`` is set,
+as the queries do: then it ties at any frequency.
 
 So that a common block is tied to a document that holds all of it, windows of
 lines are keys too: from each line on, and up to each line, the shortest run
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, spare_name, text_of
 
-#: A line held by more documents than this ties documents only together with its neighbour.
+#: A line held by more documents than this ties documents only together with its neighbour, or as a long line.
 RARE = 100
 #: Lines shorter than this are no anchors; common blocks with fewer characters are kept.
 MIN_LINE, MIN_BLOCK = 20, 60
@@ -88,8 +89,9 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _windows(docs: DataFrame, min_block: int) -> DataFrame:
-    """(rid, kind, key): the windows of several lines of every document, as hashes of their lines."""
+def _windows(docs: DataFrame, min_block: int, long_lines: bool) -> DataFrame:
+    """(rid, kind, key): the windows of every document, as hashes of their lines; those of one line only
+    with ``long_lines``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -108,7 +110,7 @@ def _windows(docs: DataFrame, min_block: int) -> DataFrame:
                 fine = (upto[line + 1] >= min_block) & (first >= at[doc[line]])
                 spans = np.unique(np.concatenate([line[ok] * n + last[ok], first[fine] * n + line[fine]]))
                 i, j = spans // max(n, 1), spans % max(n, 1)
-                i, j = i[j > i], j[j > i]
+                i, j = (i, j) if long_lines else (i[j > i], j[j > i])
                 # sums of hashes times powers by place, taken back to the window's start
                 power = np.cumprod(np.r_[np.uint64(1), np.full(n, _ODD)], dtype=np.uint64)
                 back = np.cumprod(np.r_[np.uint64(1), np.full(n, _INVERSE)], dtype=np.uint64)
@@ -131,7 +133,7 @@ def _doc_key(df: DataFrame, id_col: str, text: str) -> list[Column]:
 
 
 def deleted_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rare: int = RARE, min_line: int = MIN_LINE,
-                  min_block: int = MIN_BLOCK) -> DataFrame:
+                  min_block: int = MIN_BLOCK, long_lines: bool = False) -> DataFrame:
     """(id, sig, lines): for documents that lose lines, their zero-based numbers; ``sig`` is a hash of the text."""
     body = text_of(df[f"`{text}`"])
     docs = df.select(*_doc_key(df, id_col, text), F.transform(_lines(body), lambda x: F.xxhash64(x)).alias("hashes"),
@@ -154,7 +156,7 @@ def deleted_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rar
         # a document of one line is tied by that line, however frequent
         F.when(n == 1, F.transform(single, lambda x: F.struct(F.lit(3).alias("kind"), x["hashes"].alias("key"))))
         .otherwise(F.array().cast("array<struct<kind:int,key:long>>"))))).alias("k")).select("rid", "k.kind", "k.key")
-    keys = keys.unionAll(_windows(docs, min_block))
+    keys = keys.unionAll(_windows(docs, min_block, long_lines))
     first = (keys.groupBy("kind", "key").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("held"))
              .filter((F.col("held") > 1) & ((F.col("kind") > 1) | (F.col("held") <= rare))))
     ties = cut_lineage(keys.join(first, ["kind", "key"]).filter("first < rid").select("rid", "first").distinct(), "ties")
@@ -184,18 +186,19 @@ def deleted_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rar
 
 
 def remove_common_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", rare: int = RARE,
-                        min_line: int = MIN_LINE, min_block: int = MIN_BLOCK) -> DataFrame:
+                        min_line: int = MIN_LINE, min_block: int = MIN_BLOCK, long_lines: bool = False) -> DataFrame:
     """``df`` with common blocks of lines taken out of ``text``, and ``n_lines`` and ``n_removed``.
 
     * A document is aligned with the first holder of each of its ties (see the module's text); a block of adjacent
       lines that the alignment finds common is deleted from the later document if it has at least ``min_block``
       characters besides spaces at line ends.  Judged on the input, so what is deleted here still counts there.
+    * ``long_lines``: lines of at least ``min_block`` characters tie however frequent they are.
     * Later: the larger id; null ids come last; the same id: the larger hash of the text.  Rows alike in id and text
       are one document and treated alike.  Null texts stay null and empty texts empty; neither is tied.
     * Columns of ``df`` named as the new ones are replaced.  An empty table gives an empty result.
     """
     id_, sig, at = (spare_name(df, x) for x in ("line_id", "line_sig", "line_list"))
-    gone = deleted_lines(df, id_col, text, rare, min_line, min_block).toDF(id_, sig, at)
+    gone = deleted_lines(df, id_col, text, rare, min_line, min_block, long_lines).toDF(id_, sig, at)
     rows = df.withColumn(sig, F.xxhash64(text_of(df[f"`{text}`"])))
     # the same plan at every size: texts are shuffled by id, never held against a broadcast
     rows = rows.join(gone.hint("merge"), (rows[f"`{id_col}`"].eqNullSafe(gone[id_])) & (rows[sig] == gone[sig]), "left").drop(gone[sig])

@@ -25,7 +25,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_common_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    out = line_dedup.remove_common_lines(documents(spark, sf_dir).select("doc_id", "text"), long_lines=True)
     return out.select("doc_id", "n_lines", "n_removed", F.length(text_of("text")).cast("long").alias("kept_chars"),
                       F.sha2(text_of("text"), 256).alias("kept_sha256"))
 

@@ -347,3 +347,11 @@ def test_blocks_are_tied_to_a_holder_of_all(spark):
     texts = [f"{a}\n{b}\nown A", f"own B\n{b}\n{c}", f"{a}\n{b}\n{c}\nown C", f"{a}\n{b}\n{c}\nown D"]
     out = line_dedup.remove_common_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {**dict(enumerate(texts)), 3: "own D"}
+
+
+def test_frequent_long_lines(spark, tmp_path):
+    line = "A passage of one line that many documents hold, each between other lines."
+    docs = spark.createDataFrame([(i, f"before {i}\n{line}\nafter {i}") for i in range(150)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_removed"] for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: int(i > 0) for i in range(150)}
