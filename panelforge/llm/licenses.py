@@ -1,7 +1,9 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-Units are the sentences that hold a marker word, anywhere in a text, and the
-whole texts of files named as licence files.  A unit's sparse TF-IDF vector is
+Units are the sentences that hold a marker word, anywhere in a text, the blocks
+of successive non-blank lines that hold one (comment signs stripped, lines
+joined) and their marked sentences, and the whole texts of files named as
+licence files.  A unit's sparse TF-IDF vector is
 compared with those of the templates; document frequencies are counted over all
 texts.  A file without a licence of its own takes that of the nearest directory
 above it that has a licence file with one, by joining its ancestor paths.
@@ -69,6 +71,8 @@ MARKER = r"(?i)licen[cs]e|copyright|permission|redistribut|public domain|spdx"
 LICENSE_FILE = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 #: The least cosine that counts as a match.
 THRESHOLD = 0.6
+#: Comment signs at the start and the end of a line.
+_COMMENT = r"(?m)^[ \t]*(?:/\*+|\*+/?|//+!?|#+|--+|;+|%+|<!--)?[ \t]*|[ \t]*(?:\*+/|-->)[ \t\r]*$"
 _NOT_TERM = r"[^a-z0-9.]+|\.(?![0-9])"
 
 
@@ -86,6 +90,20 @@ def _sentences(text: Column) -> Column:
     return F.flatten(F.transform(F.split(text, "\n"), lambda x: F.split(x, r"(?<=[.!?])\s+(?=\p{Lu})")))
 
 
+def _blocks(text: Column) -> Column:
+    """Blocks of several successive non-blank lines with a marker word, without comment signs, joined to one line."""
+    bare = F.regexp_replace(text, _COMMENT, "")
+    blocks = F.filter(F.split(bare, r"\n(?:[ \t\r\f]*\n)+"), lambda x: x.rlike(r"\S[ \t\r\f]*\n") & x.rlike(MARKER))
+    return F.transform(blocks, lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+
+
+def _header_units(text: Column) -> Column:
+    """The blocks and their sentences with a marker word."""
+    cut = F.transform(_blocks(text), lambda x: F.concat(F.array(x), F.filter(
+        F.split(x, r"(?<=[.!?:])\s+(?=\p{Lu})"), lambda y: y.rlike(MARKER))))
+    return F.array_distinct(F.flatten(cut))
+
+
 def idf_weights(df: DataFrame, text: str, vocabulary: Sequence[str]) -> tuple[dict[str, float], float]:
     """ln((1 + N) / (1 + df)) + 1 of each word over all N texts, and the weight of a word that no text has."""
     words = F.array(*[F.lit(x) for x in vocabulary])
@@ -142,7 +160,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", path: str = "path", tex
     is_license = name.rlike(LICENSE_FILE)
     marked = files.filter(F.col("text").rlike(MARKER) | is_license)
     units = marked.select("id", "path", F.explode(F.concat(
-        F.filter(_sentences(F.col("text")), lambda x: x.rlike(MARKER)),
+        F.filter(_sentences(F.col("text")), lambda x: x.rlike(MARKER)), _header_units(F.col("text")),
         F.when(is_license, F.array("text")).otherwise(F.array().cast("array<string>")))).alias("unit"))
     units = cut_lineage(units.withColumn("uid", F.unhex(F.sha2("unit", 256))), "units")
     scored = units.select("id", "path", "uid").join(score_units(units, idf, unseen, templates), "uid")

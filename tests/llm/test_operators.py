@@ -355,3 +355,20 @@ def test_frequent_long_lines(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["n_removed"] for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {i: int(i > 0) for i in range(150)}
+
+
+def test_wrapped_headers(spark):
+    import textwrap
+
+    mit, bsd, apache = (licenses.TEMPLATES[x][1] for x in ("MIT", "BSD-3-Clause", "Apache-2.0"))
+    mit = mit + (", subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be "
+                 "included in all copies or substantial portions of the Software.")
+    rows = []
+    for i, (body, sign) in enumerate([(mit, "# "), (bsd + ":", " * "), (apache, "// "), (apache, "")]):
+        lines = [sign + x for p in ["Copyright (c) 2020 Some One", *body.split("\n\n")]
+                 for x in [*textwrap.wrap(p, 80 - len(sign)), ""]]
+        rows.append((i, f"src/f{i}.c", "\n".join(lines) + "\n\nint main(void) {\n  return 0;\n}\n"))
+    rows.append((4, "src/g.c", "int x;\n\nint y;\nint z;\n"))
+    got = {r["doc_id"]: r["own_license"] for r in licenses.scan_licenses(
+        spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert got == {0: "MIT", 1: "BSD-3-Clause", 2: "Apache-2.0", 3: "Apache-2.0", 4: None}
