@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, conversations, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, sharding, suffix_dedup
+from . import bpe, conversations, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, sharding, suffix_dedup, whitening
 from .common import documents, text_of
 
 
@@ -87,6 +87,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.streaming_exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
@@ -102,6 +106,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
