@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, conversations, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, sharding, suffix_dedup, whitening
+from . import bpe, conversations, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, quality, sharding, suffix_dedup, whitening
 from .common import documents, text_of
 
 
@@ -87,6 +87,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.streaming_exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    weights = quality.fit(docs, labels.filter(~quality.held_out()))
+    out = quality.score(docs, weights)
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
 
@@ -106,6 +115,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_conversation_repair": op13_conversation_repair,
 }
