@@ -68,7 +68,8 @@ def _logadd(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Lines:
     """Lines of some texts, each ended by one newline byte: what their scores need."""
 
-    code: np.ndarray            # pair of classes from each byte on (all but the last)
+    code: np.ndarray            # pair of classes from each byte on, but from no line's end
+    pair_line: np.ndarray       # line of each pair
     kind: np.ndarray            # class of each byte
     line: np.ndarray            # line of each byte
     size: np.ndarray            # bytes of each line with its end
@@ -103,7 +104,8 @@ def lines_of(texts: pa.Array) -> Lines:
     count = np.bincount(doc, minlength=n)
     start = np.cumsum(count) - count
     kind = _CLASS[data]
-    code = kind[:-1] * np.uint8(_KINDS) + kind[1:]
+    begins = np.flatnonzero(data[:-1] != 10)
+    code = kind[begins] * np.uint8(_KINDS) + kind[begins + 1]
 
     # words: runs of bytes other than white space; hashes by byte and place
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
@@ -130,7 +132,7 @@ def lines_of(texts: pa.Array) -> Lines:
     seen = np.zeros(len(ends))
     seen[order[1:][same]] = 1.0
     blank = (size == 1).astype(float)
-    out = Lines(code, kind, line, size, doc, start, count, np.empty((len(ends), len(_SINGLE))))
+    out = Lines(code, line[begins], kind, line, size, doc, start, count, np.empty((len(ends), len(_SINGLE))))
     hashes = line_hash.view(np.int64)
     as_before = ((out.shifted(hashes, 1) == hashes) & (np.arange(len(ends)) != start[doc])).astype(float)
     is_first, is_last = np.zeros(len(ends)), np.zeros(len(ends))
@@ -148,7 +150,7 @@ def emissions(x: Lines, w: np.ndarray) -> np.ndarray:
     """Log-odds of good over bad of every line by itself."""
     n = len(x.size)
     share = _SHARE / x.size
-    own = np.bincount(x.line[:-1], weights=w[_PAIRS][x.code], minlength=n) * share
+    own = np.bincount(x.pair_line, weights=w[_PAIRS][x.code], minlength=n) * share
     before = np.bincount(x.line, weights=w[_BEFORE][x.kind], minlength=n) * share
     after = np.bincount(x.line, weights=w[_AFTER_][x.kind], minlength=n) * share
     return own + x.shifted(before, 1) + x.shifted(after, -1) + x.single @ w[_SINGLES]
@@ -158,7 +160,7 @@ def emission_gradient(x: Lines, g: np.ndarray) -> np.ndarray:
     """Gradient by the weights of the emissions, for a gradient by each line's emission."""
     out = np.zeros(SIZE)
     share = _SHARE / x.size
-    out[_PAIRS] = np.bincount(x.code, weights=(g * share)[x.line[:-1]], minlength=256)
+    out[_PAIRS] = np.bincount(x.code, weights=(g * share)[x.pair_line], minlength=256)
     out[_BEFORE] = np.bincount(x.kind, weights=(x.shifted(g, -1) * share)[x.line], minlength=_KINDS)
     out[_AFTER_] = np.bincount(x.kind, weights=(x.shifted(g, 1) * share)[x.line], minlength=_KINDS)
     out[_SINGLES] = g @ x.single
