@@ -1,41 +1,24 @@
-"""Per-target regressors on Spark ML (family K).
+"""Shared pieces of the fitted models (family K): assembled vectors, global row indexes, contiguous folds.
 
-Features travel as one ``VectorUDT`` column assembled from the prepared
-feature columns; every fit is a distributed Spark ML fit and grids run
-through ``CrossValidator`` with an explicit contiguous ``foldCol``.
-
-Ridge, lasso and elastic net are in ``linear_gram.py``.
-
-Grid sizes are parameters; the defaults are one-point grids so a query stays
-cheap, the reference's full grids are in ``*_FULL_GRID``.
+Ridge, lasso and elastic net are in ``linear_gram.py``, forests and boosted trees in ``trees.py``, and all three
+together in ``base_models.py``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from ..spec import DEFAULT_SPEC, PanelSpec
 
-# The reference's search grids.
+# The reference's penalties.
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
 ENET_ALPHAS = (0.01, 0.1, 1.0, 10.0)
 L1_RATIOS = (0.1, 0.5, 0.7, 0.9, 0.95)
-FOREST_FULL_GRID = {"numTrees": (50, 100, 200), "maxDepth": (5, 10, 15, 20), "minInstancesPerNode": (5, 10),
-                    "featureSubsetStrategy": ("sqrt", "log2")}
-BOOSTED_FULL_GRID = {"maxIter": (100, 200), "maxDepth": (3, 5, 7), "stepSize": (0.05, 0.1),
-                     "subsamplingRate": (0.8, 1.0), "featureSubsetStrategy": ("0.8", "1.0"),
-                     "minInstancesPerNode": (1, 3), "minInfoGain": (0.0, 0.1)}
-FOREST_GRID = {"numTrees": (50,), "maxDepth": (5,), "minInstancesPerNode": (5,), "featureSubsetStrategy": ("sqrt",)}
-BOOSTED_GRID = {"maxIter": (20,), "maxDepth": (3,), "stepSize": (0.1,), "subsamplingRate": (1.0,),
-                "featureSubsetStrategy": ("all",), "minInstancesPerNode": (1,), "minInfoGain": (0.0,)}
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -78,41 +61,6 @@ def contiguous_folds(df: DataFrame, k: int, order: Sequence[str], out: str = "fo
     return part.withColumn(out, fold.cast("int")).select(*[c for c in df.columns if c != out], out)
 
 
-def _cv(est, grid, df, label, k, fold_col, parallelism):
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mae")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, numFolds=k,
-                        foldCol=fold_col or "", parallelism=parallelism)
-    m = cv.fit(df)
-    return m.bestModel, list(m.avgMetrics)
-
-
-def _grid(est, spec: dict) -> list:
-    b = ParamGridBuilder()
-    for name, values in spec.items():
-        b = b.addGrid(est.getParam(name), list(values))
-    return b.build()
-
-
-def random_forest_grid(train: DataFrame, label: str, grid: dict = FOREST_GRID, k: int = 3,
-                       fold_col: str | None = "fold", parallelism: int = 4, seed: int = 42):
-    est = RandomForestRegressor(featuresCol="features", labelCol=label, seed=seed)
-    return _cv(est, _grid(est, grid), train, label, k, fold_col, parallelism)
-
-
-def boosted_trees_grid(train: DataFrame, label: str, grid: dict = BOOSTED_GRID, k: int = 3,
-                       fold_col: str | None = "fold", parallelism: int = 4, seed: int = 42):
-    est = GBTRegressor(featuresCol="features", labelCol=label, seed=seed)
-    return _cv(est, _grid(est, grid), train, label, k, fold_col, parallelism)
-
-
-def feature_importance(model, features: Sequence[str], spark, target: str | None = None) -> DataFrame:
-    """(feature, importance) of a tree model, sorted descending."""
-    imp = model.featureImportances.toArray().tolist()
-    rows = [(target, f, float(v)) for f, v in zip(features, imp)]
-    df = spark.createDataFrame(rows, "target string, feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), "feature")
-
-
 def predict_all(models: dict[str, object], df: DataFrame, target: str, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """Score one feature table with each model into the long prediction table."""
     out = None

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import spec as S
+from ..session import cut_lineage
 from ..spec import DEFAULT_SPEC, PanelSpec
+from . import trees as TR
 from .models import global_index
 
 COUNTING = ("PTS", "AST", "REB", "BLK", "STL", "TOV", "MIN", "FG3M", "FGA", "FTA")
@@ -117,3 +119,23 @@ def position_group_models(train: DataFrame, score: DataFrame, fit, label: str, s
                                    F.col(label).cast("double").alias("actual"))
         out = p if out is None else out.unionByName(p)
     return out
+
+
+def position_group_trees(train: DataFrame, score: DataFrame, data: TR.Binned, chosen: dict, spec: PanelSpec = DEFAULT_SPEC,
+                         groups: Sequence[str] = ("Guard", "Wing", "Big"), position: str = "POSITION",
+                         name: str = "Position_Model") -> DataFrame:
+    """Boosted trees of every (target, position group) in one job; scored rows of all groups and targets.
+
+    ``data`` has the edges of the features and ``chosen`` the point of each target.  Rows without a position, or of a
+    group without training rows, are scored by the target's trees of all rows.
+    """
+    of = F.lit(len(groups))
+    for i, g in enumerate(groups):
+        of = F.when(position_group(position) == g, i).otherwise(of)
+    of = of.cast("int")
+    rows = TR.bin_rows(train.withColumn("group", of), data.features, data.edges, [*spec.keys, "group", *data.targets])
+    grouped = TR.Binned(cut_lineage(rows, "binned-groups"), data.features, data.targets, data.edges, "group", data.keys,
+                        data.fit_rows)
+    models = TR.refit(grouped, "boosted", chosen, folds=True, within=True)
+    models.fits = {(t, g): fit for (t, g), fit in models.fits.items() if g != len(groups)}
+    return models.out_of_fold(score.withColumn("group", of), name, "group", spec).drop("group")

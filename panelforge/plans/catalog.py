@@ -8,6 +8,7 @@ DuckDB oracle of the same name in ``duckdb_oracle``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import spec as S
 from ..functions import raw_div
 from ..operators import availability as G
+from ..operators import base_models as BM
 from ..operators import cleaning as B
 from ..operators import derived as D
 from ..operators import ensembles as L
@@ -27,6 +29,7 @@ from ..operators import panel_windows as E
 from ..operators import preparation as I
 from ..operators import profiling as P
 from ..operators import projections as N
+from ..operators import trees as TR
 from ..sources import driver_tables as T
 from ..sources import io as A
 from ..session import cut_lineage
@@ -749,28 +752,26 @@ def q_best_overall_approach(spark, d):
 
 # --- K: models (rows-only: no SQL oracle for ML fits) ------------------------------------------
 
-ML_TARGET = "NEXT_PTS"
+#: Of the reference's grid of boosted trees, what the query searches; the rest is in README with its time.
+BOOSTED_QUERY_GRID = {**TR.BOOSTED_GRID, "max_depth": (3, 5), "subsample": (0.8,), "colsample_bytree": (0.8,),
+                      "min_child_weight": (1,), "gamma": (0.0,)}
 
 
-def _ml_data(spark, d):
+def _ml_data(spark, d, folds=5):
+    """The preparation, training rows in contiguous folds (a written table), and validation rows."""
     prep = _prepared(spark, d)
-    train = K.contiguous_folds(prep.splits["train"], 5, KEYS)
-    train = K.assemble(train, prep.features)          # the folds are a written table
-    val = K.assemble(prep.splits["val"], prep.features)
-    return prep, train, val
-
-
-def _score_val(model, val, name):
-    return K.predict_all({name: model}, val.where(F.col(ML_TARGET).isNotNull()), ML_TARGET, SPEC)
+    return prep, K.contiguous_folds(prep.splits["train"], folds, KEYS), prep.splits["val"]
 
 
 def _linear(spark, d, families):
-    """The long prediction table of linear families: all targets, full grids, contiguous folds."""
+    """The metrics of linear families with the chosen penalties: all targets, full grids, contiguous folds."""
     prep, train, val = _ml_data(spark, d)
     out = None
     for name, penalties in families.items():
-        p = LG.fit_grid(train, prep.features, SPEC.targets, penalties).predict(val, name, SPEC)
-        out = p if out is None else out.unionByName(p)
+        fit = LG.fit_grid(train, prep.features, SPEC.targets, penalties)
+        m = J.regression_metrics(fit.predict(val, name, SPEC))
+        m = m.join(F.broadcast(fit.report(spark, name)), ["model", "target"])       # a row a target
+        out = m if out is None else out.unionByName(m)
     return out
 
 
@@ -781,43 +782,43 @@ ELASTIC = {"ElasticNet": LG.elasticnet_penalties(K.ENET_ALPHAS, K.L1_RATIOS)}
 
 @query("ridge_grid")
 def q_ridge_grid(spark, d):
-    return J.regression_metrics(_linear(spark, d, RIDGE))
+    return _linear(spark, d, RIDGE)
 
 
 @query("lasso_grid")
 def q_lasso_grid(spark, d):
-    return J.regression_metrics(_linear(spark, d, LASSO))
+    return _linear(spark, d, LASSO)
 
 
 @query("elasticnet_grid")
 def q_elasticnet_grid(spark, d):
-    return J.regression_metrics(_linear(spark, d, ELASTIC))
+    return _linear(spark, d, ELASTIC)
 
 
 @query("linear_best")
 def q_linear_best(spark, d):
-    metrics = J.regression_metrics(_linear(spark, d, {**RIDGE, **LASSO, **ELASTIC}))
+    metrics = cut_lineage(_linear(spark, d, {**RIDGE, **LASSO, **ELASTIC}), "linear-metrics")
     best = J.best_model_per_target(metrics, ("Ridge", "Lasso", "ElasticNet"))
-    return metrics.join(best.select("target", F.col("best_model").alias("model")), ["target", "model"])
+    return metrics.join(F.broadcast(best.select("target", F.col("best_model").alias("model"))), ["target", "model"])
 
 
-def _three_folds(train):
-    """The training rows in three contiguous folds, as tree grids use."""
-    return K.contiguous_folds(train.drop("fold"), 3, KEYS)
+def _tree_grid(spark, d, kind, name, grid):
+    """Metrics on validation rows of each target's chosen point, with the point and its cross-validated MAE."""
+    prep, train, val = _ml_data(spark, d, 3)
+    fit = TR.fit_grid(TR.binned(train, prep.features, SPEC.targets, "fold", SPEC), kind, grid)
+    chosen = spark.createDataFrame([(t, json.dumps(p, sort_keys=True), float(e)) for t, (p, e) in fit.chosen.items()],
+                                   "target string, point string, cv_mae double")
+    return J.regression_metrics(fit.predict(val, name, SPEC)).join(F.broadcast(chosen), "target")   # a row a target
 
 
 @query("random_forest_grid")
 def q_random_forest_grid(spark, d):
-    _, train, val = _ml_data(spark, d)
-    m, _ = K.random_forest_grid(_three_folds(train), ML_TARGET, k=3)
-    return J.regression_metrics(_score_val(m, val, "RF"))
+    return _tree_grid(spark, d, "forest", "RF", TR.FOREST_GRID)
 
 
 @query("boosted_trees_grid")
 def q_boosted_trees_grid(spark, d):
-    _, train, val = _ml_data(spark, d)
-    m, _ = K.boosted_trees_grid(_three_folds(train), ML_TARGET, k=3)
-    return J.regression_metrics(_score_val(m, val, "GBT"))
+    return _tree_grid(spark, d, "boosted", "XGBoost", BOOSTED_QUERY_GRID)
 
 
 @query("contiguous_folds")
@@ -825,32 +826,27 @@ def q_contiguous_folds(spark, d):
     return K.contiguous_folds(_train(_lagged(spark, d)).select(*KEYS), 5, KEYS)
 
 
-def _forest(spark, d):
-    prep, train, val = _ml_data(spark, d)
-    m = K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=50, maxDepth=5,
-                                minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=42).fit(train)
-    return prep, m, val
+def _base_models(spark, d, folds=False, **families):
+    """Tuned models of all targets, the training rows in three folds, and validation rows."""
+    prep, train, val = _ml_data(spark, d, 3)
+    return BM.fit_base_models(train, prep.features, SPEC.targets, "fold", folds=folds, spec=SPEC, **families), train, val
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    prep, m, _ = _forest(spark, d)
-    return K.feature_importance(m, prep.features, spark, ML_TARGET)
+    return _base_models(spark, d, linear=())[0].importance(spark)
 
 
 @query("importance_topk")
 def q_importance_topk(spark, d):
-    prep, m, _ = _forest(spark, d)
-    return J.topk_per_group(K.feature_importance(m, prep.features, spark, ML_TARGET), "target", "importance", 10,
+    return J.topk_per_group(_base_models(spark, d, linear=())[0].importance(spark), ["model", "target"], "importance", 10,
                             tie=("feature",))
 
 
 @query("predict_all")
 def q_predict_all(spark, d):
-    prep, train, val = _ml_data(spark, d)
-    lin = K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(train)
-    rf = K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=20, maxDepth=5, seed=42).fit(train)
-    return K.predict_all({"Linear": lin, "RF": rf}, val, ML_TARGET, SPEC)
+    models, _, val = _base_models(spark, d)
+    return models.predict(val, SPEC)
 
 
 # --- L: ensembles (over the baseline prediction table: SQL-checkable) ---------------------------
@@ -890,33 +886,42 @@ def q_ensemble_select(spark, d):
     return L.ensemble_select(preds, w, None, SPEC, order)
 
 
-def _base_fit(features):
-    def fit(df):
-        return {"Linear": K.LinearRegression(featuresCol="features", labelCol=ML_TARGET, regParam=0.1).fit(df),
-                "RF": K.RandomForestRegressor(featuresCol="features", labelCol=ML_TARGET, numTrees=20, maxDepth=5,
-                                              seed=42).fit(df)}
-    return fit
-
-
 @query("ensemble_stacking")
 def q_ensemble_stacking(spark, d):
-    prep, train, val = _ml_data(spark, d)
-    tr = K.contiguous_folds(train.drop("fold"), 3, KEYS)
-    return L.ensemble_stacking(_base_fit(prep.features), tr, val.where(F.col(ML_TARGET).isNotNull()), ML_TARGET,
-                               ["Linear", "RF"], "fold", 3, 1.0, SPEC)
+    models, train, val = _base_models(spark, d, folds=True)
+    return L.ensemble_stacking(models.out_of_fold(train, "fold", SPEC), models.predict(val, SPEC), BM.NAMES, 1.0, SPEC)
 
 
 @query("cv_inverse_mae_weights")
 def q_cv_inverse_mae_weights(spark, d):
-    prep, train, _ = _ml_data(spark, d)
-    fit = _base_fit(prep.features)
-    preds = None
-    for f in range(5):
-        fitted = fit(train.where(F.col("fold") != f))
-        hold = train.where(F.col("fold") == f)
-        p = K.predict_all(fitted, hold, ML_TARGET, SPEC)
-        preds = p if preds is None else preds.unionByName(p)
-    return L.ensemble_inverse_mae_weights(J.regression_metrics(preds))
+    models, train, _ = _base_models(spark, d, folds=True)
+    return L.ensemble_inverse_mae_weights(BM.cv_metrics(models.out_of_fold(train, "fold", SPEC)))
+
+
+#: Fitted models and their ensembles, in the order in which ties are decided.
+FITTED = (*BM.NAMES, "Simple_Average", "Weighted_Average", "Stacking")
+
+
+def _fitted_predictions(spark, d):
+    """Base predictions of the validation rows, weights by their MAE, and stacked predictions."""
+    models, train, val = _base_models(spark, d, folds=True)
+    preds = cut_lineage(models.predict(val, SPEC), "fitted")
+    stacked = L.ensemble_stacking(models.out_of_fold(train, "fold", SPEC), preds, BM.NAMES, 1.0, SPEC)
+    return preds, L.ensemble_inverse_mae_weights(J.regression_metrics(preds), BM.NAMES), stacked
+
+
+@query("ensemble_select_fitted")
+def q_ensemble_select_fitted(spark, d):
+    preds, weights, stacked = _fitted_predictions(spark, d)
+    return L.ensemble_select(preds, weights, stacked, SPEC, FITTED)
+
+
+@query("ensemble_comparison_fitted")
+def q_ensemble_comparison_fitted(spark, d):
+    preds, weights, stacked = _fitted_predictions(spark, d)
+    every = (preds.unionByName(L.ensemble_simple_average(preds, SPEC))
+             .unionByName(L.ensemble_weighted_average(preds, weights, SPEC)).unionByName(stacked))
+    return L.ensemble_comparison(J.regression_metrics(every), FITTED, FITTED)
 
 
 # --- M: sort / limit / top-k ---------------------------------------------------------------
@@ -985,8 +990,8 @@ def q_position_from_height(spark, d):
 
 @query("position_group_models")
 def q_position_group_models(spark, d):
-    _, train, val = _ml_data(spark, d)
-
-    def fit(df):
-        return K.GBTRegressor(featuresCol="features", labelCol=ML_TARGET, maxIter=20, maxDepth=3, seed=42).fit(df)
-    return N.position_group_models(train, val.where(F.col(ML_TARGET).isNotNull()), fit, ML_TARGET, SPEC)
+    """Boosted trees of each position group and target, with the points that were chosen on all rows."""
+    prep, train, val = _ml_data(spark, d, 3)
+    data = TR.binned(train, prep.features, SPEC.targets, "fold", SPEC)
+    chosen = TR.choose(TR.search(data, "boosted", BM.BOOSTED_LIGHT), BM.BOOSTED_LIGHT)
+    return N.position_group_trees(train, val, data, chosen, SPEC)
