@@ -9,9 +9,11 @@ object scores batch or streaming input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ from ..functions import cols_if_present, replace_inf
 from ..functions.sqltext import agg_row, lit_double, q
 from ..session import cut_lineage
 from .cleaning import NUMERIC, coerce_numeric
-from .quantiles import exact_quantiles
+from .quantiles import doubles, exact_quantiles, matrix
 
 
 def temporal_split(df: DataFrame, train_periods: Sequence[str], val_period: str, period: str = "SEASON",
@@ -48,6 +50,72 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, NUMERIC + (T.BooleanType,))
 
 
+def null_counts(df: DataFrame, cols: Sequence[str], split: str | None = None
+                ) -> tuple[dict[str | None, dict[str, int]], dict[str | None, int]]:
+    """Missing values (null; of numbers NaN, too) of each column, and rows, by the value of ``split`` (null: no row),
+    in one pass over the columns' validity."""
+    num = {c for c in cols if _is_numeric(df, c)}
+    parts = [F.col(split).alias("split") if split else F.lit(None).cast("string").alias("split")]
+    flags = df.select(*parts, *[(F.isnan(F.col(c).cast("double")) | F.col(c).isNull() if c in num else F.col(c).isNull())
+                                .alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str | None, np.ndarray] = {}
+        for b in batches:
+            labels = np.array(b.column(0).to_pylist(), dtype=object)
+            m = np.column_stack([np.ones(len(b), bool), *(x.to_numpy(zero_copy_only=False) for x in b.columns[1:])])
+            for name in set(labels.tolist()):
+                total[name] = total.get(name, 0) + m[labels == name].sum(0)
+        for name, counts in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(counts), pa.string()), pa.array(np.arange(len(counts), dtype=np.int32)),
+                 pa.array(counts.astype(np.int64))], names=["split", "col", "n"])
+
+    names = [None] if split is None else []
+    nulls: dict[str | None, dict[str, int]] = {k: dict.fromkeys(cols, 0) for k in names}
+    rows: dict[str | None, int] = dict.fromkeys(names, 0)
+    got = flags.mapInArrow(run, "split string, col int, n long").groupBy("split", "col").agg(F.sum("n").alias("n")).collect()
+    for r in got:                                                           # splits x columns numbers
+        if r["col"] == 0:
+            rows[r["split"]] = r["n"]
+        else:
+            nulls.setdefault(r["split"], dict.fromkeys(cols, 0))[cols[r["col"] - 1]] = r["n"]
+    for k in rows:
+        nulls.setdefault(k, dict.fromkeys(cols, 0))
+    return nulls, rows
+
+
+def moments(df: DataFrame, cols: Sequence[str]) -> tuple[list[float | None], list[float | None]]:
+    """Mean and population standard deviation of each column's values: a pass of sums and one of centred squares."""
+    rows = doubles(df, cols)
+
+    def summed(centre: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, total = np.zeros(len(cols), np.int64), np.zeros(len(cols))
+            for b in batches:
+                x = matrix(b)
+                has = ~np.isnan(x)
+                n += has.sum(0)
+                total += np.where(has, x if centre is None else (x - centre) ** 2, 0.0).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols), dtype=np.int32)), pa.array(n), pa.array(total)],
+                                             names=["col", "n", "total"])
+
+        n, total = np.zeros(len(cols)), np.zeros(len(cols))
+        for r in rows.mapInArrow(run, "col int, n long, total double").groupBy("col").agg(
+                F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
+            n[r["col"]], total[r["col"]] = r["n"], r["total"]
+        return n, total
+
+    if not cols:
+        return [], []
+    n, total = summed(None)
+    mean = total / np.maximum(n, 1)
+    n, squares = summed(mean)
+    std = np.sqrt(squares / np.maximum(n, 1))
+    return ([float(m) if k else None for m, k in zip(mean, n, strict=True)],
+            [float(v) if k else None for v, k in zip(std, n, strict=True)])
+
+
 @dataclass
 class FillValues:
     """Per feature with a null in train: median (numeric) or mode (text, smallest on ties)."""
@@ -55,20 +123,23 @@ class FillValues:
     values: dict[str, object] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, train: DataFrame, cols: Sequence[str]) -> "FillValues":
+    def fit(cls, train: DataFrame, cols: Sequence[str], nulls: dict[str, int] | None = None) -> "FillValues":
+        """``nulls``: the missing values of each column, where they are known already."""
         cols = cols_if_present(train, cols)
-        nulls = agg_row(train, [f"count_if({q(c)} IS NULL) AS z{i}" for i, c in enumerate(cols)])
-        with_null = [c for i, c in enumerate(cols) if nulls[f"z{i}"] > 0]
+        if nulls is None:
+            nulls = null_counts(train, cols)[0][None]
+        with_null = [c for c in cols if nulls[c] > 0]
         num = [c for c in with_null if _is_numeric(train, c)]
-        med = exact_quantiles(train, [(c, 0.5) for c in num])
-        values: dict[str, object] = {c: med[(c, 0.5)] for c in num}
-        for c in with_null:
-            if c in values:
-                continue
-            counts = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-            r = counts.agg(F.min_by(c, F.struct(-F.col("n"), F.col(c))).alias("m")).first()
-            values[c] = r["m"] if r["m"] is not None else 0
-        return cls(values)
+        text = [c for c in with_null if c not in set(num)]
+        values: dict[str, object] = {c: v for (c, _), v in exact_quantiles(train, [(c, 0.5) for c in num]).items()}
+        values |= dict.fromkeys(text, 0)
+        if text:        # one aggregate of (column, value, count) for the modes of all text columns
+            long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                                    for c in text])).alias("e")).select("e.*")
+            counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+            modes = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("m"))
+            values |= {r["c"]: r["m"] for r in modes.collect()}             # a row a column
+        return cls({c: values[c] for c in with_null})
 
     def table(self, spark: SparkSession) -> DataFrame:
         """feature, fill_value (numeric features), fill_text (text features)."""
@@ -114,9 +185,8 @@ class StandardScale:
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str]) -> "StandardScale":
         cols = cols_if_present(train, cols)
-        r = agg_row(train, [x for i, c in enumerate(cols) for x in (
-            f"avg(CAST({q(c)} AS DOUBLE)) AS m{i}", f"stddev_pop(CAST({q(c)} AS DOUBLE)) AS s{i}")])
-        return cls({c: r[f"m{i}"] for i, c in enumerate(cols)}, {c: r[f"s{i}"] for i, c in enumerate(cols)})
+        mean, std = moments(train, cols)
+        return cls(dict(zip(cols, mean, strict=True)), dict(zip(cols, std, strict=True)))
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(c, self.mean[c], self.std[c]) for c in self.mean],
@@ -167,14 +237,26 @@ def prepare_training_data(df: DataFrame, train_periods: Sequence[str], val_perio
     fset = set(feats)
     df = df.selectExpr(*[f"nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {q(c)}" if c in fset else q(c)
                          for c in df.columns])
-    # fill and scale make several passes over the panel: cut its lineage once
-    df = cut_lineage(df)
-    splits = temporal_split(df, train_periods, val_period, period, first_target=targets[0])
-    fv = FillValues.fit(splits["train"], feats)
-    splits = apply_fill_values(fv, splits, feats)
-    dbl = set(feats)
-    splits = {k: v.selectExpr(*[f"CASE WHEN abs({q(c)}) = CAST('Infinity' AS DOUBLE) THEN 0.0D ELSE {q(c)} END AS {q(c)}"
-                                if c in dbl else q(c) for c in v.columns]) for k, v in splits.items()}
-    sc = StandardScale.fit(splits["train"], feats)
-    splits = {k: sc.transform(v) for k, v in splits.items()}
+    # written once with the split as a column: all fits read this table
+    df = cut_lineage(split_label(df, train_periods, val_period, period, targets[0]).where(F.col("split").isNotNull()))
+    nulls, rows = null_counts(df, feats, "split")
+    none = dict.fromkeys(feats, 0)
+    train = df.where(F.col("split") == "train")
+    fv = FillValues.fit(train, feats, nulls.get("train", none))
+    # train values fill every split; what is missing in train or validation after that makes the rest 0 everywhere
+    open_ = [c for c in feats if fv.values.get(c) is None]
+    rest = any(nulls.get(k, none)[c] for k in ("train", "val") for c in open_)
+
+    def filled(c: str) -> str:
+        value = fv.values.get(c)
+        ends = [q(c), *([lit_double(float(value))] if value is not None else []), *(["0.0D"] if rest else [])]
+        return f"coalesce({', '.join(ends)})" if len(ends) > 1 else ends[0]
+
+    def finite(c: str) -> str:
+        return f"CASE WHEN abs({filled(c)}) = CAST('Infinity' AS DOUBLE) THEN 0.0D ELSE {filled(c)} END"
+
+    clean = df.selectExpr(*[f"{finite(c)} AS {q(c)}" if c in fset else q(c) for c in df.columns])
+    sc = StandardScale.fit(clean.where(F.col("split") == "train").select(*[F.col(q(c)) for c in feats]), feats)
+    scaled = sc.transform(clean)
+    splits = {k: scaled.where(F.col("split") == k).drop("split") for k in ("train", "val", "pred")}
     return Prepared(splits, feats, fv, sc)

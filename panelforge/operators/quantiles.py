@@ -2,95 +2,139 @@
 
 ``F.median`` / ``percentile`` merge a value -> count map for the whole column
 in one final task, which is unbounded for continuous data at scale.  Here
-every needed order statistic is bracketed by values of the column:
-
-1. one aggregate: ``percentile_approx`` just below and just above the wanted
-   rank, among the values strictly inside the current bracket;
-2. one aggregate: how many of those values lie below, at, between and above
-   the two found.  The wanted rank falls into one of these: at a found value
-   (done) or strictly between two (the next bracket).
-
-Each round removes at least one distinct value and about ``accuracy`` / 4 of
-the rest, so the number of rounds is logarithmic for continuous data and small
-for any pattern of ties.  No value list reaches the driver, and every order
-statistic of every column shares the same two jobs a round.
+doubles become whole numbers in the same order, and every needed order
+statistic is bracketed by a range of these numbers.  One pass a round counts
+the values of every bracket in ``PARTS`` equal parts of its range; the part
+that holds the wanted rank is the next bracket.  A bracket with few values is
+counted by value, which ends it.
+
+A round leaves a range ``PARTS`` times narrower, so there are seven rounds at
+most, whatever the values and ties, and two or three for usual columns.  The
+driver receives counts of non-empty parts; no value list reaches it, and all
+order statistics of all columns share the pass of a round.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sqltext import agg_row, lit_double as L, q as Q
+from ..functions.sqltext import q as Q
+
+#: Parts of a bracket that a round counts, and the number of values that are counted by value.
+PARTS, FEW = 1024, 64
+_TOP = 1 << 63
+
+
+def matrix(batch: pa.RecordBatch, first: int = 0) -> np.ndarray:
+    """The columns of a batch from ``first`` on as rows x columns of doubles; null is NaN."""
+    columns = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns[first:]]
+    return np.column_stack(columns) if columns else np.empty((batch.num_rows, 0))
+
+
+def doubles(df: DataFrame, cols: Sequence[str], others: Sequence[str] = ()) -> DataFrame:
+    """``others`` and ``cols`` as doubles (booleans and numbers alike)."""
+    return df.selectExpr(*[Q(c) for c in others], *[f"CAST({Q(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)])
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the order of the doubles (without NaN)."""
+    bits = (values + 0.0).view(np.int64)            # the two zeros are one value
+    return (bits ^ ((bits >> 63) & np.int64(_TOP - 1))).view(np.uint64) ^ np.uint64(_TOP)
 
 
-def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accuracy: int = 10_000
+def _double(key: int) -> float:
+    bits = np.array([key], np.uint64) ^ np.uint64(_TOP)
+    bits = bits.view(np.int64)
+    return float((bits ^ ((bits >> 63) & np.int64(_TOP - 1))).view(np.float64)[0])
+
+
+def exact_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], accuracy: int = PARTS
                     ) -> dict[tuple[str, float], float | None]:
+    """The value of each (column, quantile); None for a column without values.  NaN counts as missing, as in pandas.
+
+    ``accuracy`` is the number of parts that a round counts; the values do not depend on it.
+    """
     targets = list(dict.fromkeys(targets))
     if not targets:
         return {}
     cols = list(dict.fromkeys(c for c, _ in targets))
-    # only the needed columns, kept for the passes below (spills to disk if large);
-    # NaN counts as missing, as in pandas
-    df = df.selectExpr(*[f"nanvl(CAST({Q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS q{i}"
-                         for i, c in enumerate(cols)]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # only the needed columns, kept for the rounds (spills to disk if large)
+    rows = doubles(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = agg_row(df, [f"count(q{i}) AS n{i}" for i in range(len(cols))])
-        n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
-        at = {(c, q): (n[c] - 1) * q for c, q in targets if n[c]}
+        counts = _counted(rows, [(c, 0, 63, 1 << 64) for c in range(len(cols))])
+        n = [sum(parts.values()) for parts in counts]
+        at = {(c, q): (n[cols.index(c)] - 1) * q for c, q in targets if n[cols.index(c)]}
         ranks = sorted({(cols.index(c), r) for (c, _), x in at.items() for r in (math.floor(x), math.ceil(x))})
-        value = _order_statistics(df, ranks, [n[c] for c in cols], accuracy)
-        out: dict[tuple[str, float], float | None] = dict.fromkeys(targets)
-        for (c, q), x in at.items():
-            a, b = value[cols.index(c), math.floor(x)], value[cols.index(c), math.ceil(x)]
-            out[c, q] = a if a == b else a + (b - a) * (x - math.floor(x))
-        return out
+        value = _order_statistics(rows, ranks, n, max(2, accuracy))
     finally:
-        df.unpersist()
+        rows.unpersist()
+    out: dict[tuple[str, float], float | None] = dict.fromkeys(targets)
+    for (c, q), x in at.items():
+        a, b = value[cols.index(c), math.floor(x)], value[cols.index(c), math.ceil(x)]
+        out[c, q] = a if a == b else a + (b - a) * (x - math.floor(x))
+    return out
+
+
+def _counted(rows: DataFrame, brackets: Sequence[tuple[int, int, int, int]]) -> list[dict[int, int]]:
+    """For each bracket (column, first number, bits of a part, numbers), how many values each part has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: list[dict[int, int]] = [{} for _ in brackets]
+        for b in batches:
+            held: dict[int, np.ndarray] = {}
+            for i, (c, low, shift, size) in enumerate(brackets):
+                if c not in held:
+                    x = b.column(c).to_numpy(zero_copy_only=False)
+                    held[c] = _ordered(x[~np.isnan(x)])
+                keys = held[c]
+                inside = keys[(keys >= low) & (keys - np.uint64(low) <= np.uint64(size - 1))] - np.uint64(low)
+                part, count = np.unique(inside >> np.uint64(shift), return_counts=True)
+                for p, k in zip(part.tolist(), count.tolist(), strict=True):
+                    total[i][p] = total[i].get(p, 0) + k
+        cells = [(i, p - _TOP, k) for i, parts in enumerate(total) for p, k in parts.items()]
+        cols = list(zip(*cells, strict=True)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(x, pa.int64()) for x in cols[1:])],
+                                         names=["bracket", "part", "n"])
+
+    out: list[dict[int, int]] = [{} for _ in brackets]
+    for r in rows.mapInArrow(run, "bracket int, part long, n long").groupBy("bracket", "part").agg(
+            F.sum("n").alias("n")).collect():
+        out[r["bracket"]][r["part"] + _TOP] = r["n"]
+    return out
 
 
-def _order_statistics(df: DataFrame, ranks: Sequence[tuple[int, int]], n: Sequence[int], accuracy: int
+def _order_statistics(rows: DataFrame, ranks: Sequence[tuple[int, int]], n: Sequence[int], parts: int
                       ) -> dict[tuple[int, int], float]:
     """The value of each (column number, zero-based rank among the column's values)."""
     found: dict[tuple[int, int], float] = {}
-    # open bracket (lo, hi), values at or below lo, values inside
-    pending = {t: (None, None, 0, n[t[0]]) for t in ranks}
+    # first number, numbers, values below, values inside
+    pending = {t: (0, 1 << 64, 0, n[t[0]]) for t in ranks}
     while pending:
-        brackets, aggs = list(pending.items()), []
-        inside = []
-        for i, ((c, rank), (lo, hi, below, size)) in enumerate(brackets):
-            cond = [f"q{c} {sign} {L(end)}" for sign, end in ((">", lo), ("<", hi)) if end is not None]
-            inside.append(" AND ".join([f"q{c} IS NOT NULL", *cond]))
-            q = (rank - below) / max(1, size - 1)
-            ends = f"array({L(max(0.0, q - 2 / accuracy))}, {L(min(1.0, q + 2 / accuracy))})"
-            aggs.append(f"percentile_approx(CASE WHEN {inside[i]} THEN q{c} END, {ends}, {accuracy}) AS b{i}")
-        row = agg_row(df, aggs)
-        ends = [tuple(map(float, row[f"b{i}"])) for i in range(len(brackets))]
-        aggs = []
-        for i, (((c, _), _), (a, b)) in enumerate(zip(brackets, ends, strict=True)):
-            for name, test in (("u", f"q{c} < {L(a)}"), ("a", f"q{c} = {L(a)}"), ("m", f"q{c} > {L(a)} AND q{c} < {L(b)}"),
-                               ("b", f"q{c} = {L(b)}" if b > a else "false")):
-                aggs.append(f"count_if({inside[i]} AND {test}) AS {name}{i}")
-        row, pending = agg_row(df, aggs), {}
-        for i, ((t, (lo, hi, below, size)), (a, b)) in enumerate(zip(brackets, ends, strict=True)):
-            under, at_a, mid, at_b = (row[f"{x}{i}"] for x in "uamb")
-            r = t[1] - below
-            upto = (under, under + at_a, under + at_a + mid, under + at_a + mid + at_b)
-            if r < upto[0]:
-                pending[t] = (lo, a, below, under)
-            elif r < upto[1]:
-                found[t] = a
-            elif r < upto[2]:
-                pending[t] = (a, b, below + upto[1], mid)
-            elif r < upto[3]:
-                found[t] = b
+        brackets = {}
+        for (c, _), (low, size, _, inside) in pending.items():
+            shift = 0 if inside <= FEW else max(0, (size - 1).bit_length() - (parts - 1).bit_length())
+            brackets[c, low, shift, size] = None
+        brackets = dict(zip(brackets, _counted(rows, list(brackets)), strict=True))
+        after = {}
+        for t, (low, size, below, inside) in pending.items():
+            key = next(k for k in brackets if k[0] == t[0] and k[1] == low and k[3] == size)
+            for part, count in sorted(brackets[key].items()):
+                if t[1] < below + count:
+                    break
+                below += count
+            first = low + (part << key[2])
+            if key[2] == 0:
+                found[t] = _double(first)
             else:
-                pending[t] = (b, hi, below + upto[3], size - upto[3])
+                after[t] = (first, min(1 << key[2], low + size - first), below, count)
+        pending = after
     return found
 
 
