@@ -281,13 +281,27 @@ TGT_META = set(TGT) | set(S.METADATA_COLS) | {"PLAYER_ID", "SEASON"}
 NUM = [c for c in CHAIN_COLS if c not in TGT_META and c not in TEXT_COLS]
 DOUBLES = ", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in NUM)
 NUM_LIST = ", ".join(qi(c) for c in NUM)
-sql("high_correlation_pairs", chain(
+PREP = [c for c in FEAT_COLS if c not in TGT_META and (c not in TEXT_COLS or c in ("DRAFT_ROUND", "DRAFT_NUMBER"))]
+SPLIT = (f"CASE WHEN NEXT_PTS IS NULL THEN 'pred' WHEN SEASON IN {TRAIN_IN} THEN 'train' "
+         f"WHEN SEASON = '{VAL}' THEN 'val' END")
+
+
+def _prep_col(c: str) -> str:
+    if c in ("DRAFT_ROUND", "DRAFT_NUMBER"):
+        return f"coalesce(try_cast(trim({c}) AS DOUBLE), 0.0)"
+    v = f"CAST({qi(c)} AS DOUBLE)"
+    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+
+
+PX = (f"px AS MATERIALIZED (SELECT PLAYER_ID, SEASON, {SPLIT} AS split, "
+      + ", ".join(f"{_prep_col(c)} AS {qi(c)}" for c in PREP) + " FROM feats)")
+sql("high_correlation_pairs", feats(
     "SELECT feature1, feature2, r AS correlation FROM (SELECT a.n AS feature1, b.n AS feature2, "
     "abs(corr(a.v, b.v)) AS r FROM ln a JOIN ln b ON a.rid = b.rid AND a.pos < b.pos GROUP BY a.n, b.n) "
-    "WHERE r > 0.95 AND NOT isnan(r)",
-    f"wd AS MATERIALIZED (SELECT row_number() OVER () AS rid, {DOUBLES} FROM chain)",
-    f"up AS (UNPIVOT wd ON {NUM_LIST} INTO NAME n VALUE v)",
-    "nm AS (SELECT unnest([" + ", ".join(f"'{c}'" for c in NUM) + "]) AS n, unnest(range(" + str(len(NUM)) + ")) AS pos)",
+    "WHERE r > 0.95 AND NOT isnan(r)", PX,
+    "wd AS MATERIALIZED (SELECT row_number() OVER () AS rid, " + ", ".join(qi(c) for c in PREP) + " FROM px)",
+    "up AS (UNPIVOT wd ON " + ", ".join(qi(c) for c in PREP) + " INTO NAME n VALUE v)",
+    "nm AS (SELECT unnest([" + ", ".join(f"'{c}'" for c in PREP) + "]) AS n, unnest(range(" + str(len(PREP)) + ")) AS pos)",
     "ln AS MATERIALIZED (SELECT rid, pos, n, v FROM up JOIN nm USING (n))"))
 sql("career_totals", with_chain(
     "SELECT PLAYER_ID, CAST(sum(GP) AS DOUBLE) AS CAREER_GP, sum(MIN) AS CAREER_MIN, sum(PTS) AS CAREER_PTS, "
@@ -304,9 +318,9 @@ sql("infinite_profile", feats(union_all([
     f"AND SEASON = '{VAL}'",
     f"SELECT 'pred' AS split, CAST({_inf_sum} AS BIGINT) AS inf_cells FROM fx WHERE NEXT_PTS IS NULL"]),
     f"fx AS (SELECT *, {FS.rdiv('AST', 'STL')} AS AST_PER_STL FROM feats)"))
-sql("feature_stats", chain(
-    "SELECT list_avg([" + ", ".join(f"avg(abs({qi(c)}))" for c in NUM) + "]) AS mean_abs_mean, list_avg(["
-    + ", ".join(f"stddev_samp({qi(c)})" for c in NUM) + "]) AS mean_std FROM chain"))
+sql("feature_stats", feats(
+    "SELECT list_avg([" + ", ".join(f"avg(abs({qi(c)}))" for c in PREP) + "]) AS mean_abs_mean, list_avg(["
+    + ", ".join(f"stddev_samp({qi(c)})" for c in PREP) + "]) AS mean_std FROM px", PX))
 
 # ==== E ======================================================================================
 
@@ -373,48 +387,43 @@ sql("split_has_target", chain(
 
 BOX = ("GP", "MIN", "PTS", "REB", "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT",
        "FTM", "FTA", "FT_PCT")
-PREP = [c for c in CHAIN_COLS if c not in TGT_META and (c not in TEXT_COLS or c in ("DRAFT_ROUND", "DRAFT_NUMBER"))]
-
-
-def _prep_col(c: str) -> str:
-    if c in ("DRAFT_ROUND", "DRAFT_NUMBER"):
-        return f"coalesce(try_cast(trim({c}) AS DOUBLE), 0.0)"
-    return f"CAST({c} AS DOUBLE)"
-
-
-SPLIT = (f"CASE WHEN NEXT_PTS IS NULL THEN 'pred' WHEN SEASON IN {TRAIN_IN} THEN 'train' "
-         f"WHEN SEASON = '{VAL}' THEN 'val' END")
 PREP_CTES = (
-    f"px AS MATERIALIZED (SELECT PLAYER_ID, SEASON, {SPLIT} AS split, "
-    + ", ".join(f"{_prep_col(c)} AS {c}" for c in PREP) + " FROM chain)",
-    "fm AS MATERIALIZED (SELECT " + ", ".join(f"CAST(median({c}) AS DOUBLE) AS m_{c}, count(*) - count({c}) AS z_{c}"
-                                              for c in PREP) + " FROM px WHERE split = 'train')",
+    PX,
+    "fm AS MATERIALIZED (SELECT " + ", ".join(
+        f"CAST(median({qi(c)}) AS DOUBLE) AS m{i}, count(*) - count({qi(c)}) AS z{i}" for i, c in enumerate(PREP))
+    + " FROM px WHERE split = 'train')",
     "pf AS MATERIALIZED (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
-        f"CASE WHEN fm.z_{c} > 0 THEN coalesce({c}, fm.m_{c}) ELSE {c} END AS {c}" for c in PREP)
+        f"CASE WHEN fm.z{i} > 0 THEN coalesce({qi(c)}, fm.m{i}) ELSE {qi(c)} END AS {qi(c)}" for i, c in enumerate(PREP))
     + " FROM px CROSS JOIN fm WHERE split IS NOT NULL)",
     "zf AS MATERIALIZED (SELECT count(*) > 0 AS z FROM pf WHERE split IN ('train', 'val') AND ("
-    + " OR ".join(f"{c} IS NULL" for c in PREP) + "))",
+    + " OR ".join(f"{qi(c)} IS NULL" for c in PREP) + "))",
     "filled AS MATERIALIZED (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
-        f"CASE WHEN zf.z THEN coalesce({c}, 0.0) ELSE {c} END AS {c}" for c in PREP) + " FROM pf CROSS JOIN zf)",
+        f"CASE WHEN zf.z THEN coalesce({qi(c)}, 0.0) ELSE {qi(c)} END AS {qi(c)}" for c in PREP) + " FROM pf CROSS JOIN zf)",
 )
 sql("temporal_split", chain(f"SELECT PLAYER_ID, SEASON, {SPLIT} AS split FROM chain WHERE {SPLIT} IS NOT NULL"))
-sql("fit_fill_values", chain(union_all(
-    f"SELECT '{c}' AS feature, m_{c} AS fill_value, CAST(NULL AS VARCHAR) AS fill_text FROM fm WHERE z_{c} > 0"
-    for c in PREP), *PREP_CTES))
-sql("apply_fill_values", chain("SELECT * FROM filled", *PREP_CTES))
+FILL_TEXT = ("POSITION", "HEIGHT", "DRAFT_YEAR", "COUNTRY", "TEAM_NAME")
+sql("fit_fill_values", feats(union_all([
+    *(f"SELECT '{c}' AS feature, m{i} AS fill_value, CAST(NULL AS VARCHAR) AS fill_text FROM fm WHERE z{i} > 0"
+      for i, c in enumerate(PREP)),
+    *(f"SELECT '{c}' AS feature, CAST(NULL AS DOUBLE) AS fill_value, v AS fill_text FROM (SELECT {c} AS v, count(*) AS k "
+      f"FROM feats WHERE {SPLIT} = 'train' AND {c} IS NOT NULL GROUP BY {c} ORDER BY k DESC, v LIMIT 1) "
+      f"WHERE (SELECT count(*) > count({c}) FROM feats WHERE {SPLIT} = 'train')" for c in FILL_TEXT)]), *PREP_CTES))
+sql("apply_fill_values", feats("SELECT * FROM filled", *PREP_CTES))
 SCALE_CTES = (
-    "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in PREP)
-    + " FROM filled WHERE split = 'train')",
+    "clean AS MATERIALIZED (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
+        f"CASE WHEN isinf({qi(c)}) THEN 0.0 ELSE {qi(c)} END AS {qi(c)}" for c in PREP) + " FROM filled)",
+    "st AS (SELECT " + ", ".join(f"avg({qi(c)}) AS m{i}, stddev_pop({qi(c)}) AS s{i}" for i, c in enumerate(PREP))
+    + " FROM clean WHERE split = 'train')",
     "scaled AS (SELECT PLAYER_ID, SEASON, split, " + ", ".join(
-        f"({c} - st.m_{c}) / CASE WHEN st.s_{c} IS NULL OR st.s_{c} = 0 THEN 1.0 ELSE st.s_{c} END AS {c}"
-        for c in PREP) + " FROM filled CROSS JOIN st)",
+        f"({qi(c)} - st.m{i}) / CASE WHEN st.s{i} IS NULL OR st.s{i} = 0 THEN 1.0 ELSE st.s{i} END AS {qi(c)}"
+        for i, c in enumerate(PREP)) + " FROM clean CROSS JOIN st)",
 )
-sql("standard_scale", chain("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
-sql("scaling_check", chain(
-    "SELECT list_avg([" + ", ".join(f"avg({c})" for c in PREP) + "]) AS mean_of_means, list_avg(["
-    + ", ".join(f"stddev_samp({c})" for c in PREP) + "]) AS mean_of_stds FROM scaled WHERE split = 'train'",
+sql("standard_scale", feats("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
+sql("scaling_check", feats(
+    "SELECT list_avg([" + ", ".join(f"avg({qi(c)})" for c in PREP) + "]) AS mean_of_means, list_avg(["
+    + ", ".join(f"stddev_samp({qi(c)})" for c in PREP) + "]) AS mean_of_stds FROM scaled WHERE split = 'train'",
     *PREP_CTES, *SCALE_CTES))
-sql("prepare_training_data", chain("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
+sql("prepare_training_data", feats("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
 
 # ==== J ======================================================================================
 

@@ -22,7 +22,7 @@ from ..functions import cols_if_present, replace_inf
 from ..functions.sqltext import agg_row, lit_double, q
 from ..session import cut_lineage
 from .cleaning import NUMERIC, coerce_numeric
-from .quantiles import doubles, exact_quantiles, matrix
+from .quantiles import column_moments, exact_quantiles
 
 
 def temporal_split(df: DataFrame, train_periods: Sequence[str], val_period: str, period: str = "SEASON",
@@ -85,37 +85,6 @@ def null_counts(df: DataFrame, cols: Sequence[str], split: str | None = None
     return nulls, rows
 
 
-def moments(df: DataFrame, cols: Sequence[str]) -> tuple[list[float | None], list[float | None]]:
-    """Mean and population standard deviation of each column's values: a pass of sums and one of centred squares."""
-    rows = doubles(df, cols)
-
-    def summed(centre: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n, total = np.zeros(len(cols), np.int64), np.zeros(len(cols))
-            for b in batches:
-                x = matrix(b)
-                has = ~np.isnan(x)
-                n += has.sum(0)
-                total += np.where(has, x if centre is None else (x - centre) ** 2, 0.0).sum(0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols), dtype=np.int32)), pa.array(n), pa.array(total)],
-                                             names=["col", "n", "total"])
-
-        n, total = np.zeros(len(cols)), np.zeros(len(cols))
-        for r in rows.mapInArrow(run, "col int, n long, total double").groupBy("col").agg(
-                F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
-            n[r["col"]], total[r["col"]] = r["n"], r["total"]
-        return n, total
-
-    if not cols:
-        return [], []
-    n, total = summed(None)
-    mean = total / np.maximum(n, 1)
-    n, squares = summed(mean)
-    std = np.sqrt(squares / np.maximum(n, 1))
-    return ([float(m) if k else None for m, k in zip(mean, n, strict=True)],
-            [float(v) if k else None for v, k in zip(std, n, strict=True)])
-
-
 @dataclass
 class FillValues:
     """Per feature with a null in train: median (numeric) or mode (text, smallest on ties)."""
@@ -185,8 +154,9 @@ class StandardScale:
     @classmethod
     def fit(cls, train: DataFrame, cols: Sequence[str]) -> "StandardScale":
         cols = cols_if_present(train, cols)
-        mean, std = moments(train, cols)
-        return cls(dict(zip(cols, mean, strict=True)), dict(zip(cols, std, strict=True)))
+        n, mean, std = column_moments(train, cols, absolute=False)
+        return cls({c: m if k else None for c, m, k in zip(cols, mean, n, strict=True)},
+                   {c: v if k else None for c, v, k in zip(cols, std, n, strict=True)})
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(c, self.mean[c], self.std[c]) for c in self.mean],

@@ -19,7 +19,7 @@ from ..functions import cols_if_present
 from ..functions.sqltext import agg_row, lit_double, q
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .cleaning import NUMERIC, numeric_columns
-from .quantiles import exact_quantiles
+from .quantiles import column_moments, exact_quantiles
 
 
 # --------------------------------------------------------------------------- D
@@ -201,28 +201,29 @@ def career_totals(df: DataFrame, entity: str = "PLAYER_ID") -> DataFrame:
                                   F.sum("PTS").alias("CAREER_PTS"), F.count(F.lit(1)).alias("SEASONS_PLAYED"))
 
 
-def infinite_profile(splits: dict[str, DataFrame], cols: Sequence[str] | None = None) -> DataFrame:
-    """Count of +/-inf cells per split (one aggregate per split)."""
-    out = None
-    for name, df in splits.items():
-        dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-               and (cols is None or f.name in cols)]
-        tot = F.lit(0).cast("long")
-        for c in dbl:
-            tot = tot + F.count_if(F.abs(F.col(c)) == F.lit(float("inf")))
-        one = df.agg(tot.alias("inf_cells")).select(F.lit(name).alias("split"), "inf_cells")
-        out = one if out is None else out.unionByName(one)
-    return out
+def infinite_profile(df: DataFrame, cols: Sequence[str] | None = None, split: str = "split",
+                     labels: Sequence[str] = ("train", "val", "pred")) -> DataFrame:
+    """Count of +/-inf cells by the value of ``split``, in one pass; labels without rows have 0, other rows go."""
+    dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+           and (cols is None or f.name in cols)]
+    cells = " + ".join(["0L", *(f"IF(abs({q(c)}) = DOUBLE('Infinity'), 1L, 0L)" for c in dbl)])
+    rows = df.where(F.col(split).isin(*labels)).selectExpr(f"{q(split)} AS split", f"{cells} AS inf_cells")
+    none = df.sparkSession.createDataFrame([(x, 0) for x in labels], "split string, inf_cells long")
+    return rows.unionByName(none).groupBy("split").agg(F.sum("inf_cells").alias("inf_cells"))
 
 
 def feature_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mean over features of the mean |x| and of the sample std of each column (one aggregate)."""
+    """Mean over features of the mean |x| and of the sample std of each column; NaN counts as missing.
+
+    A pass of sums and one of centred squares over all columns; a column with an infinite value makes both infinite.
+    """
     cols = cols_if_present(df, cols)
-    wide = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
-        f"avg(abs({q(c)})) AS a{i}", f"stddev_samp({q(c)}) AS s{i}")])
-    items = [F.struct(F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i in range(len(cols))]
-    long = wide.select(F.explode(F.array(*items)).alias("e")).select("e.*")
-    return long.agg(F.avg("mean").alias("mean_abs_mean"), F.avg("std").alias("mean_std"))
+    n, size, std = column_moments(df, cols)
+    size = [x for x, k in zip(size, n, strict=True) if k]
+    std = [x * (k / (k - 1)) ** 0.5 for x, k in zip(std, n, strict=True) if k > 1]
+    return df.sparkSession.createDataFrame(
+        [(sum(size) / len(size) if size else None, sum(std) / len(std) if std else None)],
+        "mean_abs_mean double, mean_std double")
 
 
 # --------------------------------------------------------------------------- H

@@ -140,3 +140,37 @@ def _order_statistics(rows: DataFrame, ranks: Sequence[tuple[int, int]], n: Sequ
 
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5, **kw) -> float | None:
     return exact_quantiles(df, [(col, q)], **kw)[(col, q)]
+
+
+def column_moments(df: DataFrame, cols: Sequence[str], absolute: bool = True) -> tuple[list[int], list[float], list[float]]:
+    """Of every column the number of values, their mean (``absolute``: of their sizes) and their population standard
+    deviation, by a pass of sums and one of centred squares; null and NaN are no values."""
+    rows, size = doubles(df, cols), len(cols)
+    if not size:
+        return [], [], []
+
+    def summed(centre: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, total, sizes = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+            for b in batches:
+                x = matrix(b)
+                has = ~np.isnan(x)
+                n += has.sum(0)
+                with np.errstate(invalid="ignore"):
+                    total += np.where(has, x if centre is None else (x - centre) ** 2, 0.0).sum(0)
+                sizes += np.where(has, np.abs(x), 0.0).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(n), pa.array(total),
+                                              pa.array(sizes)], names=["col", "n", "total", "sizes"])
+
+        out = np.zeros(size), np.zeros(size), np.zeros(size)
+        for r in rows.mapInArrow(run, "col int, n long, total double, sizes double").groupBy("col").agg(
+                F.sum("n"), F.sum("total"), F.sum("sizes")).collect():              # a row a column
+            for values, v in zip(out, r[1:], strict=True):
+                values[r[0]] = v
+        return out
+
+    n, total, sizes = summed(None)
+    mean = total / np.maximum(n, 1)
+    _, squares, _ = summed(mean)
+    std = np.sqrt(squares / np.maximum(n, 1))
+    return [int(k) for k in n], ((sizes / np.maximum(n, 1)) if absolute else mean).tolist(), std.tolist()

@@ -447,8 +447,8 @@ def _numeric_features(df: DataFrame) -> list[str]:
 
 @query("high_correlation_pairs")
 def q_high_correlation_pairs(spark, d):
-    lag = _lagged(spark, d)
-    return P.high_correlation_pairs(lag, _numeric_features(lag), 0.95)
+    rows, cols = _prep_input(spark, d)
+    return P.high_correlation_pairs(rows, cols, 0.95)
 
 
 @query("career_totals")
@@ -464,13 +464,13 @@ def q_group_mean_train(spark, d):
 @query("infinite_profile")
 def q_infinite_profile(spark, d):
     f = _featured(spark, d).select("*", raw_div("AST", "STL").alias("AST_PER_STL"))
-    return P.infinite_profile(I.temporal_split(f, TRAIN, VAL, first_target="NEXT_PTS"))
+    return P.infinite_profile(I.split_label(f, TRAIN, VAL, SPEC.period))
 
 
 @query("feature_stats")
 def q_feature_stats(spark, d):
-    lag = _lagged(spark, d)
-    return P.feature_stats(lag, _numeric_features(lag))
+    rows, cols = _prep_input(spark, d)
+    return P.feature_stats(rows, cols)
 
 
 # --- E: window / panel -------------------------------------------------------------
@@ -611,12 +611,17 @@ def q_split_has_target(spark, d):
 
 # --- I: split, impute, scale --------------------------------------------------------------
 
+TEXT = ("POSITION", "HEIGHT", "DRAFT_YEAR", "COUNTRY", "TEAM_NAME")
+
+
 def _prep_input(spark, d):
-    """Keys, split columns and every numeric feature as doubles, written once: fill and scale make several
-    passes over it."""
-    lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
-    cols = _numeric_features(lag)
-    return cut_lineage(lag.select(*KEYS, "NEXT_PTS", *[F.col(c).cast("double").alias(c) for c in cols])), cols
+    """Keys, the split, texts and every feature of the whole panel as doubles (NaN: missing), written once: what
+    follows makes several passes over it."""
+    f = B.coerce_numeric(_featured(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
+    cols = I.feature_columns(f, SPEC.targets, [*S.METADATA_COLS, *KEYS])
+    f = I.split_label(f, TRAIN, VAL, SPEC.period)
+    number = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]
+    return cut_lineage(f.select(*KEYS, "split", *TEXT, *number), "prep-input"), cols
 
 
 def _prepared(spark, d, features=None):
@@ -637,15 +642,15 @@ def q_temporal_split(spark, d):
 @query("fit_fill_values")
 def q_fit_fill_values(spark, d):
     rows, cols = _prep_input(spark, d)
-    sp = I.temporal_split(rows, TRAIN, VAL, first_target="NEXT_PTS")
-    return I.FillValues.fit(sp["train"], cols).table(spark)
+    return I.FillValues.fit(rows.where("split = 'train'"), [*cols, *TEXT]).table(spark)
 
 
 def _filled(spark, d):
     rows, cols = _prep_input(spark, d)
-    sp = I.temporal_split(rows, TRAIN, VAL, first_target="NEXT_PTS")
-    fv = I.FillValues.fit(sp["train"], cols)
-    return I.apply_fill_values(fv, {k: v.select(*KEYS, *cols) for k, v in sp.items()}, cols), cols
+    fv = I.FillValues.fit(rows.where("split = 'train'"), cols)
+    parts = {k: rows.where(F.col("split") == k).select(*KEYS, *[F.col(f"`{c}`") for c in cols])
+             for k in ("train", "val", "pred")}
+    return I.apply_fill_values(fv, parts, cols), cols
 
 
 def _union_splits(sp):
@@ -663,6 +668,7 @@ def q_apply_fill_values(spark, d):
 
 def _scaled(spark, d):
     sp, cols = _filled(spark, d)
+    sp = {k: B.replace_infinite(v, cols) for k, v in sp.items()}
     sc = I.StandardScale.fit(sp["train"], cols)
     return {k: sc.transform(v) for k, v in sp.items()}, cols
 
@@ -680,10 +686,8 @@ def q_scaling_check(spark, d):
 
 @query("prepare_training_data")
 def q_prepare_training_data(spark, d):
-    lag = B.coerce_numeric(_lagged(spark, d), ["DRAFT_ROUND", "DRAFT_NUMBER"], fill=0.0)
-    cols = _numeric_features(lag)
-    prep = I.prepare_training_data(lag, TRAIN, VAL, SPEC.targets, S.METADATA_COLS, features=cols)
-    return _union_splits({k: v.select(*KEYS, *cols) for k, v in prep.splits.items()})
+    prep = _prepared(spark, d)
+    return _union_splits({k: v.select(*KEYS, *[F.col(f"`{c}`") for c in prep.features]) for k, v in prep.splits.items()})
 
 
 # --- J: baselines and evaluation ------------------------------------------------------------
