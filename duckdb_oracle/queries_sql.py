@@ -115,6 +115,23 @@ sql("flagship_baseline_metrics", with_chain(
 # ==== A ======================================================================================
 
 sql("scan_table", "SELECT * FROM customer")
+
+
+def _csv_total(cols) -> str:
+    return "sum(" + " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in cols) + ")"
+
+
+_CSV = {"stats": ("ps", [c for c in PS_COLS if c not in ("PLAYER_NAME", "TEAM_ABBREVIATION", "SEASON")]),
+        "team": ("team", ["TEAM_ID", "GP", "W", "L", "W_PCT", "PACE", "OFF_RATING", "DEF_RATING", "NET_RATING"]),
+        "adv": ("adv", ["PLAYER_ID", "USG_PCT", "TS_PCT", "AST_PCT", "REB_PCT", "PIE"])}
+_BAD = "(DRAFT_NUMBER IS NOT NULL AND try_cast(DRAFT_NUMBER AS INTEGER) IS NULL)"
+sql("scan_table_csv", with_chain(union_all([
+    *(f"SELECT '{t}' AS \"table\", true AS present, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejects, "
+      f"{_csv_total(cols)} AS total FROM {src}" for t, (src, cols) in _CSV.items()),
+    f"SELECT 'bio', true, count(*) FILTER (WHERE NOT {_BAD}), count(*) FILTER (WHERE {_BAD}), "
+    f"sum(CASE WHEN NOT {_BAD} THEN coalesce(CAST(PERSON_ID AS DOUBLE), 0.0) + coalesce(try_cast(WEIGHT AS DOUBLE), 0.0) "
+    f"+ coalesce(try_cast(DRAFT_NUMBER AS DOUBLE), 0.0) END) FROM bio_raw",
+    "SELECT 'injuries', false, CAST(0 AS BIGINT), CAST(0 AS BIGINT), NULL"]), lagged=False))
 sql("union_period_batches", with_chain("SELECT *, 'Base' AS MEASURE_TYPE FROM ps", lagged=False))
 
 # ==== B ======================================================================================
@@ -425,6 +442,14 @@ sql("scaling_check", feats(
     *PREP_CTES, *SCALE_CTES))
 sql("prepare_training_data", feats("SELECT * FROM scaled", *PREP_CTES, *SCALE_CTES))
 
+META = ("PLAYER_NAME", "TEAM_NAME", "TEAM_ABBREVIATION", "SEASON_ORDER", "COUNTRY", "DRAFT_YEAR", "HEIGHT")
+sql("sink_prepared", feats(union_all([
+    *(f"SELECT '{p}_{k}' AS part, (SELECT count(*) FROM px WHERE split = '{k}') AS n_rows, "
+      f"CAST({n} AS BIGINT) AS n_columns, true AS same"
+      for k in ("train", "val", "pred") for p, n in (("X", 2 + len(PREP)), ("y", 2 + len(TGT)), ("metadata", 2 + len(META)))),
+    "SELECT 'fill_values', (SELECT " + " + ".join(f"CAST(z{i} > 0 AS BIGINT)" for i in range(len(PREP)))
+    + " FROM fm), CAST(3 AS BIGINT), true"]), *PREP_CTES))
+
 # ==== J ======================================================================================
 
 _lag1 = union_all(_pred_parts("Baseline_LAG1", lambda s: f"{s}_LAG1", f"SEASON = '{VAL}'"))

@@ -32,6 +32,7 @@ from ..operators import projections as N
 from ..operators import trees as TR
 from ..sources import driver_tables as T
 from ..sources import io as A
+from ..sources import model_store as MS
 from ..session import cut_lineage
 from ..spec import DEFAULT_SPEC
 from . import feature_panel as FP
@@ -125,6 +126,38 @@ def q_scan_table(spark, d):
     return A.scan_table(spark, f"{d}/customer.parquet", CUSTOMER_SCHEMA)
 
 
+#: The raw bio landing with numbers where its text says so: a line without a draft number does not fit.
+BIO_CSV = ("PERSON_ID long, DISPLAY_FIRST_LAST string, BIRTHDATE string, COUNTRY string, HEIGHT string, WEIGHT int, "
+           "POSITION string, DRAFT_YEAR string, DRAFT_ROUND string, DRAFT_NUMBER int")
+
+
+@query("scan_table_csv")
+def q_scan_table_csv(spark, d):
+    """The four raw tables written as headered CSV and read back typed; a fifth, optional one is absent."""
+    raw = FP.raw_tables(spark, d)
+    base = A.scratch_path(spark, "csv")
+    bio = raw["bio"].select(*[c.split()[0] for c in BIO_CSV.split(", ")])
+    out = None
+    for name, df, schema in (("stats", raw["stats"], None), ("bio", bio, BIO_CSV), ("team", raw["team"], None),
+                             ("adv", raw["adv"], None), ("injuries", None, "PERSON_ID long")):
+        if df is not None:
+            A.sink_table(df, f"{base}/{name}", "csv")
+        got = A.scan_csv(spark, f"{base}/{name}", schema or df.schema, optional=df is None)
+        if got is None:
+            one = spark.createDataFrame([(name, False, 0, 0, None)],
+                                        "table string, present boolean, n_rows long, n_rejects long, total double")
+        else:
+            good, bad = got
+            number = [F.col(f.name).cast("double") for f in good.schema.fields if f.dataType.simpleString() in (
+                "double", "int", "bigint")]
+            total = sum((F.coalesce(c, F.lit(0.0)) for c in number[1:]), F.coalesce(number[0], F.lit(0.0)))
+            one = (good.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(total).alias("total"))
+                   .crossJoin(bad.agg(F.count("line").alias("n_rejects")))          # one row each
+                   .select(F.lit(name).alias("table"), F.lit(True).alias("present"), "n_rows", "n_rejects", "total"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("union_period_batches")
 def q_union_period_batches(spark, d):
     stats = T.player_stats(spark, d)
@@ -150,11 +183,26 @@ def q_sink_table(spark, d):
 
 @query("sink_prepared")
 def q_sink_prepared(spark, d):
+    """Every part of the prepared set as it is read back: its rows and columns, and whether its cells are the same."""
     prep = _prepared(spark, d)
     base = A.scratch_path(spark, "prepared")
-    paths = A.sink_prepared(prep.splits, base, KEYS, prep.features, SPEC.targets, S.METADATA_COLS,
-                            extra={"fill_values": prep.fill.table(spark)})
-    return spark.read.parquet(paths["X_val"]).join(spark.read.parquet(paths["y_val"]), KEYS)
+    splits = {k: cut_lineage(v, "prepared-split") for k, v in prep.splits.items()}
+    A.sink_prepared(splits, base, KEYS, prep.features, SPEC.targets, S.METADATA_COLS,
+                    extra={"fill_values": prep.fill.table(spark)})
+    tables = A.read_committed(spark, base)
+    source = {f"{part}_{k}": v for k, v in splits.items() for part in ("X", "y", "metadata")}
+    source["fill_values"] = prep.fill.table(spark)
+    out = None
+    for name, df in tables.items():
+        def digest(rows, names=df.columns):
+            return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in names])
+                                                                .cast("decimal(38,0)")).alias("h"))
+        one = digest(df).join(digest(source[name]).select(F.col("n").alias("m"), F.col("h").alias("g")))     # a row each
+        one = one.select(F.lit(name).alias("part"), F.col("n").alias("n_rows"),
+                         F.lit(len(df.columns)).cast("long").alias("n_columns"),
+                         (F.col("n").eqNullSafe(F.col("m")) & F.col("h").eqNullSafe(F.col("g"))).alias("same"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("sink_metrics_json")
@@ -166,13 +214,16 @@ def q_sink_metrics_json(spark, d):
 
 @query("model_store")
 def q_model_store(spark, d):
-    prep = _prepared(spark, d)
-    tr = K.assemble(prep.splits["train"], prep.features)
-    m = K.LinearRegression(featuresCol="features", labelCol="NEXT_PTS", regParam=0.1).fit(tr)
-    paths = A.model_store_save({"linear_NEXT_PTS": m}, A.scratch_path(spark, "models"))
-    paths["absent"] = paths["linear_NEXT_PTS"] + "-missing"
-    loaded = A.model_store_load(paths)
-    return K.predict_all(loaded, K.assemble(prep.splits["val"], prep.features), "NEXT_PTS", SPEC)
+    """A chain fitted for all targets, stored, loaded (one family that was never stored is skipped), and applied to
+    rows of the lagged panel."""
+    lag = _lagged_materialized(spark, d)
+    categories = D.position_categories(_train(lag))
+    prep = I.prepare_training_data(FP.add_features(lag, categories), TRAIN, VAL, SPEC.targets, S.METADATA_COLS)
+    train = K.contiguous_folds(prep.splits["train"], 3, KEYS)
+    models = BM.fit_base_models(train, prep.features, SPEC.targets, "fold", spec=SPEC)
+    base = MS.save_chain(spark, MS.FittedChain(categories, prep.features, prep.fill, prep.scale, models),
+                         A.scratch_path(spark, "models"))
+    return MS.load_chain(spark, base, [*BM.NAMES, "NeuralNet"]).predict(_val(lag).where(F.col("NEXT_PTS").isNotNull()), SPEC)
 
 
 # --- B: projection, predicates, cleaning -------------------------------------------
