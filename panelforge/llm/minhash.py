@@ -38,6 +38,8 @@ from .shingles import shingle_sets
 COLLECTIONS = ((14, 4), (11, 3))
 #: Members of a block of pairs (twice), bins of a set's sketch, and pairs looked at together.
 CHUNK, BINS, SLAB = 256, 256, 1 << 19
+#: Bytes of text whose shingles are made together.
+_SLICE = 1 << 19
 _RNG = np.random.default_rng(711)
 _N = sum(m * r for m, r in COLLECTIONS)
 _A = _RNG.integers(0, 1 << 63, _N, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,7 +73,7 @@ def signatures(df: DataFrame, id_col: str, text: str, width: int) -> DataFrame:
     rows = df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", _SLICE):
             sets = list(shingle_sets(b.column("text"), width))
             full = [s for s in sets if len(s)]
             halves = iter(_half_keys(full).tolist() if full else ())
@@ -91,7 +93,7 @@ def _sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text: str, width: in
     rows = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("nid", "digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", _SLICE):
             got = [(n, s) for n, d, s in zip(b.column("nid").to_pylist(), b.column("digest").to_pylist(),
                                             shingle_sets(b.column("text"), width), strict=True)
                    if len(s) and _digest(s) == d]
@@ -197,6 +199,23 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(run, "x long, y long")
 
 
+def _table_keys(nodes: DataFrame) -> DataFrame:
+    """(nid, key) of the tables in which a node can meet another.
+
+    A table key is held twice only if both of its half keys are, so half keys are counted first, 25 rows a node in
+    place of 154, and only those that several nodes hold are paired.
+    """
+    m = COLLECTIONS[0][0]
+    half = nodes.select("nid", F.posexplode("halves").alias("h", "v"))
+    several = half.groupBy("h", "v").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", "v")
+    held = half.join(several, ["h", "v"]).groupBy("nid").agg(F.collect_list(F.struct("h", "v")).alias("halves"))
+    first = F.filter("halves", lambda x: x["h"] < m)
+    second = F.filter("halves", lambda x: x["h"] >= m)
+    return (held.select("nid", F.explode(first).alias("a"), second.alias("second"))
+            .select("nid", "a", F.explode("second").alias("b"))
+            .select("nid", F.xxhash64("a.h", "b.h", "a.v", "b.v").alias("key")))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
                     ) -> DataFrame:
     """id, n_shingles, component_id, kept for every row of ``df``.
@@ -214,10 +233,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
         signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"),
                                                                   F.min("halves").alias("halves"))
         .withColumn("nid", F.monotonically_increasing_id()), "nodes")      # fixed by being written
-    m, n = (k for k, _ in COLLECTIONS)
-    entries = (nodes.select("nid", F.posexplode(F.slice("halves", 1, m)).alias("i", "a"), "halves")
-               .select("nid", "i", "a", F.posexplode(F.slice("halves", m + 1, n)).alias("j", "b"))
-               .select("nid", F.xxhash64("i", "j", "a", "b").alias("key")))
+    entries = _table_keys(nodes)
     heads = entries.groupBy("key").agg(F.min("nid").alias("head"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     shared = cut_lineage(entries.join(heads, "key"), "buckets")
 
@@ -238,13 +254,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
                                     F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     reach = F.lit((100 - percent) / 100 + 1e-9)
     far = stars.select(F.col("x").alias("nid"), F.col("y").alias("head"), "distance")
-    mixed = placed.filter("nid != head").join(main, "key").join(far, ["nid", "head"])
-    mixed = cut_lineage(mixed.select("key", "nid", "root", (F.col("root") == F.col("main")).alias("inner"), "distance"),
-                        "mixed")
-    near = mixed.filter("not inner").groupBy("key").agg((F.min("distance") - reach).alias("low"),
-                                                        (F.max("distance") + reach).alias("high"))
-    close = mixed.filter("inner").join(near, "key").filter("distance between low and high").select(*mixed.columns)
-    taking = mixed.filter("not inner").unionByName(close).select("nid", "root").distinct()
+    # by head and node, as the distance is theirs: a range over all buckets of a head is no narrower than that of one
+    mixed = placed.filter("nid != head").join(main, "key").groupBy("head", "nid", "root").agg(
+        F.max(F.col("root") != F.col("main")).alias("outer"))
+    mixed = cut_lineage(mixed.join(far, ["nid", "head"]).select("head", "nid", "root", "outer", "distance"), "mixed")
+    near = mixed.filter("outer").groupBy("head").agg((F.min("distance") - reach).alias("low"),
+                                                     (F.max("distance") + reach).alias("high"))
+    close = mixed.filter("not outer").join(near, "head").filter("distance between low and high").select(*mixed.columns)
+    taking = mixed.filter("outer").unionByName(close).select("nid", "root").distinct()
     taking = cut_lineage(taking.join(nodes.select("nid", "halves"), "nid").join(
         _sketches(sets.join(taking.select("nid"), "nid")), "nid"), "members")
     more = cut_lineage(_cross_pairs(taking, percent).join(stars.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
