@@ -43,13 +43,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7 on five-word shingles and similarity 0.8: of each group the smallest doc_id stays, and of rows alike
-    in doc_id and text one."""
-    docs = docs.select(*COLUMNS)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    kept = minhash.near_duplicates(docs, width=5, percent=80).filter("kept").select(key.alias("kept_id")).distinct()
-    docs = docs.withColumns({"kept_id": key, "sig": F.xxhash64(text_of("text"))}).join(kept, "kept_id", "left_semi")
-    copy = F.row_number().over(W.partitionBy("kept_id", "sig").orderBy("sig"))
+    """Operator 7 on five-word shingles and similarity 0.8: of each group the smallest doc_id stays (null is the
+    largest), and of rows alike in doc_id and text one.
+
+    A row is known by its doc_id and a digest of its text, as ids may be null or repeated.
+    """
+    row_id = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                      F.md5(text_of("text")).alias("sig"))
+    docs = docs.select(*COLUMNS).withColumn("row_id", row_id)
+    kept = minhash.near_duplicates(docs, id_col="row_id", width=5, percent=80).filter("kept")
+    docs = docs.join(kept.select("row_id").distinct(), "row_id", "left_semi")
+    copy = F.row_number().over(W.partitionBy("row_id").orderBy(F.md5(F.concat_ws("\x1f", "lang", "source", "n_chars"))))
     return docs.withColumn("copy", copy).filter("copy = 1").select(*COLUMNS)
 
 
