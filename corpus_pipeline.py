@@ -67,8 +67,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: token ids of every text, decoded again and compared with it."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = docs.select(*COLUMNS).withColumn("text_sha256", F.sha2(text_of("text"), 256))
-    ids = bpe.encode_texts(rows, vocabulary, public_tokenizers.PATTERN).withColumn("ids", F.col("token_ids"))
-    out = bpe.decode_ids(ids, vocabulary, ids="ids", text="decoded")
+    out = bpe.round_trip(rows, vocabulary, public_tokenizers.PATTERN)
     return out.select("doc_id", "lang", "source", "n_chars", F.size("token_ids").cast("long").alias("n_tokens"),
                       "token_ids", "text_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
 

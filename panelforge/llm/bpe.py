@@ -374,3 +374,27 @@ def decode_ids(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str
     names = [f.name for f in kept]
     return df.select(*[df[f"`{n}`"] for n in names], df[f"`{ids}`"]).mapInArrow(
         run, T.StructType([*kept, T.StructField(text, T.StringType())]))
+
+
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "token_ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``df`` with the ids of each whole text and the text that they decode to, both in place of ``text``.
+
+    One Python worker a task encodes and decodes, with the results of ``encode_texts`` and ``decode_ids``.  Columns of
+    ``df`` named as the new ones, in any case, are replaced; all others are kept.
+    """
+    data = load_vocabulary(df, vocabulary)
+    gone = {text.lower(), ids.lower(), decoded.lower()}
+    kept = [f for f in df.schema.fields if f.name.lower() not in gone]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _made(Encoder, data, pattern), _made(Decoder, data)
+        for batch in slices(batches, "__text"):
+            found = [encoder(x.as_py()) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(found, pa.list_(pa.int32())),
+                 pa.array([decoder(x) for x in found], pa.string())], names=[*(f.name for f in kept), ids, decoded])
+
+    rows = df.select(df[f"`{text}`"].alias("__text"), *[df[f"`{f.name}`"] for f in kept])
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())),
+                                              T.StructField(decoded, T.StringType())]))

@@ -61,11 +61,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    ids = bpe.encode_texts(docs, vocabulary, public_tokenizers.PATTERN)
+    out = bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
     listed = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
-    ids = ids.withColumns({"n_tokens": F.size("token_ids").cast("long"), "ids_sha256": F.sha2(listed, 256)})
-    texts = bpe.decode_ids(ids, vocabulary)
-    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def file_paths(docs: DataFrame) -> DataFrame:

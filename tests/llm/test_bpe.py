@@ -72,3 +72,15 @@ def test_frames(spark, docs, clashing, empty, reference):
 def test_vocabulary_must_have_all_bytes():
     with pytest.raises(ValueError):
         bpe.Encoder(bpe.read_ranks(base64.b64encode(b"a") + b" 0"), P.PATTERN)
+
+
+def test_round_trip_equals_encoding_and_decoding(spark, docs):
+    path, pattern = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    rows = docs.selectExpr("*", "1 as TOKEN_IDS", "2 as Decoded", "3 as kept")
+    both = bpe.round_trip(rows, path, pattern)
+    assert both.columns == ["doc_id", "lang", "source", "n_chars", "kept", "token_ids", "decoded"]
+    ids = bpe.encode_texts(docs, path, pattern)
+    apart = sorted(map(str, ids.select("doc_id", "token_ids").collect()))
+    assert sorted(map(str, both.select("doc_id", "token_ids").collect())) == apart
+    want = sorted(str((r["doc_id"], r["text"] or "")) for r in docs.collect())
+    assert sorted(str((r["doc_id"], r["decoded"])) for r in both.collect()) == want
