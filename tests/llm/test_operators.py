@@ -321,6 +321,9 @@ def test_exact_dedup_keeps_its_state(spark, tmp_path):
 def test_empty_tables(spark, empty, tmp_path):
     path = str(tmp_path / "documents.parquet")
     empty.write.parquet(path)
+    for table, schema in (("labels", "doc_id long, quality int, toxic int"), ("embeddings", "vec_id long, embedding array<float>"),
+                          ("conversations", "conv_id long, turn long, role string, text string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{table}.parquet"))
     for name, query in queries.QUERIES.items():
         assert query(spark, str(tmp_path)).count() == 0, name
 
