@@ -371,7 +371,16 @@ sql("lag_features_user_day",
 
 for fam in FS.DERIVED + FS.AVAIL:
     sql(fam, chain(f"SELECT PLAYER_ID, SEASON, {FS.select_list([fam])} FROM chain"))
+_TOV = FS.rdiv("TOV", "FGA + 0.44 * FTA + TOV")
+_AST = FS.rdiv("AST", "FGA + 0.44 * FTA - OREB_PCT * (FGA - FGM) + TOV")
 sql("team_derived_stats", with_chain(
+    f"SELECT TEAM_ID, SEASON, {FS.rdiv('PTS', '2.0 * (FGA + 0.44 * FTA)')} AS TS_PCT, "
+    f"{FS.rdiv('FG3A', 'FGA')} AS FG3A_RATE, 100.0 * ({_AST}) AS AST_RATIO, 100.0 * ({_TOV}) AS TOV_RATE, "
+    "OREB_PCT AS REB_PCT FROM box",
+    "box AS (SELECT 1610612700 + CAST(TEAM_ABBREVIATION AS BIGINT) AS TEAM_ID, SEASON, " + ", ".join(
+        f"round(avg({c}), 10) AS {c}" for c in ("PTS", "AST", "TOV", "FGM", "FGA", "FG3A", "FTA"))
+    + ", round(avg(FG3_PCT), 10) AS OREB_PCT FROM ps GROUP BY ALL)", lagged=False))
+sql("team_derived_stats_players", with_chain(
     f"SELECT PLAYER_ID, SEASON, {FS.rdiv('PTS', '2.0 * (FGA + 0.44 * FTA)')} AS TS_PCT, "
     f"{FS.rdiv('FG3A', 'FGA')} AS FG3A_RATE, 100.0 * ({FS.rdiv('TOV', 'FGA + 0.44 * FTA + TOV')}) AS TOV_RATE "
     f"FROM ps", lagged=False))
@@ -395,8 +404,9 @@ sql("drop_constant_features", feats(
     "cst AS (SELECT n, count(*) AS nd, sum(k) AS nn, max(k) AS top FROM (SELECT n, v, count(*) AS k FROM up "
     "GROUP BY n, v) GROUP BY n)"))
 _SEP_FEATURES = [c for c in FEAT_COLS if c not in TGT_META]
-sql("separate_columns", feats("SELECT PLAYER_ID, SEASON, " + ", ".join(TGT) + ", "
-                              + ", ".join(qi(c) for c in _SEP_FEATURES) + " FROM feats"))
+_SEP_METADATA = [c for c in FEAT_COLS if c in set(S.METADATA_COLS)]
+sql("separate_columns", feats("SELECT " + ", ".join(qi(c) for c in [*_SEP_METADATA, *TGT, *_SEP_FEATURES])
+                              + " FROM feats"))
 sql("split_has_target", chain(
     "SELECT PLAYER_ID, SEASON, CASE WHEN NEXT_PTS IS NOT NULL THEN 'train' ELSE 'pred' END AS part FROM chain"))
 
@@ -481,6 +491,11 @@ BEST_CTE = ("best AS (SELECT target, model AS best_model, MAE AS best_MAE FROM m
 sql("best_model_per_target", chain("SELECT * FROM best", *BASE_CTES, metrics_cte(), BEST_CTE))
 sql("wins_by_approach", chain("SELECT best_model AS approach, count(*) AS wins FROM best GROUP BY best_model",
                               *BASE_CTES, metrics_cte(), BEST_CTE))
+sql("wins_with_ties", chain(
+    "SELECT model AS approach, CAST(sum(CASE WHEN round(MAE, 12) = least THEN 1 ELSE 0 END) AS BIGINT) AS wins, "
+    "count(*) AS n_targets, avg(MAE) AS avg_MAE, avg(R2) AS avg_R2 FROM (SELECT *, min(round(MAE, 12)) OVER "
+    "(PARTITION BY target) AS least FROM metrics WHERE MAE IS NOT NULL) GROUP BY model",
+    *BASE_CTES, metrics_cte()))
 sql("best_overall_approach", chain(
     "SELECT model AS best_approach, avg_MAE AS best_avg_MAE FROM (SELECT model, avg(MAE) AS avg_MAE FROM metrics "
     f"GROUP BY model) ORDER BY round(avg_MAE, 12), {_order_case(BASELINES)}, model LIMIT 1", *BASE_CTES, metrics_cte()))
@@ -557,6 +572,18 @@ sql("rank_projections", chain(
 sql("projection_summary", chain(
     "SELECT count(*) AS n_projected, " + ", ".join(f"avg({s}) AS avg_{s}" for s in TARGET_STATS) + " FROM proj",
     PROJ_CTE))
+_FPJ = FP_EXPR.format(fgm="(FGA * FG_PCT)", ftm="(FTA * FT_PCT)")
+_BOARD = [*TARGET_STATS, "FANTASY_POINTS"]
+sql("projection_board", chain(
+    "SELECT 'board' AS section, CAST(r AS INTEGER) AS rank, PLAYER_ID, PLAYER_NAME, stat, value FROM top, "
+    "LATERAL (VALUES " + ", ".join(f"('{s}', CAST({s} AS DOUBLE))" for s in _BOARD) + ") v(stat, value) UNION ALL "
+    "SELECT 'league', NULL, NULL, NULL, stat, value FROM (SELECT CAST(count(*) AS DOUBLE) AS n_projected, "
+    + ", ".join(f"avg({s}) AS {s}" for s in _BOARD) + " FROM pf) a, LATERAL (VALUES "
+    + ", ".join(f"('{s}', CAST({s} AS DOUBLE))" for s in ["n_projected", *_BOARD]) + ") v(stat, value)",
+    f"pf AS (SELECT *, {_FPJ} AS FANTASY_POINTS FROM (SELECT PLAYER_ID, PLAYER_NAME, "
+    + ", ".join(TARGET_STATS) + " FROM chain WHERE NEXT_PTS IS NULL))",
+    "top AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY FANTASY_POINTS DESC NULLS LAST, PLAYER_ID) AS r "
+    "FROM pf) WHERE r <= 10)"))
 BT = ("PTS", "REB", "AST", "STL", "BLK", "TOV", "FGA", "FTA")
 sql("backtest_accuracy", with_chain(
     "SELECT stat, count(*) AS n, avg(abs(p - a)) AS MAE, avg(p - a) AS bias, "

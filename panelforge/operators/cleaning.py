@@ -12,6 +12,7 @@ from .. import spec as S
 from ..functions import cols_if_present, contains_ci, parse_height as _parse_height_expr
 from ..functions import period_label as _period_label_expr
 from ..functions import replace_inf
+from .bounded import join_small
 from .quantiles import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -94,7 +95,7 @@ def fill_period_mean(df: DataFrame, period: str = "SEASON",
     if not cols:
         return df
     means = df.groupBy(period).agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
-    j = df.join(means, period, "left")
+    j = join_small(df, means, [period], derived=True)
     return j.select(*[F.coalesce(F.col(c), F.col(f"__mean_{c}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 
@@ -143,15 +144,14 @@ def map_lookup(df: DataFrame, lookup: DataFrame | Mapping[str, str], code: str,
     """Map a code to a name; unmapped -> null.
 
     A Python mapping (a fixed small table) becomes an inline ``map`` literal;
-    a DataFrame lookup is a left join whose strategy AQE picks from its size.
+    a DataFrame lookup is a left join, broadcast up to a measured size (:mod:`bounded`).
     """
     if isinstance(lookup, Mapping):
         m = F.create_map(*[x for k, v in lookup.items() for x in (F.lit(k), F.lit(v))])
         return df.withColumn(out, m[F.col(code)])
-    lk = lookup.select(F.col(lookup_code).alias("__code"), F.col(lookup_name).alias(out))
-    lk = lk.dropDuplicates(["__code"])
+    lk = lookup.groupBy(F.col(lookup_code).alias(code)).agg(F.min(lookup_name).alias(out))
     base = df.drop(out) if out in df.columns else df
-    return base.join(lk, base[code] == lk["__code"], "left").drop("__code")
+    return join_small(base, lk, [code]).select(*base.columns, out)
 
 
 def period_label(df: DataFrame, year: str, out: str = "SEASON") -> DataFrame:

@@ -180,8 +180,8 @@ def team_derived_stats(df: DataFrame) -> DataFrame:
         elif has(cs, "TOV", "FGA", "FTA"):
             den = f"{c('FGA')} + 0.44D * {c('FTA')} + {c('TOV')}"
             cs.add("TOV_RATE", f"100.0D * {X.raw_div(c('TOV'), den)}")
-    if not has(cs, "REB_PCT") and has(cs, "OREB", "DREB", "REB"):
-        cs.add("REB_PCT", X.raw_div(f"{c('OREB')} + {c('DREB')}", c("REB")))
+    if not has(cs, "REB_PCT") and has(cs, "OREB_PCT"):
+        cs.add("REB_PCT", c("OREB_PCT"))
     return done(cs)
 
 

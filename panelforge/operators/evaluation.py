@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import cols_if_present, has
 from ..spec import DEFAULT_SPEC, PanelSpec
+from .bounded import join_small
 from .quantiles import exact_quantiles
 
 
@@ -83,21 +84,28 @@ def baseline_group_average(val: DataFrame, train: DataFrame, spec: PanelSpec = D
     if not has(val, group):
         return to_long(val, [(t, F.lit(med[(t, 0.5)])) for t, _ in pairs], model, spec)
     means = group_mean_train(train, [s for _, s in pairs], group).where(F.col(group).isNotNull())
-    means = means.select(F.col(group).alias("__g"), *[F.col(s).alias(f"__gm_{s}") for _, s in pairs])
-    j = val.join(means, val[group] == means["__g"], "left")
+    means = means.select(group, *[F.col(s).alias(f"__gm_{s}") for _, s in pairs])
+    j = join_small(val, means, [group], derived=True)
     preds = [(t, F.coalesce(F.col(f"__gm_{s}"), F.lit(med[(t, 0.5)]))) for t, s in pairs]
     return to_long(j, preds, model, spec)
 
 
+def _scored(pred: DataFrame) -> DataFrame:
+    """Rows with both values, where NaN counts as missing."""
+    ok = F.lit(True)
+    for c in ("prediction", "actual"):
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return pred.where(ok)
+
+
 def regression_metrics(pred: DataFrame, by: Sequence[str] = ("model", "target")) -> DataFrame:
     """MAE, RMSE, R2, MAPE per (model, target) over rows where both values exist.
 
     MAPE (x100) skips zero actuals.  SST is n * population variance of the
     actuals, so R2 = 1 - SSE / SST (null when SST = 0).
     """
-    ok = pred.where(F.col("prediction").isNotNull() & F.col("actual").isNotNull() & ~F.isnan("prediction"))
     e = F.col("actual") - F.col("prediction")
-    return ok.groupBy(*by).agg(
+    return _scored(pred).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(e)).alias("MAE"),
         F.sqrt(F.avg(e * e)).alias("RMSE"),
@@ -109,8 +117,7 @@ def regression_metrics(pred: DataFrame, by: Sequence[str] = ("model", "target"))
 def mape(pred: DataFrame, by: Sequence[str] = ("model", "target")) -> DataFrame:
     """Mean absolute percentage error x100; zero actuals excluded."""
     e = F.col("actual") - F.col("prediction")
-    ok = pred.where(F.col("prediction").isNotNull() & F.col("actual").isNotNull())
-    return ok.groupBy(*by).agg((F.avg(F.abs(F.try_divide(e, F.nullif(F.col("actual"), F.lit(0.0))))) * 100).alias("MAPE"))
+    return _scored(pred).groupBy(*by).agg((F.avg(F.abs(F.try_divide(e, F.nullif(F.col("actual"), F.lit(0.0))))) * 100).alias("MAPE"))
 
 
 def metrics_summary(metrics: DataFrame) -> DataFrame:
@@ -166,6 +173,19 @@ def wins_by_approach(best: DataFrame, col: str = "best_model") -> DataFrame:
     return best.groupBy(F.col(col).alias("approach")).agg(F.count(F.lit(1)).alias("wins"))
 
 
+def wins_with_ties(metrics: DataFrame, metric: str = "MAE") -> DataFrame:
+    """Targets on which no approach is better, for each approach: a tie counts for all that share it.
+
+    Nulls and NaN are left out; the means are over the targets that an approach has a metric for.
+    """
+    m = metrics.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric)))
+    least = F.min(_tie_key(F.col(metric))).over(Window.partitionBy("target"))      # one row for each approach
+    m = m.withColumn("__won", (_tie_key(F.col(metric)) == least).cast("long"))
+    return m.groupBy(F.col("model").alias("approach")).agg(
+        F.sum("__won").alias("wins"), F.count(F.lit(1)).alias("n_targets"),
+        F.avg(metric).alias(f"avg_{metric}"), F.avg("R2").alias("avg_R2"))
+
+
 def best_overall_approach(metrics: DataFrame, metric: str = "MAE", model_order: Sequence[str] | None = None) -> DataFrame:
     """Approach with the least mean ``metric`` over targets (one row)."""
     avg = metrics.groupBy("model").agg(F.avg(metric).alias(f"avg_{metric}"))

@@ -1,6 +1,7 @@
 """Joins (family C): all equi left joins on (entity, period) or entity.
 
-Join strategy is left to Catalyst + AQE: a side whose runtime size is under
+Sides keyed by season, team or group go through :func:`bounded.join_small`.
+Elsewhere join strategy is left to Catalyst + AQE: a side whose runtime size is under
 ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, anything larger is a
 sort-merge join, and AQE splits skewed partitions.  Only fixed lookup
 tables (a handful of codes) are inlined as map literals.
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import spec as S
 from ..functions import cols_if_present
 from ..spec import DEFAULT_SPEC, PanelSpec
+from .bounded import join_small
 from .cleaning import dedup_keep_first, filter_min_games, map_lookup, prefix_columns
 
 
@@ -68,7 +70,7 @@ def join_team_context(panel: DataFrame, team: DataFrame, lookup: DataFrame | Map
     cols = cols_if_present(team, list(S.TEAM_COLS) + list(S.TEAM_OPTIONAL_COLS))
     sub = prefix_columns(team.select(*cols), "TEAM_", keep=("TEAM_NAME", spec.period))
     df = map_lookup(panel, lookup, abbrev, "TEAM_NAME")
-    return df.join(sub, ["TEAM_NAME", spec.period], "left")
+    return join_small(df, sub, ["TEAM_NAME", spec.period])
 
 
 def join_advanced(panel: DataFrame, adv: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -101,9 +103,9 @@ def build_master_panel(stats: DataFrame, bio: DataFrame | None = None, team: Dat
 def join_group_average(df: DataFrame, group_means: DataFrame, group: str, value: str,
                        fallback: float | None) -> DataFrame:
     """Attach a group mean to each row; unmatched or null group -> ``fallback``."""
-    gm = group_means.select(F.col(group).alias("__g"), F.col(value).alias("__gm"))
-    j = df.join(gm, df[group] == gm["__g"], "left")
-    return j.withColumn(value, F.coalesce(F.col("__gm"), F.lit(fallback).cast("double"))).drop("__g", "__gm")
+    gm = group_means.select(group, F.col(value).alias("__gm"))
+    j = join_small(df, gm, [group], derived=True).select(*df.columns, "__gm")
+    return j.withColumn(value, F.coalesce(F.col("__gm"), F.lit(fallback).cast("double"))).drop("__gm")
 
 
 def join_metrics_by_target(metrics: DataFrame, metric: str = "MAE", models: Sequence[str] | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -69,6 +69,30 @@ def projection_summary(df: DataFrame, stats: Sequence[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_projected"), *[F.avg(s).alias(f"avg_{s}") for s in stats])
 
 
+def projection_board(df: DataFrame, stats: Sequence[str], k: int = 10, score: str = "FANTASY_POINTS",
+                     entity: str = "PLAYER_ID", name: str = "PLAYER_NAME") -> DataFrame:
+    """The summary report in long form: the best ``k`` rows by ``score`` and the league's averages.
+
+    Rows ``board`` carry place, entity, name and one statistic (the score included); rows ``league`` carry the mean of
+    a statistic over all projected rows, and ``n_projected``.  Equal scores are placed by entity.
+    """
+    report = ["section", "rank", entity, name, "stat", "value"]
+
+    def long(values: dict) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), v.cast("double").alias("value"))
+                                   for s, v in values.items()])).alias("__e")
+
+    top = rank_projections(df, score, k, (entity,))
+    board = top.select(F.lit("board").alias("section"), F.col("RANK").cast("int").alias("rank"), entity, name,
+                       long({s: F.col(s) for s in (*stats, score)})).select("*", "__e.*")
+    league = df.agg(F.count(F.lit(1)).alias("n_projected"), *[F.avg(s).alias(s) for s in (*stats, score)])
+    league = league.select(F.lit("league").alias("section"), F.lit(None).cast("int").alias("rank"),
+                           F.lit(None).cast(df.schema[entity].dataType).alias(entity),
+                           F.lit(None).cast(df.schema[name].dataType).alias(name),
+                           long({s: F.col(s) for s in ("n_projected", *stats, score)})).select("*", "__e.*")
+    return board.select(*report).unionByName(league.select(*report))
+
+
 def backtest_accuracy(proj: DataFrame, actual: DataFrame, stats: Sequence[str], entity: str = "PLAYER_ID") -> DataFrame:
     """Projections inner-joined to realised stats on entity: MAE, bias (pred - actual), MAPE per stat."""
     p = proj.select(entity, *[F.col(s).alias(f"p_{s}") for s in stats])

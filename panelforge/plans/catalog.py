@@ -160,10 +160,13 @@ def q_scan_table_csv(spark, d):
 
 @query("union_period_batches")
 def q_union_period_batches(spark, d):
+    """Seasons landed as one batch each, in one pass, and read back; a season that was not fetched is skipped."""
     stats = T.player_stats(spark, d)
-    labels = list(T.season_ordinals())
-    batches = {lab: stats.where(F.col("SEASON") == lab).drop("SEASON") for lab in labels}
-    batches["1994-95"] = None                 # a failed fetch: skipped
+    base = A.scratch_path(spark, "batches")
+    A.sink_table(stats.withColumnRenamed("SEASON", "batch"), base, partition_by=["batch"])
+    schema = stats.drop("SEASON").schema
+    batches = {lab: A.scan_table(spark, f"{base}/batch={lab}", schema, optional=True)
+               for lab in ("1994-95", *T.season_ordinals())}
     return A.union_period_batches(batches, "SEASON", {"MEASURE_TYPE": "Base"})
 
 
@@ -612,6 +615,14 @@ for _name, _fn in {
 
 @query("team_derived_stats")
 def q_team_derived_stats(spark, d):
+    t = T.team_box(spark, d)
+    out = D.team_derived_stats(t)
+    return out.select("TEAM_ID", "SEASON", *[c for c in out.columns if c not in t.columns])
+
+
+@query("team_derived_stats_players")
+def q_team_derived_stats_players(spark, d):
+    """The same ratios where the table has no offensive rebounds."""
     s = T.player_stats(spark, d)
     return _added(s, D.team_derived_stats(s))
 
@@ -645,8 +656,8 @@ def q_drop_constant_features(spark, d):
 
 @query("separate_columns")
 def q_separate_columns(spark, d):
-    parts = P.separate_columns(_featured(spark, d), SPEC.targets, S.METADATA_COLS, keys=KEYS)
-    return parts["targets"].join(parts["features"], KEYS)
+    parts = P.separate_columns(_featured_materialized(spark, d), SPEC.targets, S.METADATA_COLS, keys=KEYS)
+    return parts["targets"].join(parts["features"], KEYS).join(parts["metadata"], KEYS)
 
 
 @query("validate_types")
@@ -800,6 +811,11 @@ def q_wins_by_approach(spark, d):
     return J.wins_by_approach(J.best_model_per_target(_baseline_metrics(spark, d), BASELINES))
 
 
+@query("wins_with_ties")
+def q_wins_with_ties(spark, d):
+    return J.wins_with_ties(_baseline_metrics(spark, d))
+
+
 @query("best_overall_approach")
 def q_best_overall_approach(spark, d):
     return J.best_overall_approach(_baseline_metrics(spark, d), "MAE", BASELINES)
@@ -1030,6 +1046,12 @@ def q_projection_summary(spark, d):
     return N.projection_summary(_projections(spark, d), list(S.TARGET_STATS))
 
 
+@query("projection_board")
+def q_projection_board(spark, d):
+    rows = _lagged(spark, d).where(F.col("NEXT_PTS").isNull()).select(*KEYS, "PLAYER_NAME", *S.TARGET_STATS)
+    return N.projection_board(cut_lineage(N.fantasy_points(rows), "projections"), list(S.TARGET_STATS))
+
+
 @query("backtest_accuracy")
 def q_backtest_accuracy(spark, d):
     m = _master(spark, d)

@@ -231,6 +231,15 @@ def team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_landed
+def team_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box averages of a team-season, without the ratios that ``team_derived_stats`` adds."""
+    g = player_stats(spark, sf_dir).groupBy("TEAM_ABBREVIATION", "SEASON").agg(
+        *[F.round(F.avg(c), PRECISION).alias(c) for c in ("PTS", "AST", "TOV", "FGM", "FGA", "FG3A", "FTA")],
+        F.round(F.avg("FG3_PCT"), PRECISION).alias("OREB_PCT"))
+    return g.withColumn("TEAM_ID", F.lit(1610612700) + F.col("TEAM_ABBREVIATION").cast("long")).drop("TEAM_ABBREVIATION")
+
+
 @_landed
 def team_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code, name) lookup for team abbreviations; two nation codes left unmapped."""
