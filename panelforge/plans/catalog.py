@@ -231,14 +231,9 @@ def q_model_store(spark, d):
 
 # --- B: projection, predicates, cleaning -------------------------------------------
 
-PLAYER_KEEP = ("PLAYER_ID", "PLAYER_NAME", "TEAM_ID", "TEAM_ABBREVIATION", "AGE", "GP", "MIN", "PTS", "REB",
-               "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA",
-               "FT_PCT", "SEASON")
-
-
 @query("project_existing")
 def q_project_existing(spark, d):
-    return B.project_existing(T.player_stats(spark, d), PLAYER_KEEP)
+    return B.project_existing(T.player_stats(spark, d), S.PLAYER_KEEP)
 
 
 @query("rename_map")

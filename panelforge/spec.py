@@ -88,6 +88,11 @@ FANTASY_WEIGHTS = {
 # Games in the three shortened seasons (documented); others use MAX_GAMES.
 SHORT_SEASON_GAMES = {"2011-12": 66, "2019-20": 63, "2020-21": 72}
 
+# Fixed value: columns of the raw player table that are kept.
+PLAYER_KEEP = ("PLAYER_ID", "PLAYER_NAME", "TEAM_ID", "TEAM_ABBREVIATION", "AGE", "GP", "MIN", "PTS", "REB",
+               "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA",
+               "FT_PCT", "SEASON")
+
 
 @dataclass(frozen=True)
 class PanelSpec:
