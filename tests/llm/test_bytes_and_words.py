@@ -8,7 +8,7 @@ import pyarrow as pa
 
 from panelforge.llm.line_dedup import patience_blocks
 from panelforge.llm.shingles import shingle_sets, word_hashes
-from panelforge.llm.suffixes import anchors, common_prefixes, suffix_array
+from panelforge.llm.suffixes import anchors, common_prefixes, deciding, suffix_array
 
 
 def test_suffix_array_and_prefixes():
@@ -35,15 +35,25 @@ def test_equal_strings_have_equal_anchors():
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.cumsum([0, *map(len, texts)])
     at, h = anchors(data, offsets, 50)
-    seen = set()
-    for t, a in zip(texts, offsets[:-1], strict=True):
-        p = t.find(passage)
-        inside = {(int(x) - int(a) - p, int(y)) for x, y in zip(at, h, strict=True)
-                  if p >= 0 and a + p <= x <= a + p + 30}
-        if p >= 0:
-            seen.add(min((y, x) for x, y in inside))
-    assert len(seen) == 1
-    assert not any(offsets[-2] <= x < offsets[-1] for x in at)
+    first, last = deciding(at, h, offsets, 50)
+    place, decided = {}, []
+    for x, y, i, j in zip(at.tolist(), h.tolist(), first.tolist(), last.tolist(), strict=True):
+        for k in range(i, j + 1):                       # each string's anchor and its place depend on the string only
+            decided.append(k)
+            assert place.setdefault(bytes(data[k:k + 50]), (y, x - k)) == (y, x - k)
+    starts = [k for a, b in zip(offsets, offsets[1:], strict=False) for k in range(a, b - 49)]
+    assert sorted(decided) == starts and passage in place
+
+
+def test_anchors_do_not_depend_on_blocks(monkeypatch):
+    from panelforge.llm import suffixes
+
+    rng = random.Random(6)
+    texts = [b"ab" * 90 + bytes(rng.randrange(97, 101) for _ in range(rng.randint(0, 400))) for _ in range(20)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = anchors(data, offsets, 50)
+    monkeypatch.setattr(suffixes, "_BLOCK", 256)
+    assert all((x == y).all() for x, y in zip(whole, anchors(data, offsets, 50), strict=True))
 
 
 def test_word_and_shingle_hashes():
