@@ -45,12 +45,11 @@ def _sums(weight: Column) -> list[Column]:
 def _fingerprint(parts: Column) -> Column:
     """The sums as hexadecimal text: identity lanes, count, likeness lanes (two a long)."""
     word = lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")             # noqa: E731
-    half = lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(0xFFFF))), 4, "0")                 # noqa: E731
     n = HASHES * 32
     return F.lower(F.concat(
         F.array_join(F.transform(F.slice(parts, 1, IDENTITY), word), ""), word(F.element_at(parts, -1)),
-        F.array_join(F.transform(F.slice(parts, IDENTITY + 1, n), half), ""),
-        F.array_join(F.transform(F.slice(parts, IDENTITY + 1, n), lambda x: half(F.shiftrightunsigned(x, 32))), "")))
+        F.array_join(F.transform(F.slice(parts, IDENTITY + 1, n), word), ""),
+        F.array_join(F.transform(F.slice(parts, IDENTITY + 1, n), lambda x: word(F.shiftrightunsigned(x, 32))), "")))
 
 
 def _signs(parts: Column) -> Column:
