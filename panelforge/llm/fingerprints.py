@@ -73,9 +73,10 @@ def _phrases(df: DataFrame, parts: Column, keep: list[str]) -> DataFrame:
     paragraph, which has no vector but keeps its document in the result)."""
     rows = df.select(*keep, F.posexplode(parts).alias("side", "body"))
     rows = rows.select(*keep, "side", F.explode(F.split("body", "\n")).alias("paragraph"))
-    rows = rows.select(*keep, F.when(F.col("paragraph") == "", -1).otherwise(F.col("side")).alias("side"),
-                       F.sha2("paragraph", 512).alias("digest"),
-                       F.posexplode(F.split("paragraph", PHRASE_END)).alias("at", "phrase"))
+    # digests before phrases: what stands beside a generator is computed for each of its rows
+    rows = rows.select(*keep, F.when(F.col("paragraph") == "", -1).otherwise(F.col("side")).alias("side"), "paragraph",
+                       F.sha2("paragraph", 512).alias("digest"))
+    rows = rows.select(*keep, "side", "digest", F.posexplode(F.split("paragraph", PHRASE_END)).alias("at", "phrase"))
     lanes = [F.when(F.col("at") == 0, F.conv(F.substring("digest", 8 * i + 1, 8), 16, 10).cast("long")).otherwise(0)
              .alias(f"d{i}") for i in range(IDENTITY)]
     return rows.select(*keep, "side", "at", *lanes, *[F.xxhash64(F.lit(k), "phrase").alias(f"h{k}") for k in range(HASHES)])
