@@ -338,10 +338,10 @@ def encode_texts(df: DataFrame, vocabulary: str, pattern: str, text: str = "text
     """``df`` with the ids of each whole text as ``array<int>`` in place of ``text``.
 
     Each match of ``pattern`` is encoded by itself; special tokens have no meaning.  Null and empty texts get an
-    empty array.  A column of ``df`` named as ``ids`` is replaced; all others are kept.
+    empty array.  A column of ``df`` named as ``ids``, in any case, is replaced; all others are kept.
     """
     data = load_vocabulary(df, vocabulary)
-    kept = [f for f in df.schema.fields if f.name not in (text, ids)]
+    kept = [f for f in df.schema.fields if f.name.lower() not in (text.lower(), ids.lower())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _made(Encoder, data, pattern)
@@ -357,10 +357,11 @@ def encode_texts(df: DataFrame, vocabulary: str, pattern: str, text: str = "text
 def decode_ids(df: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "text") -> DataFrame:
     """``df`` with the text of each id array in place of ``ids``; a null array gives the empty text.
 
-    Ids outside the vocabulary and bytes that are not UTF-8 become U+FFFD.
+    Ids outside the vocabulary and bytes that are not UTF-8 become U+FFFD.  A column of ``df`` named as ``text``, in
+    any case, is replaced; all others are kept.
     """
     data = load_vocabulary(df, vocabulary)
-    kept = [f for f in df.schema.fields if f.name not in (text, ids)]
+    kept = [f for f in df.schema.fields if f.name.lower() not in (text.lower(), ids.lower())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _made(Decoder, data)

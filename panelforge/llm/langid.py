@@ -164,12 +164,12 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", pred: str =
     """``df`` with the predicted language and its score (0 to 1).
 
     Null texts and texts without a letter get ``und`` and 0, as do all texts without a model.  Columns of ``df``
-    named as the new ones are replaced.
+    named as the new ones, in any case, are replaced.
     """
     if model is None:
-        return df.withColumns({pred: F.lit(UNKNOWN), score: F.lit(0.0)})
+        return df.drop(pred, score).withColumns({pred: F.lit(UNKNOWN), score: F.lit(0.0)})
     held = df.sparkSession.sparkContext.broadcast(model)    # places x languages, whatever the input
-    kept = [f for f in df.schema.fields if f.name not in (pred, score)]
+    kept = [f for f in df.schema.fields if f.name.lower() not in (pred.lower(), score.lower())]
     names = np.array(model.languages, dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

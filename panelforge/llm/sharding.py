@@ -30,9 +30,12 @@ SAMPLES, ROUNDS = 32, 4
 
 
 def _sample(rows: DataFrame, key: str, size: str, step: float, seed: int) -> list[tuple[str, float]]:
-    """Keys drawn with probability ``size / step`` (1 at most) by a hash of the key, and the bytes each stands for."""
+    """Keys drawn with probability ``size / step`` (1 at most) by a hash of the key, and the bytes each stands for.
+
+    All rows of a key may be drawn together, so they are summed first: a key reaches the driver once.
+    """
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11) / F.lit(float(1 << 53))
-    got = rows.filter(draw < F.col(size) / F.lit(step)).select(key, F.greatest(F.col(size), F.lit(step)).alias("w"))
+    got = rows.filter(draw < F.col(size) / F.lit(step)).groupBy(key).agg(F.sum(F.greatest(F.col(size), F.lit(step))))
     return sorted((k, float(w)) for k, w in got.collect())
 
 
@@ -67,8 +70,10 @@ def shard_by_bytes(df: DataFrame, key: str, size: str, shards: int = 16, group_c
       by a row's size at most.  Keys that agree in the first ``group_chars`` characters form a group; a group of at
       most ``whole_share`` of a shard goes whole to the shard of its middle.  Larger groups are split.
     * Reruns agree: neither shards nor slots depend on the sample.  Rows with the same key, which must be alike,
-      get their slots in any order.  An empty table gives an empty result.
+      get their slots in any order.  An empty table gives an empty result.  Columns of ``df`` named ``shard`` or
+      ``slot``, in any case, are replaced.
     """
+    df = df.drop("shard", "slot")
     part, run, count = (spare_name(df, x) for x in ("range", "run", "count"))
     rows = cut_lineage(df, "shard-rows")
     total, n = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()

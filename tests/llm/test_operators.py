@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.llm import (exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, queries, sharding,
+from panelforge.llm import (bpe, exact_dedup, fingerprints, langid, licenses, line_dedup, minhash, mixing, queries, sharding,
                             suffix_dedup)
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -93,6 +93,23 @@ def test_fingerprint_sums_add(spark):
     assert set(got[4]["sums"]) == set(got[5]["sums"]) == {0}
 
 
+def test_likeness_follows_from_the_printed_fingerprint(spark):
+    df = spark.createDataFrame([(1, "one a two e. " * 40000), (2, "three o four e. " * 300), (3, None)],
+                               "doc_id long, text string")          # over 2^16 phrases in the first
+
+    def lanes(printed):
+        words = [int(printed[i:i + 8], 16) for i in range(0, len(printed), 8)]
+        assert len(words) == 16 + 1 + 128
+        return [2 * x - words[16] for x in words[17:]]
+
+    for r in fingerprints.compare_with_edit(df).collect():
+        a, b = lanes(r["fingerprint"]), lanes(r["edited_fingerprint"])
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))           # noqa: E731
+        norm = math.sqrt(dot(a, a) * dot(b, b))
+        want = 1.0 if r["fingerprint"] == r["edited_fingerprint"] else min(max(dot(a, b) / norm, 0), 1) if norm else 0.0
+        assert r["near_edited"] == pytest.approx(want, abs=1e-9)
+
+
 # --- 3 -------------------------------------------------------------------------------------------
 
 def lines_left(rows, rare=100):
@@ -375,3 +392,31 @@ def test_wrapped_headers(spark):
     got = {r["doc_id"]: r["own_license"] for r in licenses.scan_licenses(
         spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
     assert got == {0: "MIT", 1: "BSD-3-Clause", 2: "Apache-2.0", 3: "Apache-2.0", 4: None}
+
+
+# --- columns of the input named as new ones, in any case --------------------------------------------
+
+def test_names_in_any_case_are_replaced(docs):
+    import public_tokenizers
+
+    own = docs.filter("doc_id < 30").withColumns({x: F.lit("own") for x in ("SCORE", "Lang_Pred", "TOKEN_IDS", "Shard", "SLOT")})
+    model = langid.fit(docs)
+    for m in (model, None):
+        out = langid.predict(own, m)
+        assert [c for c in out.columns if c.lower() in ("score", "lang_pred")] == ["lang_pred", "score"]
+        assert all(0 <= r[0] <= 1 for r in out.select("score").collect())
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode_texts(own, path, public_tokenizers.PATTERN)
+    back = bpe.decode_ids(coded.withColumn("TEXT", F.lit("own")), path)
+    assert listed(back, "doc_id", "text") == listed(own, "doc_id", "text")
+    rows = own.withColumns({"key": F.md5("text"), "size": F.length("text").cast("long")})
+    out = sharding.shard_by_bytes(rows, "key", "size", shards=4)
+    assert out.columns == [c for c in rows.columns if c not in ("Shard", "SLOT")] + ["shard", "slot"]
+    assert {r["shard"] for r in out.collect()} == {0, 1, 2, 3}
+
+
+def test_a_key_reaches_the_driver_once(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.md5(F.col("id").cast("string")))
+                                      .alias("key"), F.lit(5).cast("long").alias("size"))
+    got = sharding._sample(rows, "key", "size", 5.0, 1)
+    assert len(got) == 10_001 and dict(got)["hot"] == 50_000
