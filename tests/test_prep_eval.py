@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -101,6 +102,25 @@ def test_contiguous_folds_match_ntile(spark):
     assert got == expect
 
 
+@pytest.mark.parametrize(("keys", "k"), [
+    ([None, 3, 1, None, 2, 9, 7, 4], 3), ([5] * 7 + [None, 6, 1], 4), ([2, 1], 5), ([], 3), ([None] * 4, 2)])
+def test_contiguous_folds_of_null_and_equal_keys(spark, keys, k):
+    """Nulls come first; equal keys on both sides of a fold's start are dealt so that sizes stay those of ntile."""
+    df = spark.createDataFrame([(i, x, "s") for i, x in enumerate(keys)], "id long, PLAYER_ID long, SEASON string")
+    rows = K.contiguous_folds(df, k, ["PLAYER_ID", "SEASON"]).collect()
+    got = sorted(((r["PLAYER_ID"] is not None, r["PLAYER_ID"] or 0), r["fold"]) for r in rows)
+    n = len(keys)
+    folds = [f for f in range(k) for _ in range(n // k + (f < n % k))]
+    assert got == list(zip(sorted((x is not None, x or 0) for x in keys), folds, strict=True))
+    assert sorted(r["id"] for r in rows) == list(range(n))
+
+
+def test_contiguous_folds_leave_wide_rows_where_they_are(spark):
+    df = spark.range(50).select(F.col("id").alias("PLAYER_ID"), F.lit("s").alias("SEASON"), F.lit(1.0).alias("x"))
+    plan = K.contiguous_folds(df, 3, ["PLAYER_ID", "SEASON"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan" not in plan
+
+
 def test_masked_correlation_pairwise_complete(spark):
     rng = np.random.default_rng(3)
     a = rng.normal(size=400)
