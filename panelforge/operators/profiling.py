@@ -215,7 +215,7 @@ def infinite_profile(df: DataFrame, cols: Sequence[str] | None = None, split: st
 def feature_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean over features of the mean |x| and of the sample std of each column; NaN counts as missing.
 
-    A pass of sums and one of centred squares over all columns; a column with an infinite value makes both infinite.
+    One pass over all columns; a column with an infinite value makes both infinite.
     """
     cols = cols_if_present(df, cols)
     n, size, std = column_moments(df, cols)
