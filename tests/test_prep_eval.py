@@ -1,5 +1,7 @@
 """Validation, preparation, evaluation and ensemble operators vs brute force."""
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -134,3 +136,17 @@ def test_masked_correlation_pairwise_complete(spark):
     assert abs(got[("a", "b")] - np.corrcoef(a[ok], b[ok])[0, 1]) < 1e-9
     assert abs(got[("a", "c")] - np.corrcoef(a, c)[0, 1]) < 1e-9
     assert F is not None
+
+
+def test_null_counts_of_every_type_by_split(spark):
+    nan, one = float("nan"), Decimal("1.5")
+    rows = [("a", 1.0, 1, True, "x", one), ("a", nan, None, None, None, None), ("a", None, 2, False, "", one),
+            ("b", nan, 3, None, "y", None), (None, None, None, True, None, one)]
+    df = spark.createDataFrame(rows, "split string, `d.e` double, i int, f boolean, t string, n decimal(10,2)")
+    cols = ["d.e", "i", "f", "t", "n"]
+    nulls, n = I.null_counts(df, cols, "split")
+    assert n == {"a": 3, "b": 1, None: 1}
+    assert nulls["a"] == {"d.e": 2, "i": 1, "f": 1, "t": 1, "n": 1}
+    assert nulls["b"] == {"d.e": 1, "i": 0, "f": 1, "t": 0, "n": 1}
+    assert I.null_counts(df, cols) == ({None: {"d.e": 4, "i": 2, "f": 2, "t": 2, "n": 2}}, {None: 5})
+    assert I.null_counts(df.where("false"), cols) == ({None: dict.fromkeys(cols, 0)}, {None: 0})
