@@ -7,19 +7,20 @@ schema-bounded results (a list of column names) reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cols_if_present
-from ..functions.sqltext import agg_row, lit_double, q
+from ..functions.sqltext import q
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .cleaning import NUMERIC, numeric_columns
-from .quantiles import column_moments, exact_quantiles
+from .quantiles import column_moments, doubles, exact_quantiles
 
 
 # --------------------------------------------------------------------------- D
@@ -241,35 +242,46 @@ def drop_high_missing(df: DataFrame, threshold: float = 90.0, protect: Sequence[
 def constant_columns(df: DataFrame, exclude: Sequence[str] = (), top_share: float = 0.99) -> list[str]:
     """Numeric columns with one distinct value, or <= 2 distinct whose top non-null share > top_share.
 
-    Pass 1: min, max, non-null count per column.  Pass 2 (only columns with
-    min != max): counts of x == min, x == max, x strictly between.  No
-    ``countDistinct`` (which would expand the input once per column).
-    Booleans are not examined (pandas ``np.number``).
+    One pass over the numbers as Arrow batches: a task counts the values of
+    every column until it has met three of one, which settles that column, so
+    it holds and emits three numbers a column at most.  No ``countDistinct``
+    (which would expand the input once per column).  NaN is a value; the two
+    zeros are one.  Booleans are not examined (pandas ``np.number``).
     """
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in set(exclude)]
     if not cols:
         return []
-    p1 = agg_row(df, [x for i, c in enumerate(cols) for x in (
-        f"min(CAST({q(c)} AS DOUBLE)) AS lo{i}", f"max(CAST({q(c)} AS DOUBLE)) AS hi{i}", f"count({q(c)}) AS n{i}")])
-    const, two = [], []
-    for i, c in enumerate(cols):
-        lo, hi, n = p1[f"lo{i}"], p1[f"hi{i}"], p1[f"n{i}"]
-        if n == 0:
-            continue
-        if lo == hi:
-            const.append(c)
-        else:
-            two.append((i, c, lo, hi, n))
-    low = []
-    if two:
-        v = lambda c: f"CAST({q(c)} AS DOUBLE)"
-        p2 = agg_row(df, [x for i, c, lo, hi, _ in two for x in (
-            f"count_if({v(c)} = {lit_double(lo)}) AS a{i}", f"count_if({v(c)} = {lit_double(hi)}) AS b{i}",
-            f"count_if({v(c)} > {lit_double(lo)} AND {v(c)} < {lit_double(hi)}) AS m{i}")])
-        for i, c, lo, hi, n in two:
-            if p2[f"m{i}"] == 0 and max(p2[f"a{i}"], p2[f"b{i}"]) / n > top_share:
-                low.append(c)
-    return const + low
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[dict[float | None, int]] = [{} for _ in cols]         # None: NaN
+        for b in batches:
+            for own, column in zip(seen, b.columns, strict=True):
+                if len(own) > 2:
+                    continue
+                x = column.drop_null().to_numpy(zero_copy_only=False) + 0.0
+                first = set(x[:64][~np.isnan(x[:64])].tolist())
+                if len(first) > 2:                                  # most columns end here
+                    own |= dict.fromkeys(first, 0)
+                    continue
+                values, counts = np.unique(x, return_counts=True)
+                for v, k in zip(values.tolist(), counts.tolist(), strict=True):
+                    v = None if v != v else v
+                    own[v] = own.get(v, 0) + k
+        cells = [(i, v != v, 0.0 if v != v else v, k) for i, own in enumerate(seen)
+                 for v, k in [(float("nan") if v is None else v, k) for v, k in own.items()][:3]]
+        parts = list(zip(*cells, strict=True)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts[0], pa.int32()), pa.array(parts[1], pa.bool_()), pa.array(parts[2], pa.float64()),
+             pa.array(parts[3], pa.int64())], names=["col", "nan", "value", "n"])
+
+    got = doubles(df, cols).mapInArrow(run, "col int, nan boolean, value double, n long")
+    each = got.groupBy("col", "nan", "value").agg(F.sum("n").alias("n"))
+    few = each.groupBy("col").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("top"), F.sum("n").alias("n"),
+                                  F.bool_or("nan").alias("nan")).where("k <= 2").collect()      # a row a column
+    by = {r["col"]: r for r in few}
+    const = [i for i in sorted(by) if by[i]["k"] == 1 and not by[i]["nan"]]
+    low = [i for i in sorted(by) if i not in const and by[i]["top"] / by[i]["n"] > top_share]
+    return [cols[i] for i in const + low]
 
 
 def drop_constant_features(df: DataFrame, exclude: Sequence[str] = (), top_share: float = 0.99) -> DataFrame:

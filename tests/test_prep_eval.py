@@ -23,6 +23,24 @@ def test_constant_and_near_constant(spark):
     assert dropped == {"const", "share995"}               # 99.0 % top share is kept (must exceed .99)
 
 
+def test_constant_columns_in_one_pass(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    nan = float("nan")
+    rows = [(7, nan, None if i % 2 else nan, 0.0 if i % 2 else -0.0, None, i % 2, nan if i else 1.0, float("inf"),
+             float(i == 399) + float(i == 398) * 2, Decimal(i // 399)) for i in range(400)]
+    df = spark.createDataFrame(rows, "one int, nans double, gap double, zeros double, empty double, half int, "
+                                     "rare double, inf double, three double, dec decimal(5,1)").repartition(3)
+    df = df.mapInArrow(counted, df.schema)
+    assert P.constant_columns(df) == ["one", "zeros", "inf", "nans", "gap", "rare", "dec"]
+    assert read.value == 400
+
+
 def test_missing_thresholds(spark):
     rows = [(None if i < 90 else 1.0, None if i < 91 else 1.0, 1.0) for i in range(100)]
     df = spark.createDataFrame(rows, "p90 double, p91 double, full double")
