@@ -31,3 +31,20 @@ def test_fill_global_median_and_pct_zero(spark):
     pct = [r["FG_PCT"] for r in B.fill_pct_zero(df).collect()]
     assert pct == [0.0, 0.5, 0.0, 0.25]
     assert F is not None
+
+
+def test_dedup_keep_first_holds_a_row_once(spark):
+    df = spark.createDataFrame([("a", 2, 1.0, "x"), ("a", 1, None, "y"), ("a", 1, None, None), ("a", 1, 3.0, "w"),
+                                (None, 1, 5.0, "z"), (None, 1, 4.0, "z"), ("b", None, 7.0, None)],
+                               "k string, o int, v double, t string")
+    out = B.dedup_keep_first(df, ["k"], ["o", "v"])
+    got = {r["k"]: (r["o"], r["v"], r["t"]) for r in out.collect()}
+    assert got == {"a": (1, None, None), None: (1, 4.0, "z"), "b": (None, 7.0, None)}
+    assert out.schema == df.schema
+    # the row is shuffled in one struct, not in one for the order and one for the row
+    assert "min_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dedup_keep_first_with_a_column_that_has_no_order(spark):
+    df = spark.createDataFrame([("a", 2, {"p": 1}), ("a", 1, {"q": 2})], "k string, o int, m map<string,int>")
+    assert [tuple(r) for r in B.dedup_keep_first(df, ["k"], ["o"]).collect()] == [("a", 1, {"q": 2})]
